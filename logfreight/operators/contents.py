@@ -20,12 +20,15 @@ def contents_long(logs: DataFrame) -> DataFrame:
     )
 
 
-def contents_wide(logs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Chosen keys as columns, the first value where a key occurs twice."""
+def contents_wide(logs: DataFrame, keys: Sequence[str], prefix: str = "") -> DataFrame:
+    """Chosen keys as columns, the first value where a key occurs twice.
+
+    ``prefix`` keeps them apart from columns of the same name.
+    """
 
     def first_value(name: str):
         matches = F.filter("contents", lambda pair: pair["key"] == name)
-        return F.try_element_at(matches, F.lit(1))["value"].alias(name)
+        return F.try_element_at(matches, F.lit(1))["value"].alias(prefix + name)
 
     others = [name for name in logs.columns if name != "contents"]
     return logs.select(*others, *[first_value(name) for name in keys])

@@ -17,14 +17,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def event_logs(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events")
+def as_event_logs(events: DataFrame) -> DataFrame:
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     return logs_from_columns(
         events, "event_type", seconds, ["user_id", "props"], arrival_ms("ts"), "event_id"
     )
 
 
+def event_logs(spark: SparkSession, folder: str) -> DataFrame:
+    return as_event_logs(table(spark, folder, "events"))
+
+
 def document_logs(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return logs_from_columns(
