@@ -1,124 +1,101 @@
-"""Byte sizes of logs, packages and requests as column expressions.
+"""Byte sizes of logs, packages and requests, as SQL expressions.
 
-Two measures exist side by side. The *accounting* size is what limits are tested
-against: four bytes per log plus the bytes of every key and value. The *wire* size is
-the exact length of the encoded message.
+Every function takes the names (or expressions) of columns as text and returns an
+expression for ``F.expr``, ``selectExpr`` or a SQL query. Two measures exist side by
+side. The *accounting* size is what limits are tested against: four bytes per log plus
+the bytes of every key and value. The *wire* size is the exact length of the encoded
+message.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 LOG_OVERHEAD = 4
 ID_BYTES = 41
 
 
-def _zero() -> Column:
-    return F.lit(0).cast("long")
-
-
-def text_bytes(text: Column) -> Column:
-    """Bytes of a text; an absent one has none."""
-    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-
-
-def log_size(contents: Column) -> Column:
+def log_size(contents: str = "contents") -> str:
     """Accounting size of a log."""
-    total = F.aggregate(
-        contents,
-        F.lit(LOG_OVERHEAD).cast("long"),
-        lambda acc, c: acc + text_bytes(c["key"]) + text_bytes(c["value"]),
-    )
-    return F.coalesce(total, F.lit(LOG_OVERHEAD).cast("long"))
+    pair = "coalesce(octet_length(c.key), 0) + coalesce(octet_length(c.value), 0)"
+    total = f"aggregate({contents}, {LOG_OVERHEAD}L, (acc, c) -> acc + {pair})"
+    return f"coalesce({total}, {LOG_OVERHEAD}L)"
 
 
-def varint_size(number: Column) -> Column:
+def varint_size(number: str) -> str:
     """Bytes a number takes in base 128; negative numbers take ten."""
-    sizes = F.when(number < 0, 10)
-    for width in range(1, 9):
-        sizes = sizes.when(number < (1 << (7 * width)), width)
-    return sizes.otherwise(9).cast("long")
+    widths = " ".join(f"WHEN {number} < {1 << 7 * w}L THEN {w}L" for w in range(1, 9))
+    return f"(CASE WHEN {number} < 0 THEN 10L {widths} ELSE 9L END)"
 
 
-def field_size(length: Column) -> Column:
+def field_size(length: str) -> str:
     """Bytes of a length-prefixed field with a one-byte tag."""
-    return F.lit(1) + varint_size(length) + length
+    return f"(1L + {varint_size(length)} + {length})"
 
 
-def text_field_size(text: Column) -> Column:
+def text_field_size(text: str) -> str:
     """Bytes of a text field: nothing when absent, two when present but empty."""
-    length = F.octet_length(text).cast("long")
-    return F.when(text.isNull(), _zero()).otherwise(field_size(length))
+    return f"(CASE WHEN {text} IS NULL THEN 0L ELSE {field_size(f'octet_length({text})')} END)"
 
 
-def content_wire_size(content: Column) -> Column:
-    """Encoded size of one key/value pair of a log."""
-    return text_field_size(content["key"]) + text_field_size(content["value"])
+def number_field_size(number: str) -> str:
+    """Bytes of a number field, nothing when absent."""
+    return f"(CASE WHEN {number} IS NULL THEN 0L ELSE 1L + {varint_size(number)} END)"
 
 
-def tag_wire_size(tag: Column) -> Column:
-    """Encoded size of one tag of a package."""
-    return text_field_size(tag["key"]) + text_field_size(tag["value"])
+def content_wire_size(pair: str) -> str:
+    """Encoded size of one key/value pair of a log."""
+    return f"({text_field_size(f'{pair}.key')} + {text_field_size(f'{pair}.value')})"
 
 
-def _nested_size(sizes: Column) -> Column:
-    """Bytes of messages of the given sizes, each nested as a field."""
-    total = F.aggregate(sizes, _zero(), lambda acc, size: acc + field_size(size))
-    return F.coalesce(total, _zero())
+def tag_wire_size(tag: str) -> str:
+    """Encoded size of one tag of a package."""
+    return content_wire_size(tag)
 
 
-def number_field_size(number: Column) -> Column:
-    """Bytes of a number field, nothing when absent."""
-    return F.when(number.isNull(), _zero()).otherwise(F.lit(1) + varint_size(number))
+def nested_size(sizes: str) -> str:
+    """Bytes of messages of the given sizes (an array), each nested as a field."""
+    return f"coalesce(aggregate({sizes}, 0L, (acc, n) -> acc + {field_size('n')}), 0L)"
 
 
-def log_wire_size(time: Column, contents: Column, collect_time: Column) -> Column:
+def log_wire_size(
+    time: str = "time", contents: str = "contents", collect_time: str = "collect_time"
+) -> str:
     """Encoded size of a log."""
-    return (
-        number_field_size(time)
-        + _nested_size(F.transform(contents, content_wire_size))
-        + number_field_size(collect_time)
-    )
+    pairs = nested_size(f"transform({contents}, p -> {content_wire_size('p')})")
+    return f"({number_field_size(time)} + {pairs} + {number_field_size(collect_time)})"
 
 
 def metadata_wire_size(
-    source: Column, hostname: Column, filename: Column, context: Column, tags: Column
-) -> Column:
+    source: str = "source",
+    hostname: str = "hostname",
+    filename: str = "filename",
+    context: str = "context_flow",
+    tags: str = "tags",
+) -> str:
     """Encoded size of everything in a package but its logs."""
-    return (
-        text_field_size(context)
-        + text_field_size(filename)
-        + text_field_size(source)
-        + text_field_size(hostname)
-        + _nested_size(F.transform(tags, tag_wire_size))
-    )
+    texts = " + ".join(text_field_size(t) for t in (context, filename, source, hostname))
+    return f"({texts} + {nested_size(f'transform({tags}, g -> {tag_wire_size("g")})')})"
 
 
-def logs_wire_size(logs: Column) -> Column:
+def logs_wire_size(logs: str = "logs") -> str:
     """Encoded size of an array of logs inside their package."""
-    return _nested_size(
-        F.transform(
-            logs, lambda log: log_wire_size(log["time"], log["contents"], log["collect_time"])
-        )
-    )
-
-
-def group_wire_size(
-    logs: Column,
-    source: Column,
-    hostname: Column,
-    filename: Column,
-    context: Column,
-    tags: Column,
-) -> Column:
+    log = log_wire_size("log.time", "log.contents", "log.collect_time")
+    return nested_size(f"transform({logs}, log -> {log})")
+
+
+def list_size(logs: str = "logs") -> str:
+    """Accounting size of an array of logs."""
+    each = f"transform({logs}, log -> {log_size('log.contents')})"
+    return f"aggregate({each}, 0L, (acc, n) -> acc + n)"
+
+
+def group_wire_size(logs: str = "logs", **metadata: str) -> str:
     """Encoded size of a package held as one row."""
-    return logs_wire_size(logs) + metadata_wire_size(source, hostname, filename, context, tags)
+    return f"({logs_wire_size(logs)} + {metadata_wire_size(**metadata)})"
 
 
-def request_wire_size(group_sizes: Column) -> Column:
+def request_wire_size(group_sizes: str) -> str:
     """Encoded size of a request, from an array of its package sizes."""
-    return _nested_size(group_sizes)
+    return nested_size(group_sizes)
 
 
 def opening_metadata_size(source: str, hostname: str) -> int:
@@ -130,6 +107,6 @@ def opening_metadata_size(source: str, hostname: str) -> int:
     return field(ID_BYTES) + field(len(source.encode())) + field(len(hostname.encode()))
 
 
-def ns_to_ms(nanoseconds: Column) -> Column:
+def ns_to_ms(nanoseconds: str) -> str:
     """Nanoseconds to milliseconds, cutting toward zero."""
-    return F.call_function("div", nanoseconds, F.lit(1_000_000).cast("long"))
+    return f"(({nanoseconds}) div 1000000L)"

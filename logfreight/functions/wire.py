@@ -1,14 +1,12 @@
-"""Encoding logs and packages to their wire form, as column expressions.
+"""Encoding logs and packages to their wire form, as SQL expressions.
 
-The message is built as hexadecimal text and turned to bytes once, so a package is one
-linear ``array_join`` in the JVM and no row crosses into Python to be encoded.
+A log is built as hexadecimal text by linear joins and turned to bytes where it is; a
+package is the concatenation of its logs. No row crosses into Python to be encoded. Like
+the functions in ``sizes``, these take and return expressions as text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from logfreight.functions.sizes import varint_size
 
 # Field tags of the messages, in hexadecimal.
@@ -26,86 +24,87 @@ GROUP_HOSTNAME = "32"
 REQUEST_GROUP = "0A"
 
 
-def _byte(number: Column) -> Column:
-    return F.lpad(F.hex(number), 2, "0")
+def _byte(number: str) -> str:
+    return f"lpad(hex({number}), 2, '0')"
 
 
-def varint_hex(number: Column) -> Column:
+def varint_hex(number: str) -> str:
     """A number in base 128, low digits first, high bit set on all but the last."""
-    number = number.cast("long")
-    low = number.bitwiseAND(F.lit(127)).bitwiseOR(F.lit(128))
-    last = varint_size(number).cast("int") - 1
-
-    def digit(place: Column) -> Column:
-        shifted = F.call_function("shiftrightunsigned", number, place * 7)
-        more = F.when(place < last, 128).otherwise(0)
-        return _byte(shifted.bitwiseAND(F.lit(127)).bitwiseOR(more))
-
+    last = f"cast({varint_size(number)} AS int) - 1"
+    digit = f"shiftrightunsigned(cast({number} AS bigint), 7 * i) & 127"
+    digits = f"transform(sequence(0, {last}), i -> {_byte(f'({digit}) | if(i < {last}, 128, 0)')})"
+    two = f"concat(hex({number} & 127 | 128), {_byte(f'shiftright({number}, 7)')})"
     return (
-        F.when(number.between(0, 127), _byte(number))
-        .when(
-            number.between(128, 16383),
-            F.concat(F.hex(low), _byte(F.shiftright(number, 7))),
-        )
-        .otherwise(F.array_join(F.transform(F.sequence(F.lit(0), last), digit), ""))
+        f"(CASE WHEN {number} BETWEEN 0 AND 127 THEN {_byte(number)} "
+        f"WHEN {number} BETWEEN 128 AND 16383 THEN {two} ELSE array_join({digits}, '') END)"
     )
 
 
-def nest_hex(tag: str, body: Column) -> Column:
-    """A length-prefixed field around an encoded body."""
-    return F.concat(F.lit(tag), varint_hex(F.length(body) / 2), body)
+def nest_hex(tag: str, body: str) -> str:
+    """A length-prefixed field around an encoded body, which should be a plain column."""
+    return f"concat('{tag}', {varint_hex(f'(octet_length({body}) div 2)')}, {body})"
 
 
-def _text_hex(tag: str, text: Column) -> Column:
-    body = F.concat(F.lit(tag), varint_hex(F.octet_length(text)), F.hex(text))
-    return F.when(text.isNull(), F.lit("")).otherwise(body)
+def _text_hex(tag: str, text: str) -> str:
+    body = f"concat('{tag}', {varint_hex(f'octet_length({text})')}, hex({text}))"
+    return f"(CASE WHEN {text} IS NULL THEN '' ELSE {body} END)"
 
 
-def _number_hex(tag: str, number: Column) -> Column:
-    body = F.concat(F.lit(tag), varint_hex(number))
-    return F.when(number.isNull(), F.lit("")).otherwise(body)
+def _number_hex(tag: str, number: str) -> str:
+    body = f"concat('{tag}', {varint_hex(number)})"
+    return f"(CASE WHEN {number} IS NULL THEN '' ELSE {body} END)"
 
 
-def _join(parts: Column) -> Column:
-    return F.coalesce(F.array_join(parts, ""), F.lit(""))
+def _join(parts: str) -> str:
+    return f"coalesce(array_join({parts}, ''), '')"
 
 
-def _pairs_hex(tag: str, pairs: Column) -> Column:
-    bodies = F.transform(
-        pairs,
-        lambda p: F.concat(_text_hex(PAIR_KEY, p["key"]), _text_hex(PAIR_VALUE, p["value"])),
-    )
-    return _join(F.transform(bodies, lambda body: nest_hex(tag, body)))
+def _pairs_hex(tag: str, pairs: str) -> str:
+    body = f"concat({_text_hex(PAIR_KEY, 'p.key')}, {_text_hex(PAIR_VALUE, 'p.value')})"
+    return _join(f"transform(transform({pairs}, p -> {body}), body -> {nest_hex(tag, 'body')})")
 
 
-def log_hex(time: Column, contents: Column, collect_time: Column) -> Column:
+def log_hex(
+    time: str = "time", contents: str = "contents", collect_time: str = "collect_time"
+) -> str:
     """One encoded log."""
-    return F.concat(
-        _number_hex(LOG_TIME, time),
-        _pairs_hex(LOG_CONTENT, contents),
-        _number_hex(LOG_COLLECT_TIME, collect_time),
+    return (
+        f"concat({_number_hex(LOG_TIME, time)}, {_pairs_hex(LOG_CONTENT, contents)}, "
+        f"{_number_hex(LOG_COLLECT_TIME, collect_time)})"
     )
 
 
-def group_hex(
-    log_bodies: Column,
-    context: Column,
-    filename: Column,
-    source: Column,
-    tags: Column,
-    hostname: Column,
-) -> Column:
-    """One encoded package from an array of encoded logs."""
-    return F.concat(
-        _join(F.transform(log_bodies, lambda body: nest_hex(GROUP_LOG, body))),
-        _text_hex(GROUP_CONTEXT, context),
-        _text_hex(GROUP_FILENAME, filename),
-        _text_hex(GROUP_SOURCE, source),
-        _pairs_hex(GROUP_TAG, tags),
-        _text_hex(GROUP_HOSTNAME, hostname),
+def metadata_hex(context: str, group: str = "") -> str:
+    """Everything in an encoded package after its logs; ``group`` is a prefix like ``g.``."""
+    return (
+        f"concat({_text_hex(GROUP_CONTEXT, context)}, "
+        f"{_text_hex(GROUP_FILENAME, f'{group}filename')}, "
+        f"{_text_hex(GROUP_SOURCE, f'{group}source')}, "
+        f"{_pairs_hex(GROUP_TAG, f'{group}tags')}, "
+        f"{_text_hex(GROUP_HOSTNAME, f'{group}hostname')})"
     )
 
 
-def request_bytes(group_bodies: Column) -> Column:
-    """The bytes of a request from an array of encoded packages."""
-    return F.unhex(_join(F.transform(group_bodies, lambda body: nest_hex(REQUEST_GROUP, body))))
+def group_log_bytes(log_body: str) -> str:
+    """A log as it stands inside its package; ``log_body`` is a column of ``log_hex``."""
+    return f"unhex({nest_hex(GROUP_LOG, log_body)})"
+
+
+def group_hex(group: str) -> str:
+    """One encoded package held as a struct with its logs in an array."""
+    log = log_hex("log.time", "log.contents", "log.collect_time")
+    bodies = f"transform({group}.logs, log -> {log})"
+    logs = _join(f"transform({bodies}, body -> {nest_hex(GROUP_LOG, 'body')})")
+    return f"concat({logs}, {metadata_hex(f'{group}.context_flow', f'{group}.')})"
+
+
+def request_of(group: str) -> str:
+    """The bytes of a request with a single package, a column of bytes."""
+    length = varint_hex(f"length({group})")
+    return f"concat(unhex(concat('{REQUEST_GROUP}', {length})), {group})"
+
+
+def request_bytes(groups: str) -> str:
+    """The bytes of a request from an array of packages as structs."""
+    bodies = f"transform({groups}, g -> {group_hex('g')})"
+    return f"unhex({_join(f'transform({bodies}, body -> {nest_hex(REQUEST_GROUP, "body")})')})"

@@ -13,6 +13,7 @@ from logfreight.model import MAX_REQUEST_BYTES, MAX_REQUEST_LOGS, PAIRS, PackOpt
 from logfreight.operators.validate import check_request_groups
 
 METADATA = ["source", "hostname", "filename", "tags"]
+ORDER = ["arrival_ms", "seq", "position"]
 
 
 def stamp_group(
@@ -64,11 +65,6 @@ def _with_metadata(df: DataFrame, opts: PackOptions) -> DataFrame:
     return df.withColumns({k: v for k, v in plain.items() if k not in df.columns})
 
 
-def _order(df: DataFrame) -> list[Column]:
-    names = ["arrival_ms", "seq", "position"]
-    return [F.col(name) for name in names if name in df.columns]
-
-
 def assemble_groups(packed: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
     """One row per package with its logs as an ordered array.
 
@@ -77,7 +73,7 @@ def assemble_groups(packed: DataFrame, opts: PackOptions = PackOptions()) -> Dat
     packed = _with_metadata(packed, opts)
     log = F.struct("time", "contents", "collect_time").alias("log")
     collected = packed.groupBy("package_id", "topic_id").agg(
-        F.array_sort(F.collect_list(F.struct(*_order(packed), log))).alias("_logs"),
+        F.array_sort(F.collect_list(F.struct(*[n for n in ORDER if n in packed.columns], log))).alias("_logs"),
         *[F.first(name).alias(name) for name in METADATA],
     )
     logs = F.transform("_logs", lambda entry: entry["log"])
@@ -92,10 +88,7 @@ def assemble_groups(packed: DataFrame, opts: PackOptions = PackOptions()) -> Dat
 
 def group_sizes(groups: DataFrame) -> DataFrame:
     """Exact encoded size of packages held as rows."""
-    size = group_wire_size(
-        *[F.col(n) for n in ("logs", "source", "hostname", "filename", "context_flow", "tags")]
-    )
-    return groups.withColumn("wire_bytes", size)
+    return groups.withColumn("wire_bytes", F.expr(group_wire_size()))
 
 
 def assemble_requests(
@@ -127,7 +120,7 @@ def _checked_log(df: DataFrame) -> Column:
         F.coalesce("contents", F.array().cast(PAIRS)),
         lambda pair: pair["key"].isNull() | pair["value"].isNull(),
     )
-    body = wire.log_hex(F.col("time"), F.col("contents"), F.col("collect_time"))
+    body = F.expr(wire.log_hex())
     failure = F.raise_error(F.lit("log without time, key or value: apply reject_incomplete"))
     return F.when(complete, body).otherwise(failure.cast("string"))
 
@@ -137,39 +130,28 @@ def encode_packages(
 ) -> DataFrame:
     """One payload per package: a request holding that one package, then compressed.
 
-    Logs are encoded where they are and shuffled once, by package.
+    Logs are encoded where they are and shuffled once, by package, as bytes.
     """
     packed = _with_metadata(packed, opts)
-    entry = F.struct(*_order(packed), _checked_log(packed).alias("body"))
-    collected = packed.groupBy("package_id", "topic_id").agg(
-        F.array_sort(F.collect_list(entry)).alias("_logs"),
+    order = ", ".join(name for name in ORDER if name in packed.columns)
+    # Each body is a column before it is used: the field around it mentions it repeatedly.
+    bodies = packed.withColumn("_body", _checked_log(packed))
+    encoded = bodies.withColumn("_log", F.expr(wire.group_log_bytes("_body")))
+    collected = encoded.groupBy("package_id", "topic_id").agg(
+        F.expr(f"listagg(_log) WITHIN GROUP (ORDER BY {order})").alias("_logs"),
         *[F.first(name).alias(name) for name in METADATA],
     )
-    group = wire.group_hex(
-        F.transform("_logs", lambda e: e["body"]),
-        F.col("package_id"),
-        F.col("filename"),
-        F.col("source"),
-        F.col("tags"),
-        F.col("hostname"),
-    )
-    raw = collected.select("package_id", "topic_id", wire.request_bytes(F.array(group)).alias("_raw"))
-    return _compressed(raw, ["package_id", "topic_id"], compress_type)
+    keys = ["package_id", "topic_id"]
+    metadata = wire.metadata_hex("package_id")
+    groups = collected.selectExpr(*keys, f"concat(_logs, unhex({metadata})) AS _group")
+    raw = groups.selectExpr(*keys, f"{wire.request_of('_group')} AS _raw")
+    return _compressed(raw, keys, compress_type)
 
 
 def encode_requests(requests: DataFrame, by: Sequence[str], compress_type: str = codecs.LZ4):
     """One payload per row of ``assemble_requests``."""
-
-    def encoded(group: Column) -> Column:
-        logs = F.transform(
-            group["logs"],
-            lambda log: wire.log_hex(log["time"], log["contents"], log["collect_time"]),
-        )
-        names = ("context_flow", "filename", "source", "tags", "hostname")
-        return wire.group_hex(logs, *[group[name] for name in names])
-
-    bodies = wire.request_bytes(F.transform("groups", encoded))
-    return _compressed(requests.select(*by, bodies.alias("_raw")), by, compress_type)
+    raw = requests.selectExpr(*by, f"{wire.request_bytes('groups')} AS _raw")
+    return _compressed(raw, by, compress_type)
 
 
 def _compressed(raw: DataFrame, keys: Sequence[str], compress_type: str) -> DataFrame:
@@ -184,7 +166,7 @@ def _compressed(raw: DataFrame, keys: Sequence[str], compress_type: str) -> Data
 
 def request_sizes(groups: DataFrame, by: Sequence[str]) -> DataFrame:
     """Exact encoded size of requests from the sizes of their groups."""
-    return groups.groupBy(*by).agg(F.sum(field_size(F.col("wire_bytes"))).alias("request_bytes"))
+    return groups.groupBy(*by).agg(F.sum(F.expr(field_size("wire_bytes"))).alias("request_bytes"))
 
 
 def payload_stats(outbox: DataFrame) -> DataFrame:

@@ -28,24 +28,27 @@ INTERNAL_ERROR_TEXT = "server internal error"
 UNKNOWN_ERROR_TEXT = "unknown error"
 
 
-def parse_error_body(attempts: DataFrame) -> DataFrame:
+def parse_error_body(attempts: DataFrame, only: Column | None = None) -> DataFrame:
     """Code and message stated in the body; anything but a JSON object is a bad request.
 
-    Field names match in any case, and a field that is missing reads as empty text.
+    Field names match in any case, and a field that is missing reads as empty text. With
+    ``only``, bodies of other rows are not looked at.
     """
-    fields = F.from_json("body", "map<string,string>")
+    body = F.col("body") if only is None else F.when(only, F.col("body"))
+    # Parsed in a projection of its own, or every use below would parse it again.
+    parsed = attempts.withColumn("_fields", F.from_json(body, "map<string,string>"))
 
     def field(name: str) -> Column:
-        matches = F.map_filter(fields, lambda key, _: F.lower(key) == name)
+        matches = F.map_filter("_fields", lambda key, _: F.lower(key) == name)
         return F.coalesce(F.try_element_at(F.map_values(matches), F.lit(-1)), F.lit(""))
 
-    bad = fields.isNull()
-    return attempts.withColumns(
+    bad = F.col("_fields").isNull()
+    return parsed.withColumns(
         {
             "body_code": F.when(bad, BAD_REQUEST).otherwise(field("errorcode")),
             "body_message": F.when(bad, BAD_REQUEST_TEXT).otherwise(field("errormessage")),
         }
-    )
+    ).drop("_fields")
 
 
 def classify_response(attempts: DataFrame) -> DataFrame:
@@ -68,7 +71,7 @@ def classify_response(attempts: DataFrame) -> DataFrame:
             .otherwise(unknown)
         )
 
-    parsed = parse_error_body(attempts)
+    parsed = parse_error_body(attempts, code.isin(*BODY_CODES))
     return parsed.withColumns(
         {
             "outcome": outcome,

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from logfreight.functions.ids import package_id
 from logfreight.functions.sizes import (
     field_size,
+    list_size,
     log_size,
     log_wire_size,
     logs_wire_size,
@@ -55,46 +56,40 @@ _LABELS = (
 
 def sized_logs(logs: DataFrame) -> DataFrame:
     """The narrow rows that decide the packing of single logs."""
-    wire = log_wire_size(F.col("time"), F.col("contents"), F.col("collect_time"))
-    return logs.select(
-        *ROW,
-        log_size(F.col("contents")).alias("size_bytes"),
-        field_size(wire).alias("logs_wire_bytes"),
-        F.lit(1).cast("long").alias("n_logs"),
+    sized = logs.selectExpr(*ROW, f"{log_size()} AS size_bytes", f"{log_wire_size()} AS _wire")
+    return sized.selectExpr(
+        *ROW, "size_bytes", f"{field_size('_wire')} AS logs_wire_bytes", "1L AS n_logs"
     )
 
 
 def sized_lists(lists: DataFrame) -> DataFrame:
     """The narrow rows that decide the packing of log lists; empty lists pack nothing."""
-    sizes = F.transform("logs", lambda log: log_size(log["contents"]))
-    total = F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, size: acc + size)
-    return lists.filter(F.size("logs") > 0).select(
+    return lists.filter(F.size("logs") > 0).selectExpr(
         *ROW,
-        total.alias("size_bytes"),
-        logs_wire_size(F.col("logs")).alias("logs_wire_bytes"),
-        F.size("logs").cast("long").alias("n_logs"),
+        f"{list_size()} AS size_bytes",
+        f"{logs_wire_size()} AS logs_wire_bytes",
+        "cast(size(logs) AS bigint) AS n_logs",
     )
 
 
+def _repeats(table: pa.Table, names: list[str]) -> np.ndarray:
+    """Whether each row but the first equals the one before it in all of the columns."""
+    same = np.ones(table.num_rows - 1, dtype=bool)
+    for name in names:
+        column = table[name].combine_chunks()
+        same &= pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return same
+
+
 def _read_slice(batches: Iterator[pa.RecordBatch], metadata: int):
     table = pa.Table.from_batches(list(batches)).combine_chunks()
     n = table.num_rows
+    if any(table[name].null_count for name in ROW):
+        raise ValueError(f"{ROW} must not be null")
     changed = np.ones(n, dtype=bool)
-    if n > 1:
-        same = np.ones(n - 1, dtype=bool)
-        same_row = np.ones(n - 1, dtype=bool)
-        for name in ROW:
-            column = table[name].combine_chunks()
-            equal = pc.equal(column[1:], column[:-1])
-            both_null = pc.and_(pc.is_null(column[1:]), pc.is_null(column[:-1]))
-            equal = pc.fill_null(equal, False).to_numpy(zero_copy_only=False)
-            equal = equal | both_null.to_numpy(zero_copy_only=False)
-            if name in SEQUENCE:
-                same &= equal
-            same_row &= equal
-        if same_row.any():
-            raise ValueError(f"rows are not unique in {ROW}")
-        changed[1:] = ~same
+    changed[1:] = ~_repeats(table, SEQUENCE)
+    if _repeats(table, ROW).any():
+        raise ValueError(f"rows are not unique in {ROW}")
     arrival, size, wire, n_logs = (
         table[name].to_numpy() for name in ["arrival_ms", "size_bytes", "logs_wire_bytes", "n_logs"]
     )
@@ -234,12 +229,12 @@ def _label(limits: PackOptions, metadata: int):
 def assign_packages(sized: DataFrame, opts: PackOptions) -> DataFrame:
     """Packing of the narrow rows of ``sized_logs`` or ``sized_lists``.
 
-    (producer, topic_id, arrival_ms, seq) must be unique. One range shuffle of narrow
-    rows, a checkpoint, and two passes over it without a further shuffle.
+    (producer, topic_id, arrival_ms, seq) must be unique. The source is read once; then
+    there is one range shuffle of narrow rows and two passes over them without another.
     """
     metadata = opening_metadata_size(opts.source, opts.hostname)
     parts = partitions_of(sized, opts.partitions)
-    ordered = range_ordered(sized, SEQUENCE, ARRIVAL, parts)
+    ordered = range_ordered(sized, SEQUENCE, ARRIVAL, parts, scan_once=True)
     summaries = ordered.drop("part").mapInArrow(_summarise(opts, metadata), _SUMMARY)
     borders = _borders(summaries, parts, opts).withColumnRenamed("part", "_part")
     # One short text per partition; only the first row of each needs it.
@@ -259,10 +254,9 @@ def _attach(wide: DataFrame, labels: DataFrame) -> DataFrame:
         *[F.col(name).alias(f"_{name}") for name in ROW],
         *[name for name in labels.columns if name not in ROW],
     )
-    condition = F.lit(True)
-    for name in ROW:
-        condition = condition & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return wide.join(renamed, condition).drop(*[f"_{name}" for name in ROW])
+    # The number of the row first: it alone tells most rows apart.
+    matches = [F.col(name) == F.col(f"_{name}") for name in reversed(ROW)]
+    return wide.join(renamed, matches).drop(*[f"_{name}" for name in ROW])
 
 
 def pack_logs(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
@@ -280,11 +274,9 @@ def pack_log_lists(lists: DataFrame, opts: PackOptions = PackOptions()) -> DataF
     others = [name for name in packed.columns if name != "logs"]
     exploded = packed.select(*others, F.posexplode("logs").alias("position", "_log"))
     exploded = exploded.select(*others, F.col("position").cast("long").alias("position"), "_log.*")
-    wire = log_wire_size(F.col("time"), F.col("contents"), F.col("collect_time"))
-    return (
-        exploded.withColumn("size_bytes", log_size(F.col("contents")))
-        .withColumn("logs_wire_bytes", field_size(wire))
-        .withColumn("n_logs", F.lit(1).cast("long"))
+    sized = exploded.selectExpr("*", f"{log_size()} AS size_bytes", f"{log_wire_size()} AS _wire")
+    return sized.selectExpr("*", f"{field_size('_wire')} AS logs_wire_bytes", "1L AS n_logs").drop(
+        "_wire"
     )
 
 
@@ -312,7 +304,7 @@ def pack_logs_grid(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFr
     linger = F.lit(opts.linger_ms).cast("long")
     sized = sized_logs(logs).withColumn("bucket", F.call_function("div", "arrival_ms", linger))
     keys = [*SEQUENCE, "bucket"]
-    ordered = range_ordered(sized, keys, ARRIVAL, opts.partitions)
+    ordered = range_ordered(sized, keys, ARRIVAL, opts.partitions, scan_once=True)
     running = running_sums(
         ordered, keys, ARRIVAL, {"_bytes": F.col("size_bytes"), "_rank": F.col("n_logs")}
     )

@@ -43,13 +43,13 @@ def reject_incomplete(logs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def log_list_size(logs: DataFrame, by: Sequence[str]) -> DataFrame:
     """Accounting size of lists of logs."""
-    return logs.groupBy(*by).agg(F.sum(log_size(F.col("contents"))).alias("size_bytes"))
+    return logs.groupBy(*by).agg(F.sum(F.expr(log_size())).alias("size_bytes"))
 
 
 def _measured(logs: DataFrame, by: Sequence[str], max_value_bytes: int) -> DataFrame:
     over = has_oversize_value(F.col("contents"), max_value_bytes)
     return logs.groupBy(*by).agg(
-        F.sum(log_size(F.col("contents"))).alias("size_bytes"),
+        F.sum(F.expr(log_size())).alias("size_bytes"),
         F.count("*").alias("n_logs"),
         F.max(over).alias("oversize"),
     )

@@ -23,15 +23,23 @@ def partitions_of(df: DataFrame, partitions: int | None) -> int:
 
 
 def range_ordered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partitions: int | None = None,
+    scan_once: bool = False,
 ) -> DataFrame:
     """Rows sorted by (keys, order) across partitions, with ``part`` and ``row_id``.
 
     The bounds of the partitions come from a sample, so the result is checkpointed:
-    every later pass must see the same cut. Pass narrow rows.
+    every later pass must see the same cut. Pass narrow rows. Sampling evaluates the
+    input once more; with ``scan_once`` the narrow rows are checkpointed before it, which
+    pays where they are computed from a wide source.
     """
     checkpoint_dir(df.sparkSession)
     columns = [*keys, *order]
+    if scan_once:
+        df = df.checkpoint()
     return (
         df.repartitionByRange(partitions_of(df, partitions), *columns)
         .sortWithinPartitions(*columns)

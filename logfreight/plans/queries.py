@@ -21,11 +21,11 @@ from logfreight.streaming import microbatch, stateful
 
 HOUR_MS = 3_600_000
 # Limits low enough for every close reason to occur on the sample tables.
-EVENT_PACKS = PackOptions(max_bytes=250, cap_bytes=265, max_logs=7, linger_ms=3 * HOUR_MS)
+EVENT_PACKS = PackOptions(max_bytes=250, cap_bytes=257, max_logs=7, linger_ms=3 * HOUR_MS)
 DOCUMENT_PACKS = PackOptions(
-    max_bytes=40_000, cap_bytes=60_000, max_logs=30, linger_ms=20_000, source="10.0.0.1"
+    max_bytes=30_000, cap_bytes=32_000, max_logs=12, linger_ms=10_000, source="10.0.0.1"
 )
-LIST_PACKS = PackOptions(max_bytes=3_000, cap_bytes=3_500, max_logs=9, linger_ms=20_000)
+LIST_PACKS = PackOptions(max_bytes=3_500, cap_bytes=4_200, max_logs=7, linger_ms=6_000)
 RETRIES = DeliveryOptions(retries=2, backoff_ms=100, max_backoff_ms=350, total_bytes=2_000)
 MAX_VALUE_BYTES = 4_000
 MAX_REQUEST_BYTES = 120_000
@@ -157,36 +157,39 @@ def payload_stats(spark, folder):
 @_query
 def log_size(spark, folder):
     logs = sample.document_logs(spark, folder)
-    return logs.select("seq", sizes.log_size(F.col("contents")).alias("size_bytes"))
+    return logs.select("seq", F.expr(sizes.log_size()).alias("size_bytes"))
 
 
 @_query
 def varint_size(spark, folder):
     events = sample.table(spark, folder, "events")
-    number = F.col("event_id") * F.col("event_id") * 1_000_003 * (1 - 2 * (F.col("event_id") % 2))
-    return events.select("event_id", sizes.varint_size(number).alias("n_bytes"))
+    numbers = events.selectExpr(
+        "event_id", "event_id * event_id * 1000003 * (1 - 2 * (event_id % 2)) AS number"
+    )
+    return numbers.selectExpr("event_id", f"{sizes.varint_size('number')} AS n_bytes")
 
 
 @_query
 def content_wire_size(spark, folder):
     long = contents.contents_long(sample.page_logs(spark, folder))
-    pair = F.struct("key", "value")
-    return long.select("seq", "position", sizes.content_wire_size(pair).alias("wire_bytes"))
+    pairs = long.select("seq", "position", F.struct("key", "value").alias("pair"))
+    return pairs.selectExpr("seq", "position", f"{sizes.content_wire_size('pair')} AS wire_bytes")
 
 
 @_query
 def tag_wire_size(spark, folder):
     nations = sample.table(spark, folder, "nation")
-    tag = F.struct(F.lit("nation").alias("key"), F.col("n_name").alias("value"))
-    return nations.select("n_nationkey", sizes.tag_wire_size(tag).alias("wire_bytes"))
+    tags = nations.selectExpr(
+        "n_nationkey", "named_struct('key', 'nation', 'value', n_name) AS tag"
+    )
+    return tags.selectExpr("n_nationkey", f"{sizes.tag_wire_size('tag')} AS wire_bytes")
 
 
 @_query
 def log_wire_size(spark, folder):
-    logs = sample.document_logs(spark, folder)
     collected = F.when(F.col("seq") % 3 == 0, F.col("arrival_ms"))
-    size = sizes.log_wire_size(F.col("time"), F.col("contents"), collected)
-    return logs.select("seq", size.alias("wire_bytes"))
+    logs = sample.document_logs(spark, folder).withColumn("collect_time", collected)
+    return logs.selectExpr("seq", f"{sizes.log_wire_size()} AS wire_bytes")
 
 
 @_query
@@ -223,8 +226,7 @@ def with_defaults(spark, folder):
 @_query
 def ns_to_ms(spark, folder):
     events = sample.table(spark, folder, "events")
-    ns = (F.col("event_id") - 500) * 1_500_001
-    return events.select("event_id", sizes.ns_to_ms(ns).alias("ms"))
+    return events.selectExpr("event_id", f"{sizes.ns_to_ms('(event_id - 500) * 1500001')} AS ms")
 
 
 @_query
@@ -389,7 +391,7 @@ def _event_packages(spark, folder):
         F.col("seq").cast("string").alias("package_id"),
         "topic_id",
         F.col("arrival_ms").alias("close_ms"),
-        sizes.log_size(F.col("contents")).alias("size_bytes"),
+        F.expr(sizes.log_size()).alias("size_bytes"),
     )
 
 

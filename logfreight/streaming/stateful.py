@@ -161,21 +161,17 @@ def pack_stream(
     """
     session = stream.sparkSession
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    contents = F.col("contents")
-    sized = stream.select(
-        "topic_id",
-        "producer",
-        "seq",
-        "arrival_ms",
-        "time",
-        F.to_json(contents, {"ignoreNullFields": "false"}).alias("pairs"),
-        "collect_time",
-        log_size(contents).alias("size_bytes"),
-        field_size(log_wire_size(F.col("time"), contents, F.col("collect_time"))).alias(
-            "logs_wire_bytes"
-        ),
-        F.timestamp_millis("arrival_ms").alias("event_ts"),
-    ).withWatermark("event_ts", f"{delay_ms} milliseconds")
+    narrow = ["topic_id", "producer", "seq", "arrival_ms", "time", "collect_time"]
+    sized = stream.selectExpr(
+        *narrow,
+        "to_json(contents, map('ignoreNullFields', 'false')) AS pairs",
+        f"{log_size()} AS size_bytes",
+        f"{log_wire_size()} AS _wire",
+        "timestamp_millis(arrival_ms) AS event_ts",
+    )
+    wire = f"{field_size('_wire')} AS logs_wire_bytes"
+    sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire, "event_ts")
+    sized = sized.withWatermark("event_ts", f"{delay_ms} milliseconds")
     packed = sized.groupBy("producer", "topic_id").transformWithStateInPandas(
         statefulProcessor=_Packer(opts, delay_ms),
         outputStructType=_OUT_SCHEMA,
