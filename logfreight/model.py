@@ -75,7 +75,7 @@ class PackOptions:
     at which a log is no longer added to a package it would overfill; only tests
     have a reason to lower it. ``run_secs`` goes into the package ids and has to stay
     the same for every run that must reproduce them. ``partitions`` defaults to
-    ``spark.sql.shuffle.partitions``.
+    ``spark.sql.shuffle.partitions``; a task takes ``slice_rows`` narrow rows at a time.
     """
 
     max_bytes: int = DEFAULT_PACKAGE_BYTES
@@ -86,6 +86,7 @@ class PackOptions:
     hostname: str = ""
     run_secs: int = 0
     partitions: int | None = None
+    slice_rows: int = 262_144
 
     def __post_init__(self) -> None:
         if not 0 < self.max_bytes <= MAX_PACKAGE_BYTES:

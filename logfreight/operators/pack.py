@@ -8,6 +8,7 @@ Only keys and sizes are sorted and checkpointed; contents are joined back afterw
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,7 @@ SEQUENCE = ["producer", "topic_id"]
 ARRIVAL = ["arrival_ms", "seq"]
 ROW = SEQUENCE + ARRIVAL
 SIZES = ["size_bytes", "logs_wire_bytes", "n_logs"]
+_NUMBERS = ["package_seq", "create_ms", "close_ms"]
 FANOUT = 32
 
 _SUMMARY = (
@@ -81,37 +83,55 @@ def _repeats(table: pa.Table, names: list[str]) -> np.ndarray:
     return same
 
 
-def _read_slice(batches: Iterator[pa.RecordBatch], metadata: int):
-    table = pa.Table.from_batches(list(batches)).combine_chunks()
-    n = table.num_rows
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.Table, bool]]:
+    """The rows of a partition in tables of about ``rows``, and whether it is the last."""
+    waiting: pa.Table | None = None
+    gathered: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        gathered.append(batch)
+        if sum(b.num_rows for b in gathered) >= rows:
+            if waiting is not None:
+                yield waiting, False
+            waiting, gathered = pa.Table.from_batches(gathered), []
+    if gathered:
+        if waiting is not None:
+            yield waiting, False
+        waiting = pa.Table.from_batches(gathered)
+    if waiting is not None:
+        yield waiting, True
+
+
+def _key(table: pa.Table, at: int, names: list[str] = SEQUENCE) -> tuple:
+    return tuple(table[name][at].as_py() for name in names)
+
+
+def _packable(table: pa.Table, metadata: int) -> greedy.Rows:
     if any(table[name].null_count for name in ROW):
         raise ValueError(f"{ROW} must not be null")
-    changed = np.ones(n, dtype=bool)
-    changed[1:] = ~_repeats(table, SEQUENCE)
     if _repeats(table, ROW).any():
         raise ValueError(f"rows are not unique in {ROW}")
-    arrival, size, wire, n_logs = (
-        table[name].to_numpy() for name in ["arrival_ms", "size_bytes", "logs_wire_bytes", "n_logs"]
-    )
-    rows = greedy.Rows(arrival, size, wire + metadata, n_logs, changed)
-
-    def key(at: int) -> tuple:
-        return tuple(table[name][at].as_py() for name in SEQUENCE)
-
-    return table, rows, key(0), key(n - 1)
+    changed = np.concatenate([[True], ~_repeats(table, SEQUENCE)])
+    names = ["arrival_ms", "size_bytes", "logs_wire_bytes", "n_logs"]
+    arrival, size, wire, n_logs = (table[name].to_numpy() for name in names)
+    return greedy.Rows(arrival, size, wire + metadata, n_logs, changed)
 
 
 def _summarise(limits: PackOptions, metadata: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        table, rows, first, last = _read_slice(batches, metadata)
-        part = greedy.summarise(rows, first, last, limits)
-        number = table["row_id"][0].as_py() >> PART_BITS
-        yield from pa.Table.from_pandas(
-            pd.DataFrame([_as_record(number, part)]), _SUMMARY_ARROW, preserve_index=False
-        ).to_batches()
+        parts: list[greedy.Slice] = []
+        number = None
+        for table, _ in _slices(batches, limits.slice_rows):
+            number = table["row_id"][0].as_py() >> PART_BITS
+            rows = _packable(table, metadata)
+            last = _key(table, table.num_rows - 1)
+            parts.append(greedy.summarise(rows, _key(table, 0), last, limits))
+            if len(parts) == FANOUT:
+                parts = [greedy.merge(parts, limits)]
+        if parts:
+            record = _as_record(number, greedy.merge(parts, limits))
+            yield pa.RecordBatch.from_pylist([record], _SUMMARY_ARROW)
 
     return run
 
@@ -208,20 +228,35 @@ def _borders(summaries: DataFrame, parts: int, limits: PackOptions) -> DataFrame
 
 
 def _label(limits: PackOptions, metadata: int):
+    names = pa.array(greedy.REASONS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        table, rows, first, _ = _read_slice(batches, metadata)
-        border = greedy.Border.loads(table["border"][0].as_py())
-        number, create, close, reason = greedy.label(rows, first, border, limits)
-        names = pa.array(greedy.REASONS)
-        labelled = table.select(ROW + SIZES)
-        labelled = labelled.append_column("package_seq", pa.array(number, pa.int64()))
-        labelled = labelled.append_column("create_ms", pa.array(create, pa.int64()))
-        labelled = labelled.append_column("close_ms", pa.array(close, pa.int64()))
-        labelled = labelled.append_column("close_reason", names.take(pa.array(reason)))
-        yield from labelled.to_batches(max_chunksize=64 * 1024)
+        border: greedy.Border | None = None
+        held = before = None
+        for table, last in _slices(batches, limits.slice_rows):
+            if border is None:
+                border = greedy.Border.loads(table["border"][0].as_py())
+            if before == _key(table, 0, ROW):
+                raise ValueError(f"rows are not unique in {ROW}")
+            before = _key(table, table.num_rows - 1, ROW)
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            known = border if last else replace(border, tail_reason=greedy.UNKNOWN)
+            number, create, close, reason = greedy.label(
+                _packable(table, metadata), _key(table, 0), known, limits
+            )
+            # What is still open waits for the next rows; it is no more than a package.
+            done = int(np.count_nonzero(reason != greedy.UNKNOWN))
+            labelled = table.select(ROW + SIZES).slice(0, done)
+            for name, values in zip(_NUMBERS, (number, create, close)):
+                labelled = labelled.append_column(name, pa.array(values[:done], pa.int64()))
+            labelled = labelled.append_column("close_reason", names.take(pa.array(reason[:done])))
+            yield from labelled.to_batches(max_chunksize=64 * 1024)
+            held = table.slice(done) if done < table.num_rows else None
+            if done:
+                opened = int(number[-1]) - (held is not None)
+                key = _key(table, table.num_rows - 1)
+                border = replace(border, key=key, is_open=False, opened=opened)
 
     return run
 

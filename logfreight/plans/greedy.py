@@ -373,7 +373,7 @@ def label(rows: Rows, first_key: tuple, border: Border, limits: PackOptions):
         if why == UNKNOWN and run_rows < n:
             lead = (FLUSH, int(rows.arrival[run_rows - 1]))
         elif why == UNKNOWN:
-            lead = (border.tail_reason, border.tail_ms)
+            lead = (border.tail_reason, border.tail_ms or 0)
         elif why == LINGER:
             lead = (why, border.create_ms + limits.linger_ms)
         else:

@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from logfreight.session import checkpoint_dir
 
 PART_BITS = 33
+# A row per partition is broadcast in later passes; this keeps that to a few megabytes.
+MAX_PARTITIONS = 100_000
 
 
 def partitions_of(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chosen = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(chosen, MAX_PARTITIONS)
 
 
 def range_ordered(
@@ -49,13 +52,6 @@ def range_ordered(
     )
 
 
-def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in columns:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def _carry(ordered: DataFrame, pieces: DataFrame, keys: Sequence[str], names: Sequence[str]):
     """Add per-piece values of ``pieces``, of which there are fewer than partitions."""
     side = pieces.select(
