@@ -43,6 +43,18 @@ LOGS = T.StructType(
         *LOG.fields,
     ]
 )
+PACKED = T.StructType(
+    [
+        *LOGS.fields,
+        T.StructField("size_bytes", T.LongType()),
+        T.StructField("logs_wire_bytes", T.LongType()),
+        T.StructField("n_logs", T.LongType()),
+        T.StructField("create_ms", T.LongType()),
+        T.StructField("close_ms", T.LongType()),
+        T.StructField("close_reason", T.StringType()),
+        T.StructField("package_id", T.StringType()),
+    ]
+)
 OUTBOX = T.StructType(
     [
         T.StructField("package_id", T.StringType()),

@@ -284,7 +284,8 @@ def _id(opts: PackOptions) -> Column:
     return package_id(F.col("producer"), F.col("topic_id"), F.col("package_seq"), opts.run_secs)
 
 
-def _attach(wide: DataFrame, labels: DataFrame) -> DataFrame:
+def attach(wide: DataFrame, labels: DataFrame) -> DataFrame:
+    """Put the labels of narrow rows on the rows they were made from."""
     renamed = labels.select(
         *[F.col(name).alias(f"_{name}") for name in ROW],
         *[name for name in labels.columns if name not in ROW],
@@ -296,7 +297,7 @@ def _attach(wide: DataFrame, labels: DataFrame) -> DataFrame:
 
 def pack_logs(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
     """Logs with the package each goes into, packed per (producer, topic) in arrival order."""
-    return _attach(logs, assign_packages(sized_logs(logs), opts))
+    return attach(logs, assign_packages(sized_logs(logs), opts))
 
 
 def pack_log_lists(lists: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
@@ -305,7 +306,7 @@ def pack_log_lists(lists: DataFrame, opts: PackOptions = PackOptions()) -> DataF
     The count limit is tested as if a list were one log. Returns one row per log with
     its ``position`` in the list.
     """
-    packed = _attach(lists, assign_packages(sized_lists(lists), opts).drop(*SIZES))
+    packed = attach(lists, assign_packages(sized_lists(lists), opts).drop(*SIZES))
     others = [name for name in packed.columns if name != "logs"]
     exploded = packed.select(*others, F.posexplode("logs").alias("position", "_log"))
     exploded = exploded.select(*others, F.col("position").cast("long").alias("position"), "_log.*")

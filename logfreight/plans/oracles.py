@@ -396,6 +396,11 @@ ORACLES["pack_stream"] = event_packing(
     f"""SELECT topic_id, seq, package_seq, {package_id("topic_id", "package_seq")} AS package_id,
        create_ms, close_ms, close_reason FROM labels"""
 )
+_opener = package_id("topic_id", "first_value(seq) OVER p")
+ORACLES["pack_stream_carried"] = event_packing(
+    f"""SELECT topic_id, seq, {_opener} AS package_id, create_ms FROM labels
+WINDOW p AS (PARTITION BY topic_id, package_seq ORDER BY arrival_ms, seq)"""
+)
 ORACLES["flush_open"] = event_packing(
     """SELECT topic_id, package_seq, n_logs, close_ms FROM packages WHERE close_reason = 'flush'"""
 )

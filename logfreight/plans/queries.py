@@ -17,7 +17,7 @@ from logfreight.session import prepare
 from logfreight.sources import logs as log_sources
 from logfreight.sources.outbox import read_outbox, write_outbox
 from logfreight.sources.payloads import read_payloads
-from logfreight.streaming import microbatch, stateful
+from logfreight.streaming import carried, microbatch, stateful
 
 HOUR_MS = 3_600_000
 # Limits low enough for every close reason to occur on the sample tables.
@@ -515,6 +515,17 @@ def pack_stream(spark, folder):
     )
 
 
+@_query
+def pack_stream_carried(spark, folder):
+    where = _scratch()
+    query = carried.pack_stream_carried(
+        _event_stream(spark, folder), f"{where}/out", f"{where}/state", EVENT_PACKS, available_now=True
+    )
+    query.awaitTermination()
+    packed = carried.read_packed(spark, f"{where}/out", ended=True)
+    return packed.select("topic_id", "seq", "package_id", "create_ms")
+
+
 @_query
 def flush_open(spark, folder):
     flushed = _drained_stream(spark, folder).filter("close_reason = 'flush'")
