@@ -15,6 +15,7 @@ from logfreight.plans.queries import (
     RETRIES,
     TAGS,
 )
+from logfreight.plans.sample_tables import LIST_TURNS
 
 ORACLES: dict[str, str] = {}
 ID_FIELD = 43
@@ -198,7 +199,7 @@ ORACLES["logs_from_map"] = """
 SELECT lang AS topic_id, doc_id AS seq, 0 AS position, 'chars' AS key, n_chars::VARCHAR AS value FROM documents
 UNION ALL SELECT lang, doc_id, 1, 'lang', lang FROM documents
 UNION ALL SELECT lang, doc_id, 2, 'source', source FROM documents"""
-ORACLES["read_payloads_back"] = document_packing(
+ORACLES["read_payloads"] = document_packing(
     f"""SELECT d.seq AS doc_id, md5(d.text) AS text_md5, d.source, NULL::BIGINT AS collect_time,
        NULL::VARCHAR AS _corrupt, {package_id("l.topic_id", "l.package_seq")} AS package_id
 FROM labels l JOIN d ON d.seq = l.seq"""
@@ -212,7 +213,7 @@ ORACLES["encode_packages"] = document_packing(
     f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id,
        'lz4' AS compress_type, {REQUEST_BYTES} AS raw_bytes FROM packages"""
 )
-ORACLES["write_outbox_twice"] = document_packing(
+ORACLES["write_outbox"] = document_packing(
     f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id,
        'deflate' AS compress_type, {REQUEST_BYTES} AS raw_bytes, 7::BIGINT AS batch_id FROM packages"""
 )
@@ -240,7 +241,7 @@ ORACLES["content_wire_size"] = f"""
 SELECT page_id AS seq, 0 AS position, {pair_size("'url'", "url")} AS wire_bytes FROM pages
 UNION ALL SELECT page_id, 1, {pair_size("'html'", "html")} FROM pages"""
 ORACLES["tag_wire_size"] = f"""
-SELECT n_nationkey, {pair_size("'nation'", "n_name")} AS wire_bytes FROM nation"""
+SELECT doc_id, {pair_size("lang", "source")} AS wire_bytes FROM documents"""
 ORACLES["log_wire_size"] = f"""WITH {DOCUMENTS}
 SELECT seq, log_bytes + CASE WHEN seq % 3 = 0 THEN 1 + {vint("arrival_ms")} ELSE 0 END AS wire_bytes FROM d"""
 _tag_bytes = " + ".join(field(pair_size(f"'{k}'", f"'{v}'")) for k, v in TAGS.items())
@@ -262,7 +263,7 @@ ORACLES["stamp_group"] = f"""
 SELECT 'queued' AS mode, page_id AS seq, '10.0.0.1' AS source, '' AS hostname,
        NULL::VARCHAR AS filename, {len(TAGS)} AS n_tags FROM pages
 UNION ALL SELECT 'direct', page_id, NULL, 'web-1', NULL, 0 FROM pages"""
-ORACLES["package_ids"] = f"""
+ORACLES["package_id"] = f"""
 SELECT event_id, {package_id("event_type", "event_id + 1", 1_700_000_000)} AS package_id FROM events"""
 ORACLES["reject_oversize"] = f"""
 SELECT doc_id AS seq, CASE WHEN strlen(text) > {MAX_VALUE_BYTES} OR strlen(source) > {MAX_VALUE_BYTES}
@@ -351,17 +352,19 @@ FROM labels l JOIN e ON e.seq = l.seq"""
 LISTS = f"""turns AS (
   SELECT conv_id, turn, {accounting(*TEXT_PAIRS)} AS size_bytes,
          {field(wire("turn", *TEXT_PAIRS))} AS inside,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations),
+         conv_id * 1000 + turn // {LIST_TURNS} AS seq,
+         row_number() OVER (PARTITION BY conv_id, turn // {LIST_TURNS} ORDER BY turn) - 1 AS position
+  FROM conversations),
 lists AS (
-  SELECT 'chat' || (conv_id % 3) AS topic_id, conv_id AS seq, conv_id * 1000 AS arrival_ms,
+  SELECT 'chat' || (seq % 3) AS topic_id, seq, seq AS arrival_ms,
          sum(size_bytes) AS size_bytes, sum(inside) AS inside_bytes, count(*) AS n_turns
-  FROM turns GROUP BY conv_id)"""
+  FROM turns GROUP BY conv_id, seq)"""
 ORACLES["pack_log_lists"] = with_packing(
     LISTS,
     "lists",
     LIST_PACKS,
     """SELECT l.topic_id, l.seq, t.position, l.package_seq, l.create_ms, l.close_ms, l.close_reason,
-       t.size_bytes FROM labels l JOIN turns t ON t.conv_id = l.seq""",
+       t.size_bytes FROM labels l JOIN turns t ON t.seq = l.seq""",
     n_logs="n_turns",
     inside="inside_bytes",
 )

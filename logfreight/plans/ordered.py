@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logfreight.session import checkpoint_dir
+from logfreight.session import checkpoint_dir, written_table
 
 PART_BITS = 33
 # A row per partition is broadcast in later passes; this keeps that to a few megabytes.
@@ -36,13 +36,13 @@ def range_ordered(
 
     The bounds of the partitions come from a sample, so the result is checkpointed:
     every later pass must see the same cut. Pass narrow rows. Sampling evaluates the
-    input once more; with ``scan_once`` the narrow rows are checkpointed before it, which
-    pays where they are computed from a wide source.
+    input once more; with ``scan_once`` the narrow rows are written to a table before it,
+    which pays where they are computed from a wide source.
     """
     checkpoint_dir(df.sparkSession)
     columns = [*keys, *order]
     if scan_once:
-        df = df.checkpoint()
+        df = written_table(df)
     return (
         df.repartitionByRange(partitions_of(df, partitions), *columns)
         .sortWithinPartitions(*columns)

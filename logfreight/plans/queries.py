@@ -8,15 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logfreight.functions import sizes
-from logfreight.functions.ids import package_id
+from logfreight.functions import ids, sizes
 from logfreight.model import ATTEMPTS, PAIRS, DeliveryOptions, PackOptions
 from logfreight.operators import assemble, contents, delivery, pack, send, validate
 from logfreight.plans import sample_tables as sample
 from logfreight.session import prepare
 from logfreight.sources import logs as log_sources
-from logfreight.sources.outbox import read_outbox, write_outbox
-from logfreight.sources.payloads import read_payloads
+from logfreight.sources import outbox as outboxes
+from logfreight.sources import payloads
 from logfreight.streaming import carried, microbatch, stateful
 
 HOUR_MS = 3_600_000
@@ -79,11 +78,12 @@ def logs_from_map(spark, folder):
 
 
 @_query
-def read_payloads_back(spark, folder):
+def read_payloads(spark, folder):
     where = _scratch()
     packed = pack.pack_logs(sample.document_logs(spark, folder), DOCUMENT_PACKS)
-    write_outbox(assemble.encode_packages(packed, "zstd", DOCUMENT_PACKS), where, 0)
-    wide = contents.contents_wide(read_payloads(spark, where), ["text", "source"], "log_")
+    outboxes.write_outbox(assemble.encode_packages(packed, "zstd", DOCUMENT_PACKS), where, 0)
+    logs = payloads.read_payloads(spark, where)
+    wide = contents.contents_wide(logs, ["text", "source"], "log_")
     return wide.select(
         F.col("time").alias("doc_id"),
         F.md5("log_text").alias("text_md5"),
@@ -118,12 +118,12 @@ def encode_packages(spark, folder):
 
 
 @_query
-def write_outbox_twice(spark, folder):
+def write_outbox(spark, folder):
     where = _scratch()
     encoded = _encoded(spark, folder, "deflate")
-    write_outbox(encoded, where, 7)
-    write_outbox(encoded, where, 7)
-    return read_outbox(spark, where).select(
+    outboxes.write_outbox(encoded, where, 7)
+    outboxes.write_outbox(encoded, where, 7)
+    return outboxes.read_outbox(spark, where).select(
         "package_id", "topic_id", "compress_type", "raw_bytes", "batch_id"
     )
 
@@ -178,11 +178,9 @@ def content_wire_size(spark, folder):
 
 @_query
 def tag_wire_size(spark, folder):
-    nations = sample.table(spark, folder, "nation")
-    tags = nations.selectExpr(
-        "n_nationkey", "named_struct('key', 'nation', 'value', n_name) AS tag"
-    )
-    return tags.selectExpr("n_nationkey", f"{sizes.tag_wire_size('tag')} AS wire_bytes")
+    documents = sample.table(spark, folder, "documents")
+    tags = documents.selectExpr("doc_id", "named_struct('key', lang, 'value', source) AS tag")
+    return tags.selectExpr("doc_id", f"{sizes.tag_wire_size('tag')} AS wire_bytes")
 
 
 @_query
@@ -239,9 +237,9 @@ def stamp_group(spark, folder):
 
 
 @_query
-def package_ids(spark, folder):
+def package_id(spark, folder):
     events = sample.table(spark, folder, "events")
-    identity = package_id(F.lit("main"), F.col("event_type"), F.col("event_id") + 1, 1_700_000_000)
+    identity = ids.package_id(F.lit("main"), F.col("event_type"), F.col("event_id") + 1, 1_700_000_000)
     return events.select("event_id", identity.alias("package_id"))
 
 
@@ -537,8 +535,8 @@ def flush_open(spark, folder):
 @_query
 def retry_pass(spark, folder):
     where = _scratch()
-    write_outbox(_encoded(spark, folder, "none"), f"{where}/outbox", 0)
-    outbox = read_outbox(spark, f"{where}/outbox")
+    outboxes.write_outbox(_encoded(spark, folder, "none"), f"{where}/outbox", 0)
+    outbox = outboxes.read_outbox(spark, f"{where}/outbox")
     workers = DeliveryOptions(workers=4)
     attempts = spark.createDataFrame([], ATTEMPTS)
     for pass_id in range(3):

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from logfreight.model import LOG
 from logfreight.sources.logs import arrival_ms, logs_from_columns
 
+LIST_TURNS = 4
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -43,17 +45,18 @@ def page_logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def conversation_lists(spark: SparkSession, folder: str) -> DataFrame:
-    """One list of logs per conversation, in three topics."""
+    """Lists of up to ``LIST_TURNS`` turns of a conversation, in three topics."""
     turns = table(spark, folder, "conversations")
-    logs = logs_from_columns(turns, F.lit(""), "turn", ["role", "text"], "conv_id", "turn")
-    lists = logs.groupBy(F.col("arrival_ms").alias("conv_id")).agg(
+    part = F.col("conv_id") * 1000 + F.expr(f"turn div {LIST_TURNS}")
+    logs = logs_from_columns(turns, F.lit(""), "turn", ["role", "text"], part, "conv_id")
+    lists = logs.groupBy("seq", "arrival_ms").agg(
         F.array_sort(F.collect_list(F.struct(*[f.name for f in LOG.fields]))).alias("logs")
     )
     return lists.select(
-        F.concat(F.lit("chat"), (F.col("conv_id") % 3).cast("string")).alias("topic_id"),
+        F.concat(F.lit("chat"), (F.col("seq") % 3).cast("string")).alias("topic_id"),
         F.lit("main").alias("producer"),
-        F.col("conv_id").alias("seq"),
-        (F.col("conv_id") * 1000).alias("arrival_ms"),
+        F.col("arrival_ms").alias("seq"),
+        "arrival_ms",
         "logs",
     )
 

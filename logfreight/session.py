@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import pathlib
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -24,12 +26,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def written_table(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once as a table in the checkpoint folder."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Make a session ready: UTC, and this package importable in the Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     context = spark.sparkContext
     if not getattr(context, "_logfreight_shipped", False):
         root = pathlib.Path(__file__).resolve().parent.parent
+        # Executors get the archive; workers on this machine, among them the one that
+        # sets up stateful streams, get the folder.
+        given = context.environment.get("PYTHONPATH")
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [str(root), given]))
         base = pathlib.Path(tempfile.mkdtemp(prefix="logfreight-")) / "logfreight"
         context.addPyFile(shutil.make_archive(str(base), "zip", root, "logfreight"))
         context._logfreight_shipped = True
@@ -45,6 +58,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **settings: str) -
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.compress", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
