@@ -356,7 +356,7 @@ LISTS = f"""turns AS (
          row_number() OVER (PARTITION BY conv_id, turn // {LIST_TURNS} ORDER BY turn) - 1 AS position
   FROM conversations),
 lists AS (
-  SELECT 'chat' || (seq % 3) AS topic_id, seq, seq AS arrival_ms,
+  SELECT 'chat' || (conv_id % 3) AS topic_id, seq, seq AS arrival_ms,
          sum(size_bytes) AS size_bytes, sum(inside) AS inside_bytes, count(*) AS n_turns
   FROM turns GROUP BY conv_id, seq)"""
 ORACLES["pack_log_lists"] = with_packing(
