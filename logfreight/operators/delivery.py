@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logfreight.model import DeliveryOptions
@@ -28,27 +28,33 @@ INTERNAL_ERROR_TEXT = "server internal error"
 UNKNOWN_ERROR_TEXT = "unknown error"
 
 
-def parse_error_body(attempts: DataFrame, only: Column | None = None) -> DataFrame:
+def _codes(codes: Sequence[int]) -> str:
+    return ", ".join(map(str, codes))
+
+
+def parse_error_body(attempts: DataFrame, only: str = "true") -> DataFrame:
     """Code and message stated in the body; anything but a JSON object is a bad request.
 
-    Field names match in any case, and a field that is missing reads as empty text. With
-    ``only``, bodies of other rows are not looked at.
+    Field names match in any case, and a field that is missing reads as empty text.
+    Bodies of rows for which the condition ``only`` does not hold are not looked at.
     """
-    body = F.col("body") if only is None else F.when(only, F.col("body"))
-    # Parsed in a projection of its own, or every use below would parse it again.
-    parsed = attempts.withColumn("_fields", F.from_json(body, "map<string,string>"))
 
-    def field(name: str) -> Column:
-        matches = F.map_filter("_fields", lambda key, _: F.lower(key) == name)
-        return F.coalesce(F.try_element_at(F.map_values(matches), F.lit(-1)), F.lit(""))
+    def field(name: str, otherwise: str) -> str:
+        matches = f"map_values(map_filter(_fields, (k, v) -> lower(k) = '{name}'))"
+        found = f"coalesce(try_element_at({matches}, -1), '')"
+        return f"CASE WHEN _fields IS NULL THEN '{otherwise}' ELSE {found} END"
 
-    bad = F.col("_fields").isNull()
-    return parsed.withColumns(
-        {
-            "body_code": F.when(bad, BAD_REQUEST).otherwise(field("errorcode")),
-            "body_message": F.when(bad, BAD_REQUEST_TEXT).otherwise(field("errormessage")),
-        }
-    ).drop("_fields")
+    # Parsed in a projection of its own, or every use below would parse it again.
+    fields = f"from_json(CASE WHEN {only} THEN body END, 'map<string,string>') AS _fields"
+    return (
+        attempts.selectExpr("*", fields)
+        .selectExpr(
+            "*",
+            f"{field('errorcode', BAD_REQUEST)} AS body_code",
+            f"{field('errormessage', BAD_REQUEST_TEXT)} AS body_message",
+        )
+        .drop("_fields")
+    )
 
 
 def classify_response(attempts: DataFrame) -> DataFrame:
@@ -56,39 +62,36 @@ def classify_response(attempts: DataFrame) -> DataFrame:
 
     Successful attempts carry no request id, code or message.
     """
-    code = F.col("http_code")
-    outcome = (
-        F.when(code == OK, "success").when(code.isin(*TERMINAL_CODES), "terminal").otherwise("retry")
-    )
+    body_codes = f"http_code IN ({_codes(BODY_CODES)})"
 
-    def by_code(body, no_response, throttled, internal, unknown) -> Column:
+    def by_code(body: str, no_response: str, throttled: str, internal: str, unknown: str) -> str:
         return (
-            F.when(code == OK, "")
-            .when(code.isin(*BODY_CODES), body)
-            .when(code == NO_RESPONSE, no_response)
-            .when(code == THROTTLED, throttled)
-            .when(code >= SERVER_ERRORS_FROM, internal)
-            .otherwise(unknown)
+            f"CASE WHEN http_code = {OK} THEN '' WHEN {body_codes} THEN {body} "
+            f"WHEN http_code = {NO_RESPONSE} THEN {no_response} "
+            f"WHEN http_code = {THROTTLED} THEN '{throttled}' "
+            f"WHEN http_code >= {SERVER_ERRORS_FROM} THEN '{internal}' ELSE '{unknown}' END"
         )
 
-    parsed = parse_error_body(attempts, code.isin(*BODY_CODES))
-    return parsed.withColumns(
-        {
-            "outcome": outcome,
-            "success": code == OK,
-            "error_code": by_code(
-                F.col("body_code"), BAD_REQUEST, WRITE_QUOTA_EXCEED, INTERNAL_ERROR, UNKNOWN_ERROR
-            ),
-            "error_message": by_code(
-                F.col("body_message"),
-                F.coalesce("body", F.lit("")),
-                WRITE_QUOTA_TEXT,
-                INTERNAL_ERROR_TEXT,
-                UNKNOWN_ERROR_TEXT,
-            ),
-            "request_id": F.when(code == OK, "").otherwise(F.col("request_id")),
-        }
-    ).drop("body_code", "body_message")
+    code = by_code(
+        "body_code", f"'{BAD_REQUEST}'", WRITE_QUOTA_EXCEED, INTERNAL_ERROR, UNKNOWN_ERROR
+    )
+    message = by_code(
+        "body_message",
+        "coalesce(body, '')",
+        WRITE_QUOTA_TEXT,
+        INTERNAL_ERROR_TEXT,
+        UNKNOWN_ERROR_TEXT,
+    )
+    others = [name for name in attempts.columns if name != "request_id"]
+    return parse_error_body(attempts, body_codes).selectExpr(
+        *others,
+        f"CASE WHEN http_code = {OK} THEN '' ELSE request_id END AS request_id",
+        f"CASE WHEN http_code = {OK} THEN 'success' "
+        f"WHEN http_code IN ({_codes(TERMINAL_CODES)}) THEN 'terminal' ELSE 'retry' END AS outcome",
+        f"http_code = {OK} AS success",
+        f"{code} AS error_code",
+        f"{message} AS error_message",
+    )
 
 
 def attempt_history(attempts: DataFrame, n: int | None = None, keep: str = "last") -> DataFrame:
