@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from logfreight.functions import ids, sizes
 from logfreight.model import ATTEMPTS, PAIRS, DeliveryOptions, PackOptions
 from logfreight.operators import assemble, contents, delivery, pack, send, validate
 from logfreight.plans import sample_tables as sample
-from logfreight.session import prepare
+from logfreight.session import prepare, scratch
 from logfreight.sources import logs as log_sources
 from logfreight.sources import outbox as outboxes
 from logfreight.sources import payloads
@@ -44,10 +43,6 @@ def _query(run: Query) -> Query:
     return run
 
 
-def _scratch() -> str:
-    return tempfile.mkdtemp(prefix="logfreight-")
-
-
 # Sources, sinks, formats
 
 
@@ -79,7 +74,7 @@ def logs_from_map(spark, folder):
 
 @_query
 def read_payloads(spark, folder):
-    where = _scratch()
+    where = scratch(spark)
     packed = pack.pack_logs(sample.document_logs(spark, folder), DOCUMENT_PACKS)
     outboxes.write_outbox(assemble.encode_packages(packed, "zstd", DOCUMENT_PACKS), where, 0)
     logs = payloads.read_payloads(spark, where)
@@ -119,7 +114,7 @@ def encode_packages(spark, folder):
 
 @_query
 def write_outbox(spark, folder):
-    where = _scratch()
+    where = scratch(spark)
     encoded = _encoded(spark, folder, "deflate")
     outboxes.write_outbox(encoded, where, 7)
     outboxes.write_outbox(encoded, where, 7)
@@ -138,7 +133,7 @@ def _answer(topic_id: str, payload: bytes, compress_type: str) -> tuple[int, str
 @_query
 def deliver(spark, folder):
     outbox = _encoded(spark, folder, "none")
-    sent = send.deliver(outbox, _answer, _scratch(), 0, DeliveryOptions(workers=4))
+    sent = send.deliver(outbox, _answer, scratch(spark), 0, DeliveryOptions(workers=4))
     return sent.select("package_id", "topic_id", "attempt_no", "http_code", "request_id", "body")
 
 
@@ -479,7 +474,7 @@ def _event_stream(spark, folder):
 
 @_query
 def pack_stream_microbatch(spark, folder):
-    where = _scratch()
+    where = scratch(spark)
     query = microbatch.pack_stream_microbatch(
         _event_stream(spark, folder), f"{where}/out", f"{where}/state", EVENT_PACKS, available_now=True
     )
@@ -491,7 +486,7 @@ def pack_stream_microbatch(spark, folder):
 
 
 def _drained_stream(spark, folder):
-    where = _scratch()
+    where = scratch(spark)
     stateful.flush_row(spark).write.parquet(f"{where}/flush")
     stream = stateful.with_flush(_event_stream(spark, folder), f"{where}/flush")
     query = (
@@ -515,7 +510,7 @@ def pack_stream(spark, folder):
 
 @_query
 def pack_stream_carried(spark, folder):
-    where = _scratch()
+    where = scratch(spark)
     query = carried.pack_stream_carried(
         _event_stream(spark, folder), f"{where}/out", f"{where}/state", EVENT_PACKS, available_now=True
     )
@@ -534,7 +529,7 @@ def flush_open(spark, folder):
 
 @_query
 def retry_pass(spark, folder):
-    where = _scratch()
+    where = scratch(spark)
     outboxes.write_outbox(_encoded(spark, folder, "none"), f"{where}/outbox", 0)
     outbox = outboxes.read_outbox(spark, f"{where}/outbox")
     workers = DeliveryOptions(workers=4)

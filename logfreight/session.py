@@ -26,9 +26,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, kind: str = "work") -> str:
+    """A new folder name beside the checkpoints, on storage all executors share."""
+    return f"{checkpoint_dir(spark)}/{kind}-{uuid.uuid4()}"
+
+
 def written_table(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once as a table in the checkpoint folder."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
