@@ -30,9 +30,9 @@ from logfreight.model import PackOptions
 from logfreight.plans import greedy
 from logfreight.plans.ordered import (
     PART_BITS,
-    partitions_of,
     previous_value,
     range_ordered,
+    read_once,
     running_sums,
 )
 
@@ -261,15 +261,15 @@ def _label(limits: PackOptions, metadata: int):
     return run
 
 
-def assign_packages(sized: DataFrame, opts: PackOptions) -> DataFrame:
+def assign_packages(sized: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
     """Packing of the narrow rows of ``sized_logs`` or ``sized_lists``.
 
     (producer, topic_id, arrival_ms, seq) must be unique. The source is read once; then
     there is one range shuffle of narrow rows and two passes over them without another.
     """
     metadata = opening_metadata_size(opts.source, opts.hostname)
-    parts = partitions_of(sized, opts.partitions)
-    ordered = range_ordered(sized, SEQUENCE, ARRIVAL, parts, scan_once=True)
+    table, parts = read_once(sized, opts.partitions)
+    ordered = range_ordered(table, SEQUENCE, ARRIVAL, parts)
     summaries = ordered.drop("part").mapInArrow(_summarise(opts, metadata), _SUMMARY)
     borders = _borders(summaries, parts, opts).withColumnRenamed("part", "_part")
     # One short text per partition; only the first row of each needs it.
@@ -340,7 +340,8 @@ def pack_logs_grid(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFr
     linger = F.lit(opts.linger_ms).cast("long")
     sized = sized_logs(logs).withColumn("bucket", F.call_function("div", "arrival_ms", linger))
     keys = [*SEQUENCE, "bucket"]
-    ordered = range_ordered(sized, keys, ARRIVAL, opts.partitions, scan_once=True)
+    table, parts = read_once(sized, opts.partitions)
+    ordered = range_ordered(table, keys, ARRIVAL, parts)
     running = running_sums(
         ordered, keys, ARRIVAL, {"_bytes": F.col("size_bytes"), "_rank": F.col("n_logs")}
     )

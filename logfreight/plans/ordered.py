@@ -18,6 +18,7 @@ from logfreight.session import checkpoint_dir, written_table
 PART_BITS = 33
 # A row per partition is broadcast in later passes; this keeps that to a few megabytes.
 MAX_PARTITIONS = 100_000
+MIN_ROWS = 10_000
 
 
 def partitions_of(df: DataFrame, partitions: int | None) -> int:
@@ -25,24 +26,29 @@ def partitions_of(df: DataFrame, partitions: int | None) -> int:
     return min(chosen, MAX_PARTITIONS)
 
 
+def read_once(df: DataFrame, partitions: int | None) -> tuple[DataFrame, int]:
+    """Narrow rows computed from a wide source, written as a table, and their partitions.
+
+    Range partitioning samples its input before it reads it; this way the wide source is
+    read once. The table also tells how many rows there are (from its footers), so that few
+    rows do not make many tasks.
+    """
+    table = written_table(df)
+    if partitions is None:
+        partitions = min(partitions_of(df, None), table.count() // MIN_ROWS + 1)
+    return table, partitions_of(df, partitions)
+
+
 def range_ordered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    partitions: int | None = None,
-    scan_once: bool = False,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
     """Rows sorted by (keys, order) across partitions, with ``part`` and ``row_id``.
 
     The bounds of the partitions come from a sample, so the result is checkpointed:
-    every later pass must see the same cut. Pass narrow rows. Sampling evaluates the
-    input once more; with ``scan_once`` the narrow rows are written to a table before it,
-    which pays where they are computed from a wide source.
+    every later pass must see the same cut. Pass narrow rows.
     """
     checkpoint_dir(df.sparkSession)
     columns = [*keys, *order]
-    if scan_once:
-        df = written_table(df)
     return (
         df.repartitionByRange(partitions_of(df, partitions), *columns)
         .sortWithinPartitions(*columns)
