@@ -2,7 +2,7 @@
 
 The state of a (producer, topic) is the rows of its open package and a counter, so it is
 bounded by the limits of a package. A package closes when a later row closes it or when
-the watermark passes its linger time.
+its linger time has passed: by the watermark in event time, by the clock in processing time.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from logfreight.functions.sizes import field_size, log_size, log_wire_size, open
 from logfreight.model import LOGS, PAIRS, PackOptions
 from logfreight.plans import greedy
 
+EVENT_TIME = "eventTime"
+PROCESSING_TIME = "processingTime"
 FLUSH_TOPIC = "\u0001flush"
 # Fixed value: event time of the row that closes a stream, the year 2200, within the range of pandas.
 FLUSH_MS = 7258118400000
@@ -47,28 +49,35 @@ def _plain(value):
 
 
 class _Packer(StatefulProcessor):
-    def __init__(self, limits: PackOptions, delay_ms: int) -> None:
+    def __init__(self, limits: PackOptions, time_mode: str, delay_ms: int) -> None:
         self.limits = limits
+        self.by_clock = time_mode == PROCESSING_TIME
         self.metadata = opening_metadata_size(limits.source, limits.hostname)
         self.flush_from = FLUSH_MS - delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getListState("held", _HELD_SCHEMA)
-        self.counter = handle.getValueState("counter", "opened long, due_ms long")
+        self.counter = handle.getValueState("counter", "opened long, due_ms long, timer_ms long")
 
-    def _load(self) -> tuple[pd.DataFrame, int, int]:
+    def _load(self) -> tuple[pd.DataFrame, int, int, int]:
         held = pd.DataFrame([tuple(row) for row in self.held.get()], columns=_HELD_NAMES)
-        opened, due = tuple(self.counter.get()) if self.counter.exists() else (0, -1)
-        return held, opened, due
-
-    def _store(self, still_open: pd.DataFrame, opened: int, due: int, old_due: int) -> None:
-        if due != old_due:
-            if old_due >= 0:
-                self.handle.deleteTimer(old_due)
-            if due >= 0:
-                self.handle.registerTimer(due)
-        self.counter.update((opened, due))
+        opened, due, timer = tuple(self.counter.get()) if self.counter.exists() else (0, -1, -1)
+        return held, opened, due, timer
+
+    def _reset_timer(self, due: int, old_timer: int, timerValues) -> int:
+        """Replace the timer of a package that is gone by that of the one due at ``due``."""
+        if old_timer >= 0:
+            self.handle.deleteTimer(old_timer)
+        if due < 0:
+            return -1
+        timer = due
+        if self.by_clock:
+            timer = timerValues.getCurrentProcessingTimeInMs() + self.limits.linger_ms
+        self.handle.registerTimer(timer)
+        return timer
+
+    def _store(self, still_open: pd.DataFrame) -> None:
         if len(still_open):
             rows = still_open[_HELD_NAMES].itertuples(index=False)
             self.held.put(
@@ -93,7 +102,7 @@ class _Packer(StatefulProcessor):
         if key[1] == FLUSH_TOPIC:
             return
         incoming = incoming.sort_values(["arrival_ms", "seq"], kind="stable")[_HELD_NAMES]
-        held, opened, old_due = self._load()
+        held, opened, old_due, timer = self._load()
         together = pd.concat([held, incoming], ignore_index=True) if len(held) else incoming
         together = together.reset_index(drop=True)
 
@@ -110,7 +119,10 @@ class _Packer(StatefulProcessor):
         together = together.assign(package_seq=number, create_ms=create, close_ms=close)
         is_open = reason == greedy.UNKNOWN
         due = int(create[-1]) + self.limits.linger_ms if is_open[-1] else -1
-        self._store(together[is_open], int(number[-1]), due, old_due)
+        if due != old_due or int(number[-1]) != opened:
+            timer = self._reset_timer(due, timer, timerValues)
+        self.counter.update((int(number[-1]), due, timer))
+        self._store(together[is_open])
         if not is_open.all():
             done = together[~is_open].assign(
                 close_reason=np.array(greedy.REASONS)[reason[~is_open]]
@@ -118,17 +130,19 @@ class _Packer(StatefulProcessor):
             yield self._closed(key, done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held, opened, due = self._load()
-        if not len(held) or expiredTimerInfo.getExpiryTimeInMs() != due:
+        held, opened, due, timer = self._load()
+        if not len(held) or expiredTimerInfo.getExpiryTimeInMs() != timer:
             return
-        flushing = timerValues.getCurrentWatermarkInMs() >= self.flush_from
+        flushing = False
+        if not self.by_clock:
+            flushing = timerValues.getCurrentWatermarkInMs() >= self.flush_from
         done = held.assign(
             package_seq=opened,
             create_ms=due - self.limits.linger_ms,
             close_ms=int(held["arrival_ms"].max()) if flushing else due,
             close_reason="flush" if flushing else "linger",
         )
-        self.counter.update((opened, -1))
+        self.counter.update((opened, -1, -1))
         self.held.clear()
         yield self._closed(key, done)
 
@@ -149,12 +163,17 @@ def with_flush(stream: DataFrame, folder: str) -> DataFrame:
 
 
 def pack_stream(
-    stream: DataFrame, opts: PackOptions = PackOptions(), delay_ms: int = 600_000
+    stream: DataFrame,
+    opts: PackOptions = PackOptions(),
+    time_mode: str = EVENT_TIME,
+    delay_ms: int = 600_000,
 ) -> DataFrame:
     """Packed logs of a stream of log rows, emitted once their package is closed.
 
-    Rows later than ``delay_ms`` behind the newest are dropped by Spark; choose it so that
-    ``numRowsDroppedByWatermark`` of the query stays 0. To spread a busy topic over
+    In event time, rows later than ``delay_ms`` behind the newest are dropped by Spark;
+    choose it so that ``numRowsDroppedByWatermark`` of the query stays 0. In processing
+    time none is dropped, and a package closes once the linger time has passed on the
+    clock since the batch it was opened in; such a query does not end by itself. To spread a busy topic over
     tasks, deal it out to several producers (``producer_shards`` of the log sources).
     What is open when the stream ends is closed by ``flush_row``. Also takes a batch
     DataFrame.
@@ -170,13 +189,16 @@ def pack_stream(
         "timestamp_millis(arrival_ms) AS event_ts",
     )
     wire = f"{field_size('_wire')} AS logs_wire_bytes"
-    sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire, "event_ts")
-    sized = sized.withWatermark("event_ts", f"{delay_ms} milliseconds")
+    if time_mode == EVENT_TIME:
+        sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire, "event_ts")
+        sized = sized.withWatermark("event_ts", f"{delay_ms} milliseconds")
+    else:
+        sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire)
     packed = sized.groupBy("producer", "topic_id").transformWithStateInPandas(
-        statefulProcessor=_Packer(opts, delay_ms),
+        statefulProcessor=_Packer(opts, time_mode, delay_ms),
         outputStructType=_OUT_SCHEMA,
         outputMode="append",
-        timeMode="eventTime",
+        timeMode=time_mode,
     )
     identity = package_id(F.col("producer"), F.col("topic_id"), F.col("package_seq"), opts.run_secs)
     return packed.withColumn("contents", F.from_json("pairs", PAIRS)).drop("pairs").withColumn(

@@ -110,3 +110,36 @@ def test_outbox_stream_keeps_every_log(spark, folder, tmp_path):
     assert sent.filter("_corrupt IS NOT NULL").count() == 0
     assert sent.count() + rejected.count() == logs.count()
     assert {r.reason for r in rejected.select("reason").distinct().collect()} == {"missing_time"}
+
+
+def test_processing_time_closes_by_the_clock(spark, folder, tmp_path):
+    import time
+
+    logs = event_logs(spark, folder).filter("seq < 100")
+    opts = PackOptions(max_bytes=200, cap_bytes=230, max_logs=6, linger_ms=2_000)
+    squeezed = logs.withColumn("arrival_ms", F.col("seq"))
+    write_in_files(spark, squeezed, f"{tmp_path}/in", 2)
+    packed = stateful.pack_stream(
+        stream_of(spark, f"{tmp_path}/in"), opts, stateful.PROCESSING_TIME
+    )
+    query = (
+        packed.writeStream.format("parquet")
+        .option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/state")
+        .trigger(processingTime="1 second")
+        .start()
+    )
+    end = time.monotonic() + 120
+    seen = 0
+    try:
+        while seen < 100 and time.monotonic() < end and query.isActive:
+            time.sleep(2)
+            if list((tmp_path / "out").glob("part-*")):
+                seen = spark.read.schema(packed.schema).parquet(f"{tmp_path}/out").count()
+    finally:
+        query.stop()
+    assert query.exception() is None
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == 100 and out.select("seq").distinct().count() == 100
+    reasons = {r.close_reason for r in out.select("close_reason").distinct().collect()}
+    assert "linger" in reasons and "flush" not in reasons
