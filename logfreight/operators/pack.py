@@ -40,6 +40,7 @@ SEQUENCE = ["producer", "topic_id"]
 ARRIVAL = ["arrival_ms", "seq"]
 ROW = SEQUENCE + ARRIVAL
 SIZES = ["size_bytes", "logs_wire_bytes", "n_logs"]
+CELL = ["bucket", "by_bytes", "by_count"]
 _NUMBERS = ["package_seq", "create_ms", "close_ms"]
 FANOUT = 32
 
@@ -331,26 +332,34 @@ def split_segments(
     return numbered.select(*ROW, "previous_ms", "segment")
 
 
-def pack_logs_grid(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
+def assign_grid(sized: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
     """Packages as cells of a fixed grid over arrival time, running bytes and rank.
 
-    The same limits hold (bytes by up to one log more), the cut points differ and there
-    are more packages. Returns the narrow rows with the three numbers of their cell.
+    The limits of ``assign_packages`` hold (bytes by up to one log more) without following
+    any sequence; the cut points differ and there are more packages.
     """
     linger = F.lit(opts.linger_ms).cast("long")
-    sized = sized_logs(logs).withColumn("bucket", F.call_function("div", "arrival_ms", linger))
+    bucketed = sized.withColumn("bucket", F.call_function("div", "arrival_ms", linger))
+    table, parts = read_once(bucketed, opts.partitions)
     keys = [*SEQUENCE, "bucket"]
-    table, parts = read_once(sized, opts.partitions)
     ordered = range_ordered(table, keys, ARRIVAL, parts)
     running = running_sums(
         ordered, keys, ARRIVAL, {"_bytes": F.col("size_bytes"), "_rank": F.col("n_logs")}
     )
-    before = F.col("_bytes") - F.col("size_bytes")
-    cell_bytes = F.call_function("div", before, F.lit(opts.max_bytes).cast("long"))
-    cell_rank = F.call_function("div", F.col("_rank") - 1, F.lit(opts.max_logs).cast("long"))
-    return running.select(
-        *ROW, *SIZES, "bucket", cell_bytes.alias("by_bytes"), cell_rank.alias("by_count")
+    cells = running.selectExpr(
+        *ROW,
+        *SIZES,
+        "bucket",
+        f"(_bytes - size_bytes) div {opts.max_bytes}L AS by_bytes",
+        f"(_rank - n_logs) div {opts.max_logs}L AS by_count",
     )
+    name = F.concat_ws("/", "topic_id", *[F.col(n).cast("string") for n in CELL])
+    return cells.withColumn("package_id", package_id(F.col("producer"), name, F.lit(1), opts.run_secs))
+
+
+def pack_logs_grid(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
+    """Logs with the cell of ``assign_grid`` each goes into."""
+    return attach(logs, assign_grid(sized_logs(logs), opts))
 
 
 def package_summary(packed: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:

@@ -373,8 +373,10 @@ ORACLES["pack_logs_grid"] = f"""WITH {EVENTS}, b AS (
   SELECT *, sum(size_bytes) OVER o - size_bytes AS before, row_number() OVER o - 1 AS rank FROM b
   WINDOW o AS (PARTITION BY topic_id, bucket ORDER BY arrival_ms, seq
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT topic_id, seq, bucket, (before // {EVENT_PACKS.max_bytes})::BIGINT AS by_bytes,
-       rank // {EVENT_PACKS.max_logs} AS by_count FROM w"""
+SELECT topic_id, seq, bucket, by_bytes, by_count,
+       {package_id("(topic_id || '/' || bucket || '/' || by_bytes || '/' || by_count)", "1")} AS package_id
+FROM (SELECT topic_id, seq, bucket, (before // {EVENT_PACKS.max_bytes})::BIGINT AS by_bytes,
+             rank // {EVENT_PACKS.max_logs} AS by_count FROM w)"""
 ORACLES["log_status"] = f"""WITH {RESULTS}, {EVENTS}
 SELECT e.seq, e.topic_id,
        CASE state WHEN 'success' THEN 'delivered' WHEN 'failed' THEN 'failed' ELSE 'pending' END AS status,

@@ -424,7 +424,7 @@ def pack_log_lists(spark, folder):
 @_query
 def pack_logs_grid(spark, folder):
     cells = pack.pack_logs_grid(sample.event_logs(spark, folder), EVENT_PACKS)
-    return cells.select("topic_id", "seq", "bucket", "by_bytes", "by_count")
+    return cells.select("topic_id", "seq", "bucket", "by_bytes", "by_count", "package_id")
 
 
 # Joins, sorts, limits

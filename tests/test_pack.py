@@ -129,8 +129,10 @@ def test_grid_keeps_the_limits(spark, folder):
     from logfreight.plans.sample_tables import event_logs
 
     opts = PackOptions(max_bytes=200, max_logs=5, linger_ms=10_800_000, partitions=6)
-    cells = pack.pack_logs_grid(event_logs(spark, folder), opts)
-    per_cell = cells.groupBy("topic_id", "bucket", "by_bytes", "by_count").agg(
+    logs = event_logs(spark, folder)
+    cells = pack.pack_logs_grid(logs, opts)
+    assert cells.count() == logs.count()
+    per_cell = cells.groupBy("package_id").agg(
         F.count("*").alias("n"),
         F.sum("size_bytes").alias("bytes"),
         F.max("size_bytes").alias("largest"),
