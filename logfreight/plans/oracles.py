@@ -200,15 +200,15 @@ SELECT lang AS topic_id, doc_id AS seq, 0 AS position, 'chars' AS key, n_chars::
 UNION ALL SELECT lang, doc_id, 1, 'lang', lang FROM documents
 UNION ALL SELECT lang, doc_id, 2, 'source', source FROM documents"""
 ORACLES["read_payloads"] = document_packing(
-    f"""SELECT d.seq AS doc_id, md5(d.text) AS text_md5, d.source, NULL::BIGINT AS collect_time,
-       NULL::VARCHAR AS _corrupt, {package_id("l.topic_id", "l.package_seq")} AS package_id
+    f"""SELECT d.seq AS doc_id, md5(d.text) AS text_md5, d.source, (-1)::BIGINT AS collect_time,
+       '' AS _corrupt, {package_id("l.topic_id", "l.package_seq")} AS package_id
 FROM labels l JOIN d ON d.seq = l.seq"""
 )
 ORACLES["contents_long"] = f"""WITH {EVENTS}
 SELECT topic_id, seq, 0 AS position, 'user_id' AS key, user_id AS value FROM e
 UNION ALL SELECT topic_id, seq, 1, 'props', props FROM e"""
 ORACLES["contents_wide"] = f"""WITH {EVENTS}
-SELECT topic_id, seq, props, user_id, NULL::VARCHAR AS absent FROM e"""
+SELECT topic_id, seq, props, user_id, 'none' AS absent FROM e"""
 ORACLES["encode_packages"] = document_packing(
     f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id,
        'lz4' AS compress_type, {REQUEST_BYTES} AS raw_bytes FROM packages"""
@@ -301,7 +301,7 @@ t AS (
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running FROM g)"""
 ORACLES["assemble_requests"] = f"""WITH {DOCUMENTS}, {GROUPS}
 SELECT request_no, count(*) AS n_groups,
-       CASE WHEN max(running) <= {MAX_REQUEST_BYTES} THEN sum({REQUEST_BYTES})::BIGINT END AS raw_bytes
+       CASE WHEN max(running) <= {MAX_REQUEST_BYTES} THEN sum({REQUEST_BYTES})::BIGINT ELSE -1 END AS raw_bytes
 FROM t GROUP BY request_no"""
 ORACLES["package_summary"] = event_packing(
     f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, 'main' AS producer, topic_id,
@@ -325,14 +325,14 @@ f AS (
   SELECT request_no, sum(size_bytes)::BIGINT AS size_bytes, sum(n_logs)::BIGINT AS n_logs,
          count(*) AS n_groups, min(group_no) FILTER (bad) AS first_bad,
          min(group_no) FILTER (oversize) AS value_bad FROM b GROUP BY 1)
-SELECT request_no, size_bytes, n_logs, n_groups, first_bad,
+SELECT request_no, size_bytes, n_logs, n_groups, coalesce(first_bad, -1) AS first_bad,
        CASE WHEN value_bad = first_bad THEN 'value_too_large'
             WHEN first_bad IS NOT NULL THEN 'request_too_large' END AS reason,
        first_bad IS NULL AS accepted FROM f"""
 ORACLES["split_segments"] = f"""WITH {EVENTS}, p AS (
   SELECT topic_id, seq, arrival_ms,
          lag(arrival_ms) OVER (PARTITION BY topic_id ORDER BY arrival_ms, seq) AS previous_ms FROM e)
-SELECT topic_id, seq, arrival_ms, previous_ms,
+SELECT topic_id, seq, arrival_ms, coalesce(previous_ms, -1) AS previous_ms,
        (sum(CASE WHEN arrival_ms - previous_ms >= {HOUR_MS} THEN 1 ELSE 0 END) OVER (
          PARTITION BY topic_id ORDER BY arrival_ms, seq))::BIGINT AS segment FROM p"""
 ORACLES["in_flight_bytes"] = f"""WITH {RESULTS}, {EVENTS}, m AS (

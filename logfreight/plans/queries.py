@@ -83,8 +83,8 @@ def read_payloads(spark, folder):
         F.col("time").alias("doc_id"),
         F.md5("log_text").alias("text_md5"),
         F.col("log_source").alias("source"),
-        "collect_time",
-        "_corrupt",
+        F.coalesce("collect_time", F.lit(-1)).alias("collect_time"),
+        F.coalesce("_corrupt", F.lit("")).alias("_corrupt"),
         F.col("payload_id").alias("package_id"),
     )
 
@@ -98,7 +98,8 @@ def contents_long(spark, folder):
 @_query
 def contents_wide(spark, folder):
     wide = contents.contents_wide(sample.event_logs(spark, folder), ["props", "user_id", "absent"])
-    return wide.select("topic_id", "seq", "props", "user_id", "absent")
+    absent = F.coalesce("absent", F.lit("none")).alias("absent")
+    return wide.select("topic_id", "seq", "props", "user_id", absent)
 
 
 def _encoded(spark, folder, compress_type):
@@ -328,7 +329,7 @@ def assemble_requests(spark, folder):
     kept = requests.join(encoded, "request_no").select(
         "request_no", F.size("groups").cast("long").alias("n_groups"), "raw_bytes"
     )
-    over = rejected.select("request_no", "n_groups", F.lit(None).cast("long").alias("raw_bytes"))
+    over = rejected.select("request_no", "n_groups", F.lit(-1).cast("long").alias("raw_bytes"))
     return kept.unionByName(over)
 
 
@@ -366,15 +367,17 @@ def delivery_result(spark, folder):
 @_query
 def check_request_groups(spark, folder):
     logs = sample.request_logs(spark, folder)
-    return validate.check_request_groups(
+    checked = validate.check_request_groups(
         logs, ["request_no"], "group_no", MAX_REQUEST_BYTES, MAX_GROUP_LOGS + 1, 40_000
     )
+    return checked.fillna(-1, ["first_bad"])
 
 
 @_query
 def split_segments(spark, folder):
     segments = pack.split_segments(sample.event_logs(spark, folder), HOUR_MS)
-    return segments.select("topic_id", "seq", "arrival_ms", "previous_ms", "segment")
+    filled = segments.fillna(-1, ["previous_ms"])
+    return filled.select("topic_id", "seq", "arrival_ms", "previous_ms", "segment")
 
 
 def _event_packages(spark, folder):
