@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logfreight.llm import bpe, token_files
+from logfreight.llm import bpe, hmm, token_files, winnowing
 from logfreight.llm.texts import documents
 from logfreight.session import scratch
 
@@ -22,5 +22,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_texts(tokens, path), path)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_bpe)}
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return hmm.score(docs, hmm.train(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_bpe, op8_winnowing, op9_hmm)}
 ORACLES: dict[str, str] = {}
