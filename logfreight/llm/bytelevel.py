@@ -19,17 +19,34 @@ _RUN = re.compile(r"\s\s(?:\s|\Z)")
 
 
 class ByteLevelTexts:
-    """Ids of whole texts from a function that gives the ids of a string."""
-
-    def __init__(self, encode: Callable[[str], list[int]], added: list[str]):
-        self.encode, self.added = encode, added
-        self.first, self.later = Pieces(encode, ""), Pieces(encode, " ")
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _RUN.search(text) or any(token in text for token in self.added):
-            return np.array(self.encode(text), dtype="<u4").tobytes()
-        pieces = text.replace("\n", " \n").split(" ")
-        head = self.first[pieces[0]] if pieces[0] else b""
-        return head + b"".join(map(self.later.__getitem__, pieces[1:]))
+    """Ids of whole texts from a function that gives the ids of many strings."""
+
+    def __init__(
+        self,
+        encode_many: Callable[[list[str]], list[list[int]]],
+        added: list[str],
+        limit: int = 100_000_000,
+    ):
+        self.encode_many, self.added = encode_many, added
+        self.first = Pieces(encode_many, "", limit)
+        self.later = Pieces(encode_many, " ", limit)
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; null and empty texts have none."""
+        split: list[list[str]] = []
+        whole: list[tuple[int, str]] = []
+        for i, text in enumerate(texts):
+            if text and (_RUN.search(text) or any(token in text for token in self.added)):
+                whole.append((i, text))
+                split.append([])
+            else:
+                split.append((text or "").replace("\n", " \n").split(" "))
+        heads = [[pieces[0]] if pieces and pieces[0] else [] for pieces in split]
+        first, later = self.first.of(heads), self.later.of([pieces[1:] for pieces in split])
+        out = [
+            b"".join([*map(first, head), *map(later, pieces[1:])])
+            for head, pieces in zip(heads, split)
+        ]
+        for (i, _), ids in zip(whole, self.encode_many([text for _, text in whole])):
+            out[i] = np.array(ids, dtype="<u4").tobytes()
+        return out

@@ -55,24 +55,39 @@ def in_parts(df: DataFrame, column: str, parts: int, name: str = "part") -> Data
     return df.withColumn(name, part(F.col(column)))
 
 
-class Pieces(dict):
-    """Ids of pieces of text as little-endian unsigned 32-bit integers, made when first met."""
-
-    limit = 300_000
-    longest = 64
-
-    def __init__(self, encode: Callable[[str], list[int]], lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, piece: str) -> bytes:
-        text = piece if piece[:1] == "\n" else self.lead + piece
-        ids = np.array(self.encode(text), dtype="<u4").tobytes()
-        if len(piece) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[piece] = ids
-        return ids
+class Pieces:
+    """Ids of pieces of text as little-endian unsigned 32-bit integers.
+
+    Pieces met lately are held in two generations of at most ``limit`` bytes each (about):
+    when the younger is full it becomes the older, and what is still in use comes back.
+    """
+
+    def __init__(
+        self, encode_many: Callable[[list[str]], list[list[int]]], lead: str, limit: int = 100_000_000
+    ):
+        self.encode_many, self.lead, self.limit = encode_many, lead, limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.weight = 0
+
+    def of(self, split: list[list[str]]) -> Callable[[str], bytes]:
+        """A lookup that knows all the given pieces."""
+        pieces = set().union(*split)
+        if self.weight > self.limit:
+            self.young, self.old, self.weight = {}, self.young, 0
+        missing = pieces.difference(self.young)
+        new = []
+        for piece in missing:
+            ids = self.old.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.young[piece] = ids
+        texts = [piece if piece[:1] == "\n" else self.lead + piece for piece in new]
+        for piece, ids in zip(new, self.encode_many(texts)):
+            self.young[piece] = np.array(ids, dtype="<u4").tobytes()
+        self.weight += sum(map(len, missing)) * 3 + 160 * len(missing)
+        return self.young.__getitem__
 
 
 def library_tokenizer(path: str):

@@ -32,9 +32,10 @@ def _byte_level(path: str) -> ByteLevelTexts:
     if path not in _KEPT:
         tokenizer = library_tokenizer(path)
         added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-        _KEPT[path] = ByteLevelTexts(
-            lambda text: tokenizer.encode(text, add_special_tokens=False).ids, added
-        )
+        def encode_many(texts: list[str]) -> list[list[int]]:
+            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        _KEPT[path] = ByteLevelTexts(encode_many, added)
     return _KEPT[path]
 
 
@@ -48,8 +49,8 @@ def encode_in_order(
         from pyspark import TaskContext
 
         texts, part, start = _byte_level(tokenizer_path), TaskContext.get().partitionId(), 0
-        for batch in batches_of(batches, 2000):
-            ids = [texts.ids(text) + end for text in batch.column(1).to_pylist()]
+        for batch in batches_of(batches, 500):
+            ids = [x + end for x in texts.ids(batch.column(1).to_pylist())]
             sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             starts = start + np.cumsum(sizes) - sizes
             start += int(sizes.sum())
