@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logfreight.llm import bpe, hmm, token_files, winnowing
-from logfreight.llm.texts import documents
-from logfreight.session import scratch
+from logfreight.llm import bpe, hmm, language, packing, probminhash, token_files, toxicity, vectors, winnowing
+from logfreight.llm.texts import documents, held_out
+from logfreight.session import prepare, scratch
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,12 +17,55 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, path))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    told = language.with_language(docs.select(F.col("doc_id").cast("bigint"), "text"), language.train(docs))
+    return told.select(
+        "doc_id",
+        held_out(F.col("doc_id"), language.FOLDS, 0).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokens = bpe.encode_texts(documents(spark, sf_dir), path)
     return bpe.digests(bpe.decode_texts(tokens, path), path)
 
 
+def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.cut_documents(documents(spark, sf_dir), path)
+    placed = packing.place_pieces(pieces)
+    return token_files.with_crc32(pieces).join(placed, "piece_key").drop("piece_key")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rated = toxicity.with_toxicity(docs.select(F.col("doc_id").cast("bigint"), "text"), model)
+    return rated.select(
+        "doc_id",
+        held_out(F.col("doc_id"), toxicity.FOLDS, 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        "toxic_passages",
+    )
+
+
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = table.select(F.col("vec_id").cast("bigint").alias("id"), vectors.scaled(F.col("embedding")).alias("components"))
+    return vectors.top_k(rows.filter(F.col("id") % 20 == 0), rows, 20)
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(documents(spark, sf_dir))
 
@@ -31,5 +75,20 @@ def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(docs, hmm.train(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_bpe, op8_winnowing, op9_hmm)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_language, op3_bpe, op4_probminhash, op5_packing, op6_toxicity, op7_vectors, op8_winnowing, op9_hmm)}
+ORACLES = {
+    "op7_vectors": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.c, v.c) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id AND len(q.c) = len(v.c)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
+""",
+}
