@@ -216,26 +216,49 @@ def _across(members: DataFrame, labels: DataFrame, slots: DataFrame, tried: Data
     return pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id and is_kept (the document that stands for its class) of every row."""
+def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id and node of every row; node, class_id and main (the node that stands for its class)."""
     sketched = written_table(sketches(docs))
     named = sketched.filter("node IS NOT NULL")
     reps = written_table(named.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     bands = named.select("node", F.explode("bands").alias("band")).groupBy("band", "node").agg(F.lit(1).alias("one"))
     leaders = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     members = written_table(bands.select("band", "node").join(leaders.select("band", "leader"), "band"))
-    pairs = written_table(members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    pairs = written_table(stars.distinct())
     edges = written_table(verified(docs, pairs, reps))
     labels = written_table(components(edges))
-    slots = named.join(members.select("node").distinct(), "node", "left_semi").select("node", "slots").dropDuplicates(["node"])
+    shared = named.join(members.select("node").distinct(), "node", "left_semi")
+    slots = shared.select("node", "slots").dropDuplicates(["node"])
     more = written_table(_across(members.select("band", "node"), labels, slots, pairs))
     if more.limit(1).count():
         found = written_table(verified(docs, more, reps))
         if found.limit(1).count():
             labels = written_table(components(edges.union(found)))
     joined = reps.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
-    least = joined.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    classes = joined.join(least, "component").select("node", "class_id")
-    rows = sketched.select("doc_id", "node").join(classes, "node", "left")
+    first = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "node")
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min_by("node", first).alias("main"))
+    return sketched.select("doc_id", "node"), joined.join(least, "component").select("node", "class_id", "main", "doc_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id and is_kept (the document that stands for its class) of every row."""
+    rows, classes = classes_of(docs)
+    rows = rows.join(classes.select("node", "class_id"), "node", "left")
     class_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return rows.select("doc_id", class_id.alias("class_id"), F.col("doc_id").eqNullSafe(class_id).alias("is_kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each class the row with the least doc_id.
+
+    Of repeated rows of it one stays. Rows without words stay all.
+    """
+    _, classes = classes_of(docs)
+    kept = classes.filter("node = main").select(F.col("node").alias("_node"), F.col("doc_id").alias("_doc"))
+    text, doc_id = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
+    rows = docs.withColumns({"_node": F.unhex(F.md5(text)), "_doc": doc_id})
+    worded = F.length(F.trim(F.regexp_replace(text, r"(?U)\s+", " "))) > 0
+    blank = rows.filter(~F.coalesce(worded, F.lit(False)))
+    stay = rows.join(kept.alias("k"), (rows["_node"] == F.col("k._node")) & rows["_doc"].eqNullSafe(F.col("k._doc")), "left_semi")
+    return stay.dropDuplicates(["_node", "_doc"]).union(blank).select(*docs.columns)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logfreight.llm import bpe, hmm, language, packing, probminhash, token_files, toxicity, vectors, winnowing
+from logfreight.llm import bpe, hmm, language, packing, probminhash, suffix_dedup, token_files, toxicity, vectors, winnowing
 from logfreight.llm.texts import documents, held_out
 from logfreight.session import prepare, scratch
 
@@ -75,7 +75,19 @@ def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(docs, hmm.train(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_language, op3_bpe, op4_probminhash, op5_packing, op6_toxicity, op7_vectors, op8_winnowing, op9_hmm)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    kept = suffix_dedup.without_repeats(docs.select("doc_id", "text"))
+    return kept.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("_removal.n_bytes"),
+        F.col("_removal.n_removed"),
+        F.col("_removal.n_spans"),
+        F.sha2(F.col("_removal.kept"), 256).alias("kept_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_language, op3_bpe, op4_probminhash, op5_packing, op6_toxicity, op7_vectors, op8_winnowing, op9_hmm, op10_suffix_dedup)}
 ORACLES = {
     "op7_vectors": """
 WITH v AS (
