@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def package_id(producer: Column, topic: Column, seq: Column, run_secs: int = 0) -> Column:
-    """``<16 hex of producer and topic><8 hex of run_secs>-<16 hex of seq>``, upper case.
+def run_number(run_secs: int | None) -> int:
+    """The run that goes into ids: the one given, or a number no other run has."""
+    return secrets.randbits(32) if run_secs is None else run_secs
+
+
+def number_in_id(seq: Column) -> Column:
+    return F.lpad(F.hex(seq), 16, "0")
+
+
+def name_in_id(*parts: Column) -> Column:
+    """The counter part of an id for packages that are named instead of counted."""
+    return F.substring(F.md5(F.concat_ws("/", *[part.cast("string") for part in parts])), 1, 16)
+
+
+def package_id(producer: Column, topic: Column, counter: Column, run: int = 0) -> Column:
+    """``<16 hex of producer and topic><8 hex of the run>-<16 hex of the counter>``, upper case.
 
-    The counter runs per (producer, topic), so no global order is needed, and equal
-    input gives equal ids: a replayed job rewrites its packages instead of doubling them.
+    The counter runs per (producer, topic), so no global order is needed. Ids are equal
+    for equal input and run: a replayed job rewrites its packages instead of doubling them.
     """
     name = F.concat_ws(
         "", F.octet_length(F.coalesce(producer, F.lit(""))).cast("string"), F.lit(":"), producer, topic
@@ -18,7 +34,7 @@ def package_id(producer: Column, topic: Column, seq: Column, run_secs: int = 0)
     return F.upper(
         F.concat(
             F.substring(F.md5(name), 1, 16),
-            F.lit(f"{run_secs & 0xFFFFFFFF:08x}-"),
-            F.lpad(F.hex(seq), 16, "0"),
+            F.lit(f"{run & 0xFFFFFFFF:08x}-"),
+            counter,
         )
     )

@@ -85,9 +85,10 @@ class PackOptions:
     ``max_bytes`` and ``max_logs`` outside their range fall back to the hard cap,
     a ``linger_ms`` below 100 falls back to the default. ``cap_bytes`` is the size
     at which a log is no longer added to a package it would overfill; only tests
-    have a reason to lower it. ``run_secs`` goes into the package ids and has to stay
-    the same for every run that must reproduce them. ``partitions`` defaults to
-    ``spark.sql.shuffle.partitions``; a task takes ``slice_rows`` narrow rows at a time.
+    have a reason to lower it. ``run_secs`` goes into the package ids: without it every
+    packing call takes a number of its own, so that ids never repeat; give it to a run
+    that must reproduce its ids. ``partitions`` sets the number of ranges, which else
+    follows the number of rows; a task takes ``slice_rows`` narrow rows at a time.
     """
 
     max_bytes: int = DEFAULT_PACKAGE_BYTES
@@ -96,7 +97,7 @@ class PackOptions:
     cap_bytes: int = MAX_PACKAGE_BYTES
     source: str = ""
     hostname: str = ""
-    run_secs: int = 0
+    run_secs: int | None = None
     partitions: int | None = None
     slice_rows: int = 262_144
 

@@ -33,27 +33,35 @@ def _codes(codes: Sequence[int]) -> str:
 
 
 def parse_error_body(attempts: DataFrame, only: str = "true") -> DataFrame:
-    """Code and message stated in the body; anything but a JSON object is a bad request.
+    """Code and message stated in the body; a body that is no such object is a bad request.
 
-    Field names match in any case, and a field that is missing reads as empty text.
+    Field names match in any case. A field that is missing or null reads as empty text, and
+    so does every field of the body ``null``; a number, list or object where text belongs
+    makes the whole body a bad request.
     Bodies of rows for which the condition ``only`` does not hold are not looked at.
     """
 
+    known = "lower(k) IN ('errorcode', 'errormessage')"
+    is_text = "schema_of_variant(v) IN ('STRING', 'VOID')"
+
     def field(name: str, otherwise: str) -> str:
         matches = f"map_values(map_filter(_fields, (k, v) -> lower(k) = '{name}'))"
-        found = f"coalesce(try_element_at({matches}, -1), '')"
-        return f"CASE WHEN _fields IS NULL THEN '{otherwise}' ELSE {found} END"
+        texts = f"filter(transform({matches}, v -> try_cast(v AS string)), v -> v IS NOT NULL)"
+        found = f"coalesce(try_element_at({texts}, -1), '')"
+        return f"CASE WHEN _null THEN '' WHEN _fields IS NULL THEN '{otherwise}' ELSE {found} END"
 
     # Parsed in a projection of its own, or every use below would parse it again.
-    fields = f"from_json(CASE WHEN {only} THEN body END, 'map<string,string>') AS _fields"
+    fields = f"from_json(CASE WHEN {only} THEN body END, 'map<string,variant>') AS _all"
+    texts_only = f"forall(map_entries(map_filter(_all, (k, v) -> {known})), e -> {is_text.replace('(v)', '(e.value)')})"
     return (
-        attempts.selectExpr("*", fields)
+        attempts.selectExpr("*", fields, f"coalesce(({only}) AND trim(body) = 'null', false) AS _null")
+        .selectExpr("*", f"CASE WHEN {texts_only} THEN _all END AS _fields")
         .selectExpr(
             "*",
             f"{field('errorcode', BAD_REQUEST)} AS body_code",
             f"{field('errormessage', BAD_REQUEST_TEXT)} AS body_message",
         )
-        .drop("_fields")
+        .drop("_fields", "_all", "_null")
     )
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logfreight.functions.ids import package_id
+from logfreight.functions.ids import name_in_id, number_in_id, package_id, run_number
 from logfreight.functions.sizes import (
     field_size,
     list_size,
@@ -282,7 +282,8 @@ def assign_packages(sized: DataFrame, opts: PackOptions = PackOptions()) -> Data
 
 
 def _id(opts: PackOptions) -> Column:
-    return package_id(F.col("producer"), F.col("topic_id"), F.col("package_seq"), opts.run_secs)
+    counter = number_in_id(F.col("package_seq"))
+    return package_id(F.col("producer"), F.col("topic_id"), counter, run_number(opts.run_secs))
 
 
 def attach(wide: DataFrame, labels: DataFrame) -> DataFrame:
@@ -353,8 +354,9 @@ def assign_grid(sized: DataFrame, opts: PackOptions = PackOptions()) -> DataFram
         f"(_bytes - size_bytes) div {opts.max_bytes}L AS by_bytes",
         f"(_rank - n_logs) div {opts.max_logs}L AS by_count",
     )
-    name = F.concat_ws("/", "topic_id", *[F.col(n).cast("string") for n in CELL])
-    return cells.withColumn("package_id", package_id(F.col("producer"), name, F.lit(1), opts.run_secs))
+    cell = name_in_id(*[F.col(n) for n in CELL])
+    identity = package_id(F.col("producer"), F.col("topic_id"), cell, run_number(opts.run_secs))
+    return cells.withColumn("package_id", identity)
 
 
 def pack_logs_grid(logs: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:

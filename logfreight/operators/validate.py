@@ -32,9 +32,12 @@ def reject_oversize(
 
 
 def reject_incomplete(logs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): a log needs a time, and every pair a key and a value."""
+    """(accepted, rejected): a log needs a place (producer, topic, arrival, number) and a time,
+    and every pair a key and a value."""
+    place = [F.col(n).isNull() for n in ("producer", "topic_id", "arrival_ms", "seq")]
     reason = (
-        F.when(F.col("time").isNull(), "missing_time")
+        F.when(place[0] | place[1] | place[2] | place[3], "missing_place")
+        .when(F.col("time").isNull(), "missing_time")
         .when(F.exists("contents", lambda pair: pair["key"].isNull()), "missing_key")
         .when(F.exists("contents", lambda pair: pair["value"].isNull()), "missing_value")
     )

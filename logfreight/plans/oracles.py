@@ -53,11 +53,16 @@ def wire(time: str, *pairs: tuple[str, str]) -> str:
 
 
 def package_id(topic: str, seq: str, run_secs: int = 0) -> str:
+    return named_id(topic, f"lpad(to_hex({seq}), 16, '0')", run_secs)
+
+
+def named_id(topic: str, counter: str, run_secs: int = 0) -> str:
     name = f"'4:main' || {topic}"
-    return (
-        f"upper(substr(md5({name}), 1, 16) || '{run_secs:08x}' || '-' || "
-        f"lpad(to_hex({seq}), 16, '0'))"
-    )
+    return f"upper(substr(md5({name}), 1, 16) || '{run_secs:08x}' || '-' || {counter})"
+
+
+def name_in_id(*parts: str) -> str:
+    return f"substr(md5(concat_ws('/', {', '.join(parts)})), 1, 16)"
 
 
 EVENT_PAIRS = (("'user_id'", "user_id::VARCHAR"), ("'props'", "props"))
@@ -209,13 +214,17 @@ SELECT topic_id, seq, 0 AS position, 'user_id' AS key, user_id AS value FROM e
 UNION ALL SELECT topic_id, seq, 1, 'props', props FROM e"""
 ORACLES["contents_wide"] = f"""WITH {EVENTS}
 SELECT topic_id, seq, props, user_id, 'none' AS absent FROM e"""
+_read_back = f"""SELECT {package_id("p.topic_id", "p.package_seq")} AS package_id, p.topic_id,
+       {{codec}} AS compress_type, {REQUEST_BYTES} AS raw_bytes, t.texts_md5{{more}}
+FROM packages p JOIN (
+  SELECT l.topic_id, l.package_seq, md5(string_agg(md5(d.text), ',' ORDER BY d.arrival_ms, d.seq)) AS texts_md5
+  FROM labels l JOIN d ON d.seq = l.seq GROUP BY ALL) t USING (topic_id, package_seq)"""
 ORACLES["encode_packages"] = document_packing(
-    f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id,
-       'lz4' AS compress_type, {REQUEST_BYTES} AS raw_bytes FROM packages"""
+    _read_back.format(codec="codec", more="")
+    + ", (VALUES ('none'), ('lz4'), ('zstd'), ('deflate')) AS kinds(codec)"
 )
 ORACLES["write_outbox"] = document_packing(
-    f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id,
-       'deflate' AS compress_type, {REQUEST_BYTES} AS raw_bytes, 7::BIGINT AS batch_id FROM packages"""
+    _read_back.format(codec="'deflate'", more=", 7::BIGINT AS batch_id")
 )
 SENT = f"""sent AS (
   SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id, {REQUEST_BYTES} AS raw_bytes,
@@ -313,12 +322,13 @@ QUALIFY row_number() OVER (PARTITION BY package_id ORDER BY attempt_no) <= 3
 UNION ALL (SELECT 'last', package_id, attempt_no, success, error_code, ts_ms FROM c
 QUALIFY row_number() OVER (PARTITION BY package_id ORDER BY attempt_no DESC) <= 3)"""
 ORACLES["delivery_result"] = f"""WITH {RESULTS}
-SELECT p.event_id::VARCHAR AS package_id, coalesce(successful, false) AS successful,
+SELECT p.package_id, coalesce(successful, false) AS successful,
        coalesce(error_code, '') AS error_code, coalesce(error_message, '') AS error_message,
        coalesce(request_id, '') AS request_id, coalesce(s.ts_ms, 0) AS ts_ms,
        coalesce(failures, 0) AS failures, coalesce(terminal, false) AS terminal,
        coalesce(state, 'pending') AS state
-FROM events p LEFT JOIN s ON s.package_id = p.event_id::VARCHAR AND p.event_id % 10 <> 3"""
+FROM (SELECT event_id::VARCHAR AS package_id FROM events
+      UNION ALL SELECT 'doc-' || doc_id FROM documents) p LEFT JOIN s USING (package_id)"""
 ORACLES["check_request_groups"] = f"""WITH {DOCUMENTS}, {GROUPS}, b AS (
   SELECT *, oversize OR running > {MAX_REQUEST_BYTES} OR n_logs > {MAX_GROUP_LOGS + 1} AS bad FROM t),
 f AS (
@@ -374,7 +384,7 @@ ORACLES["pack_logs_grid"] = f"""WITH {EVENTS}, b AS (
   WINDOW o AS (PARTITION BY topic_id, bucket ORDER BY arrival_ms, seq
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT topic_id, seq, bucket, by_bytes, by_count,
-       {package_id("(topic_id || '/' || bucket || '/' || by_bytes || '/' || by_count)", "1")} AS package_id
+       {named_id("topic_id", name_in_id("bucket", "by_bytes", "by_count"))} AS package_id
 FROM (SELECT topic_id, seq, bucket, (before // {EVENT_PACKS.max_bytes})::BIGINT AS by_bytes,
              rank // {EVENT_PACKS.max_logs} AS by_count FROM w)"""
 ORACLES["log_status"] = f"""WITH {RESULTS}, {EVENTS}
@@ -382,7 +392,8 @@ SELECT e.seq, e.topic_id,
        CASE state WHEN 'success' THEN 'delivered' WHEN 'failed' THEN 'failed' ELSE 'pending' END AS status,
        coalesce(error_code, '') AS error_code, coalesce(error_message, '') AS error_message,
        coalesce(s.ts_ms, 0) AS ts_ms
-FROM e LEFT JOIN s ON s.package_id = e.seq::VARCHAR AND e.seq % 10 <> 3"""
+FROM e LEFT JOIN s ON s.package_id = e.seq::VARCHAR
+UNION ALL SELECT doc_id, lang, 'pending', '', '', 0 FROM documents"""
 ORACLES["unsent"] = f"""WITH {RESULTS}, {EVENTS}
 SELECT seq::VARCHAR AS package_id, topic_id, arrival_ms AS close_ms, size_bytes FROM e
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.package_id = e.seq::VARCHAR AND state IN ('success', 'failed'))"""
@@ -401,7 +412,7 @@ ORACLES["pack_stream"] = event_packing(
     f"""SELECT topic_id, seq, package_seq, {package_id("topic_id", "package_seq")} AS package_id,
        create_ms, close_ms, close_reason FROM labels"""
 )
-_opener = package_id("topic_id", "first_value(seq) OVER p")
+_opener = named_id("topic_id", name_in_id("first_value(arrival_ms) OVER p", "first_value(seq) OVER p"))
 ORACLES["pack_stream_carried"] = event_packing(
     f"""SELECT topic_id, seq, {_opener} AS package_id, create_ms FROM labels
 WINDOW p AS (PARTITION BY topic_id, package_seq ORDER BY arrival_ms, seq)"""

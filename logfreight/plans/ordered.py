@@ -16,14 +16,18 @@ from pyspark.sql import functions as F
 from logfreight.session import checkpoint_dir, written_table
 
 PART_BITS = 33
-# A row per partition is broadcast in later passes; this keeps that to a few megabytes.
-MAX_PARTITIONS = 100_000
+# Rows of a range: fewer ranges than there are shuffle partitions for few rows, more for many.
 MIN_ROWS = 10_000
+MAX_ROWS = 20_000_000
 
 
 def partitions_of(df: DataFrame, partitions: int | None) -> int:
-    chosen = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(chosen, MAX_PARTITIONS)
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ranges_for(rows: int, usual: int) -> int:
+    """Ranges for so many rows: the usual number, as long as they have a fair size."""
+    return max(min(usual, rows // MIN_ROWS + 1), -(-rows // MAX_ROWS))
 
 
 def read_once(df: DataFrame, partitions: int | None) -> tuple[DataFrame, int]:
@@ -35,7 +39,7 @@ def read_once(df: DataFrame, partitions: int | None) -> tuple[DataFrame, int]:
     """
     table = written_table(df)
     if partitions is None:
-        partitions = min(partitions_of(df, None), table.count() // MIN_ROWS + 1)
+        partitions = ranges_for(table.count(), partitions_of(df, None))
     return table, partitions_of(df, partitions)
 
 

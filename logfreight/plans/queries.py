@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logfreight.functions import ids, sizes
+from logfreight.functions import codecs, ids, sizes
 from logfreight.model import ATTEMPTS, PAIRS, DeliveryOptions, PackOptions
 from logfreight.operators import assemble, contents, delivery, pack, send, validate
 from logfreight.plans import sample_tables as sample
@@ -19,12 +20,13 @@ from logfreight.streaming import carried, microbatch, stateful
 
 HOUR_MS = 3_600_000
 # Limits low enough for every close reason to occur on the sample tables.
-EVENT_PACKS = PackOptions(max_bytes=250, cap_bytes=257, max_logs=7, linger_ms=3 * HOUR_MS)
+EVENT_PACKS = PackOptions(max_bytes=250, cap_bytes=257, max_logs=7, linger_ms=3 * HOUR_MS, run_secs=0)
 DOCUMENT_PACKS = PackOptions(
-    max_bytes=30_000, cap_bytes=32_000, max_logs=12, linger_ms=10_000, source="10.0.0.1"
+    max_bytes=30_000, cap_bytes=32_000, max_logs=12, linger_ms=10_000, source="10.0.0.1", run_secs=0
 )
 LIST_PACKS = PackOptions(max_bytes=3_500, cap_bytes=4_200, max_logs=7, linger_ms=6_000)
 RETRIES = DeliveryOptions(retries=2, backoff_ms=100, max_backoff_ms=350, total_bytes=2_000)
+STREAM_BATCHES = 4
 MAX_VALUE_BYTES = 4_000
 MAX_REQUEST_BYTES = 120_000
 MAX_GROUP_LOGS = 9
@@ -107,10 +109,23 @@ def _encoded(spark, folder, compress_type):
     return assemble.encode_packages(packed, compress_type, DOCUMENT_PACKS)
 
 
+def _read_back(outbox, *more):
+    """Packages with the md5 of the texts that their payloads expand to, in order."""
+    logs = payloads.decode_payloads(outbox.withColumnRenamed("package_id", "payload_id"))
+    text = F.md5(F.coalesce(F.col("contents")[0]["value"], F.lit("")))
+    ordered = F.array_sort(F.collect_list(F.struct("group_no", "log_no", text.alias("md5"))))
+    read = logs.groupBy("payload_id").agg(
+        F.md5(F.array_join(F.transform(ordered, lambda log: log["md5"]), ",")).alias("texts_md5")
+    )
+    joined = outbox.join(read, F.col("package_id") == F.col("payload_id"))
+    return joined.select("package_id", "topic_id", "compress_type", "raw_bytes", "texts_md5", *more)
+
+
 @_query
 def encode_packages(spark, folder):
-    encoded = _encoded(spark, folder, "lz4")
-    return encoded.select("package_id", "topic_id", "compress_type", "raw_bytes")
+    packed = pack.pack_logs(sample.document_logs(spark, folder), DOCUMENT_PACKS)
+    kinds = [_read_back(assemble.encode_packages(packed, c, DOCUMENT_PACKS)) for c in codecs.CODECS]
+    return functools.reduce(DataFrame.unionByName, kinds)
 
 
 @_query
@@ -119,9 +134,7 @@ def write_outbox(spark, folder):
     encoded = _encoded(spark, folder, "deflate")
     outboxes.write_outbox(encoded, where, 7)
     outboxes.write_outbox(encoded, where, 7)
-    return outboxes.read_outbox(spark, where).select(
-        "package_id", "topic_id", "compress_type", "raw_bytes", "batch_id"
-    )
+    return _read_back(outboxes.read_outbox(spark, where), "batch_id")
 
 
 def _answer(topic_id: str, payload: bytes, compress_type: str) -> tuple[int, str, str]:
@@ -235,7 +248,7 @@ def stamp_group(spark, folder):
 @_query
 def package_id(spark, folder):
     events = sample.table(spark, folder, "events")
-    identity = ids.package_id(F.lit("main"), F.col("event_type"), F.col("event_id") + 1, 1_700_000_000)
+    identity = ids.package_id(F.lit("main"), F.col("event_type"), ids.number_in_id(F.col("event_id") + 1), 1_700_000_000)
     return events.select("event_id", identity.alias("package_id"))
 
 
@@ -354,11 +367,12 @@ def attempt_history(spark, folder):
 
 @_query
 def delivery_result(spark, folder):
-    attempts = sample.event_attempts(spark, folder).filter("package_id % 10 <> 3")
     packages = sample.table(spark, folder, "events").select(
         F.col("event_id").cast("string").alias("package_id")
     )
-    return delivery.delivery_result(attempts, RETRIES, packages)
+    unsent = sample.unsent_document_logs(spark, folder).select("package_id")
+    attempts = sample.event_attempts(spark, folder)
+    return delivery.delivery_result(attempts, RETRIES, packages.union(unsent))
 
 
 # Windows
@@ -437,7 +451,8 @@ def pack_logs_grid(spark, folder):
 def log_status(spark, folder):
     results = delivery.delivery_result(sample.event_attempts(spark, folder), RETRIES)
     packed = sample.event_logs(spark, folder).withColumn("package_id", F.col("seq").cast("string"))
-    status = delivery.log_status(packed, results.filter("package_id % 10 <> 3"))
+    packed = packed.unionByName(sample.unsent_document_logs(spark, folder))
+    status = delivery.log_status(packed, results)
     return status.select("seq", "topic_id", "status", "error_code", "error_message", "ts_ms")
 
 
@@ -475,6 +490,21 @@ def _event_stream(spark, folder):
     )
 
 
+def _event_batches(spark, folder, where):
+    """The events as a stream of several micro-batches, in order of time."""
+    events = sample.table(spark, folder, "events")
+    shares = [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)]
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = events.agg(F.percentile_approx(micros, F.lit(shares), F.lit(1000))).first()[0]
+    # Files are read in the order they were written in.
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = events if low is None else events.filter(micros > low)
+        part = part if high is None else part.filter(micros <= high)
+        part.coalesce(1).write.mode("append").parquet(f"{where}/in")
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return sample.as_event_logs(files.parquet(f"{where}/in"))
+
+
 @_query
 def pack_stream_microbatch(spark, folder):
     where = scratch(spark)
@@ -490,17 +520,27 @@ def pack_stream_microbatch(spark, folder):
 
 def _drained_stream(spark, folder):
     where = scratch(spark)
-    stateful.flush_row(spark).write.parquet(f"{where}/flush")
-    stream = stateful.with_flush(_event_stream(spark, folder), f"{where}/flush")
-    query = (
-        stateful.pack_stream(stream, EVENT_PACKS)
-        .writeStream.format("parquet")
-        .option("path", f"{where}/out")
-        .option("checkpointLocation", f"{where}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    stream = _event_batches(spark, folder, where)
+    marks = stateful.flush_rows(sample.event_logs(spark, folder))
+    marks.limit(0).write.parquet(f"{where}/marks")
+    # The SQL knows no clock: the last package of a topic ends with the input, so no watermark
+    # may come before the marks. Tests of the stream let it.
+    stream = stateful.with_marks(stream, f"{where}/marks")
+    packed = stateful.pack_stream(stream, EVENT_PACKS, delay_ms=10_000 * HOUR_MS)
+
+    def drain():
+        query = (
+            packed.writeStream.format("parquet")
+            .option("path", f"{where}/out")
+            .option("checkpointLocation", f"{where}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    drain()
+    marks.coalesce(1).write.mode("append").parquet(f"{where}/marks")
+    drain()
     return spark.read.parquet(f"{where}/out")
 
 

@@ -37,6 +37,12 @@ def document_logs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def unsent_document_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Document logs in packages of their own, which no attempt has been made for."""
+    name = F.concat(F.lit("doc-"), F.col("seq").cast("string"))
+    return document_logs(spark, folder).withColumn("package_id", name)
+
+
 def page_logs(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return logs_from_columns(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import pathlib
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,14 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; a temporary one is
-    made only where none is set, which is right for a single machine and no more.
+    A cluster names a shared folder in ``spark.checkpoint.dir``. Where none is set, a local
+    session gets a temporary one and any other an error: executors could not read it.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
             "spark.checkpoint.dir", None
         )
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="logfreight-"))
     return context.getCheckpointDir()
 
@@ -38,6 +43,24 @@ def written_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all tables and checkpoints made inside, removed at the end.
+
+    Write or collect results before the end; they are read from that folder.
+    """
+    before = checkpoint_dir(spark)
+    context = spark.sparkContext
+    context.setCheckpointDir(scratch(spark))
+    inside = context.getCheckpointDir()
+    try:
+        yield inside
+    finally:
+        context.setCheckpointDir(before)
+        path = context._jvm.org.apache.hadoop.fs.Path(inside)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Make a session ready: UTC, and this package importable in the Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -8,19 +8,27 @@ replayed batch replaces itself with the same rows.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logfreight.functions.ids import package_id
+from logfreight.functions.ids import name_in_id, package_id
 from logfreight.model import LOGS, PACKED, PackOptions
 from logfreight.operators.pack import SEQUENCE, assign_packages, attach, sized_logs
 
 
-def _opener_id(opts: PackOptions) -> Column:
-    """Packages are named after the ``seq`` of their first log, which no later batch changes."""
-    return package_id(F.col("producer"), F.col("topic_id"), F.col("opener"), opts.run_secs)
+def _opener_id(opts: PackOptions, path: str) -> Column:
+    """Packages are named after their first log, which no later batch changes.
+
+    Without a run of its own a stream has one that follows from its path, as a replayed batch
+    must give the same ids.
+    """
+    run = zlib.crc32(path.encode()) if opts.run_secs is None else opts.run_secs
+    name = name_in_id(F.col("opener.arrival_ms"), F.col("opener.seq"))
+    return package_id(F.col("producer"), F.col("topic_id"), name, run)
 
 
 def _pack_with_carry(batch: DataFrame, batch_id: int, path: str, opts: PackOptions) -> DataFrame:
@@ -33,11 +41,11 @@ def _pack_with_carry(batch: DataFrame, batch_id: int, path: str, opts: PackOptio
     expired = F.col("create_ms") + opts.linger_ms <= newest
     still_open = (F.col("close_reason") == "flush") & ~expired
     packages = labels.groupBy(*SEQUENCE, "package_seq").agg(
-        F.min_by("seq", F.struct("arrival_ms", "seq")).alias("opener")
+        F.min(F.struct("arrival_ms", "seq")).alias("opener")
     )
     named = labels.join(packages, [*SEQUENCE, "package_seq"]).withColumns(
         {
-            "package_id": _opener_id(opts),
+            "package_id": _opener_id(opts, path),
             "is_open": still_open,
             "close_ms": F.when(F.col("close_reason") != "flush", F.col("close_ms")).otherwise(
                 F.when(expired, F.col("create_ms") + opts.linger_ms).otherwise(F.col("close_ms"))

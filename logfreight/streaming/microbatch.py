@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logfreight.functions import codecs
+from logfreight.functions.ids import name_in_id, package_id
 from logfreight.model import PackOptions
 from logfreight.operators.assemble import encode_packages
 from logfreight.operators.pack import pack_logs
 from logfreight.operators.validate import reject_incomplete, reject_oversize
+from logfreight.session import written_table
 from logfreight.sources.outbox import write_outbox
 
 
@@ -18,11 +22,12 @@ def _trigger(opts: PackOptions, available_now: bool) -> dict:
     return {"availableNow": True} if available_now else {"processingTime": f"{opts.linger_ms} milliseconds"}
 
 
-def _pack_batch(batch: DataFrame, batch_id: int, opts: PackOptions) -> DataFrame:
-    # The batch id enters the package ids through the producer they are made from, and
-    # the plan is a function of the batch alone: a replayed batch gives the same ids.
-    named = batch.withColumn("producer", F.concat("producer", F.lit(f"#{batch_id}")))
-    return pack_logs(named, opts)
+def _pack_batch(batch: DataFrame, batch_id: int, path: str, opts: PackOptions) -> DataFrame:
+    """Packed rows of a batch; only the ids tell the batch, and a replayed one has the same."""
+    run = zlib.crc32(path.encode()) if opts.run_secs is None else opts.run_secs
+    name = name_in_id(F.lit(batch_id), F.col("package_seq"))
+    identity = package_id(F.col("producer"), F.col("topic_id"), name, run)
+    return pack_logs(batch, opts).withColumn("package_id", identity)
 
 
 def pack_stream_microbatch(
@@ -39,7 +44,7 @@ def pack_stream_microbatch(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        packed = _pack_batch(batch, batch_id, opts)
+        packed = _pack_batch(written_table(batch), batch_id, path, opts)
         packed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
@@ -62,11 +67,11 @@ def outbox_stream(
     """Validate, pack, encode and write each micro-batch to an outbox."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        complete, incomplete = reject_incomplete(batch)
+        complete, incomplete = reject_incomplete(written_table(batch))
         accepted, oversize = reject_oversize(complete)
         rejected = incomplete.unionByName(oversize)
         rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
-        packed = _pack_batch(accepted, batch_id, opts)
+        packed = _pack_batch(accepted, batch_id, path, opts)
         write_outbox(encode_packages(packed, compress_type, opts), path, batch_id)
 
     return (

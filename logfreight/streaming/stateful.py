@@ -1,8 +1,14 @@
 """Streaming packing with packages that stay open across micro-batches.
 
 The state of a (producer, topic) is the rows of its open package and a counter, so it is
-bounded by the limits of a package. A package closes when a later row closes it or when
-its linger time has passed: by the watermark in event time, by the clock in processing time.
+bounded by the limits of a package. A package closes when a later row closes it, when its
+linger time has passed (by the watermark in event time, by the clock in processing time), or
+when a mark for its (producer, topic) is read.
+
+In event time Spark drops rows behind the watermark. Here none may be lost, so log rows carry no
+event time at all; beside each goes a tick, a narrow row with the time and nothing else, which
+moves the watermark and may be dropped. A log that comes late is packed as arriving with the
+one before it.
 """
 
 from __future__ import annotations
@@ -15,16 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from logfreight.functions.ids import package_id
+from logfreight.functions.ids import number_in_id, package_id, run_number
 from logfreight.functions.sizes import field_size, log_size, log_wire_size, opening_metadata_size
 from logfreight.model import LOGS, PAIRS, PackOptions
 from logfreight.plans import greedy
 
 EVENT_TIME = "eventTime"
 PROCESSING_TIME = "processingTime"
-FLUSH_TOPIC = "\u0001flush"
-# Fixed value: event time of the row that closes a stream, the year 2200, within the range of pandas.
-FLUSH_MS = 7258118400000
+TICK_TOPIC = "\u0001tick"
+# Ticks are dealt over so many groups, which hold no state.
+TICK_GROUPS = 64
+# Number of a row that closes what its (producer, topic) has open.
+FLUSH_SEQ = -(1 << 63)
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _HELD = [
@@ -49,11 +57,10 @@ def _plain(value):
 
 
 class _Packer(StatefulProcessor):
-    def __init__(self, limits: PackOptions, time_mode: str, delay_ms: int) -> None:
+    def __init__(self, limits: PackOptions, time_mode: str) -> None:
         self.limits = limits
         self.by_clock = time_mode == PROCESSING_TIME
         self.metadata = opening_metadata_size(limits.source, limits.hostname)
-        self.flush_from = FLUSH_MS - delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -98,9 +105,44 @@ class _Packer(StatefulProcessor):
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if key[1] == TICK_TOPIC:
+            for _ in rows:
+                pass
+            return
         incoming = pd.concat(list(rows))
-        if key[1] == FLUSH_TOPIC:
+        marks = incoming["seq"] == FLUSH_SEQ
+        flushing, incoming = bool(marks.any()), incoming[~marks]
+        if len(incoming):
+            yield from self._take(key, incoming, timerValues)
+        if flushing:
+            yield from self._flush(key)
+
+    def _flush(self, key) -> Iterator[pd.DataFrame]:
+        held, opened, due, timer = self._load()
+        if not len(held):
             return
+        self._forget(opened, timer)
+        yield self._closed(
+            key,
+            held.assign(
+                package_seq=opened,
+                create_ms=self._created(held, due),
+                close_ms=int(held["arrival_ms"].max()),
+                close_reason="flush",
+            ),
+        )
+
+    def _created(self, held: pd.DataFrame, due: int) -> int:
+        return due - self.limits.linger_ms if due >= 0 else int(held["arrival_ms"].min())
+
+    def _forget(self, opened: int, timer: int) -> None:
+        """Nothing is open any more; the counter goes on."""
+        if timer >= 0:
+            self.handle.deleteTimer(timer)
+        self.counter.update((opened, -1, -1))
+        self.held.clear()
+
+    def _take(self, key, incoming, timerValues) -> Iterator[pd.DataFrame]:
         incoming = incoming.sort_values(["arrival_ms", "seq"], kind="stable")[_HELD_NAMES]
         held, opened, old_due, timer = self._load()
         together = pd.concat([held, incoming], ignore_index=True) if len(held) else incoming
@@ -133,33 +175,53 @@ class _Packer(StatefulProcessor):
         held, opened, due, timer = self._load()
         if not len(held) or expiredTimerInfo.getExpiryTimeInMs() != timer:
             return
-        flushing = False
-        if not self.by_clock:
-            flushing = timerValues.getCurrentWatermarkInMs() >= self.flush_from
         done = held.assign(
             package_seq=opened,
             create_ms=due - self.limits.linger_ms,
-            close_ms=int(held["arrival_ms"].max()) if flushing else due,
-            close_reason="flush" if flushing else "linger",
+            close_ms=due,
+            close_reason="linger",
         )
-        self.counter.update((opened, -1, -1))
-        self.held.clear()
+        self._forget(opened, -1)
         yield self._closed(key, done)
 
     def close(self) -> None:
         pass
 
 
-def flush_row(spark: SparkSession) -> DataFrame:
-    """The one row that, read last by a stream, makes it close all packages."""
-    row = (FLUSH_TOPIC, "", 0, FLUSH_MS, 0, [], None)
-    return spark.createDataFrame([row], LOGS)
+def flush_rows(logs: DataFrame) -> DataFrame:
+    """A mark for every (producer, topic) of ``logs``: rows that close what these have open.
+
+    A mark moves no watermark and ends nothing: logs that are read after it are packed as
+    ever. Write marks to the input of a stream (or to a folder it also reads, see
+    ``with_marks``) once all logs before them have been read.
+    """
+    keys = logs.select("producer", "topic_id").distinct()
+    marks = keys.select("topic_id", "producer", F.lit(FLUSH_SEQ).alias("seq"), F.lit(0).alias("arrival_ms"), F.lit(0).alias("time"))
+    blank = {"contents": F.array().cast(PAIRS), "collect_time": F.lit(None).cast("long")}
+    return marks.withColumns(blank).select(*[F.col(f.name).cast(f.dataType) for f in LOGS.fields])
+
+
+def with_marks(stream: DataFrame, folder: str) -> DataFrame:
+    """The stream together with a folder into which ``flush_rows`` are written.
+
+    Only what is written after the stream has read its logs closes them: run the stream over
+    its input first (``availableNow``), then write the marks and run it again.
+    """
+    marks = stream.sparkSession.readStream.schema(LOGS).parquet(folder)
+    return stream.unionByName(marks)
 
 
-def with_flush(stream: DataFrame, folder: str) -> DataFrame:
-    """The stream together with a folder into which ``flush_row`` is written to end it."""
-    ends = stream.sparkSession.readStream.schema(LOGS).parquet(folder)
-    return stream.unionByName(ends)
+def _with_ticks(sized: DataFrame) -> DataFrame:
+    """Every row without its time, and beside it a tick that has nothing but the time."""
+    names = [name for name in sized.columns if name != "event_ts"]
+    log = F.struct(*names, F.lit(None).cast("timestamp").alias("event_ts"))
+    kept = {"topic_id": F.lit(TICK_TOPIC), "event_ts": F.col("event_ts"),
+            "producer": F.pmod(F.xxhash64("seq"), F.lit(TICK_GROUPS)).cast("string")}
+    kinds = dict(sized.dtypes)
+    tick = F.struct(*[kept.get(n, F.lit(None).cast(kinds[n])).alias(n) for n in [*names, "event_ts"]])
+    is_mark = F.col("seq") == FLUSH_SEQ
+    rows = F.when(is_mark, F.array(log)).otherwise(F.array(log, tick))
+    return sized.select(F.explode(rows).alias("_row")).select("_row.*")
 
 
 def pack_stream(
@@ -170,16 +232,19 @@ def pack_stream(
 ) -> DataFrame:
     """Packed logs of a stream of log rows, emitted once their package is closed.
 
-    In event time, rows later than ``delay_ms`` behind the newest are dropped by Spark;
-    choose it so that ``numRowsDroppedByWatermark`` of the query stays 0. In processing
-    time none is dropped, and a package closes once the linger time has passed on the
-    clock since the batch it was opened in; such a query does not end by itself. To spread a busy topic over
-    tasks, deal it out to several producers (``producer_shards`` of the log sources).
-    What is open when the stream ends is closed by ``flush_row``. Also takes a batch
-    DataFrame.
+    No log is dropped. In event time a package closes once ``delay_ms`` more than its linger
+    time has passed in the data; in processing time once the linger time has passed on the
+    clock since the batch it was opened in, and such a query does not end by itself. All rows of a
+    (producer, topic) in a micro-batch go to one task, so let the source bound the batch, deal a
+    busy topic out to several producers (``producer_shards`` of the log sources), or use
+    ``pack_stream_carried``. What is open is closed by ``flush_rows``. Also takes a batch
+    DataFrame. The session's state store has to be the one in ``STATE_STORE``; it is set where
+    the session has none of its own.
     """
     session = stream.sparkSession
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if not session.conf.get(provider).endswith("RocksDBStateStoreProvider"):
+        session.conf.set(provider, STATE_STORE)
     narrow = ["topic_id", "producer", "seq", "arrival_ms", "time", "collect_time"]
     sized = stream.selectExpr(
         *narrow,
@@ -190,17 +255,19 @@ def pack_stream(
     )
     wire = f"{field_size('_wire')} AS logs_wire_bytes"
     if time_mode == EVENT_TIME:
-        sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire, "event_ts")
+        sized = _with_ticks(sized.selectExpr(*narrow, "pairs", "size_bytes", wire, "event_ts"))
         sized = sized.withWatermark("event_ts", f"{delay_ms} milliseconds")
     else:
         sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire)
     packed = sized.groupBy("producer", "topic_id").transformWithStateInPandas(
-        statefulProcessor=_Packer(opts, time_mode, delay_ms),
+        statefulProcessor=_Packer(opts, time_mode),
         outputStructType=_OUT_SCHEMA,
         outputMode="append",
         timeMode=time_mode,
     )
-    identity = package_id(F.col("producer"), F.col("topic_id"), F.col("package_seq"), opts.run_secs)
+    counter = number_in_id(F.col("package_seq"))
+    run = run_number(opts.run_secs)
+    identity = package_id(F.col("producer"), F.col("topic_id"), counter, run)
     return packed.withColumn("contents", F.from_json("pairs", PAIRS)).drop("pairs").withColumn(
         "package_id", identity
     )

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from logfreight.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -36,7 +37,11 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(name, spark, folder, database):
     frame = entry.queries()[name](spark, folder)
     got = rows_of(frame.columns, frame.collect())

@@ -31,12 +31,7 @@ def packages(df):
     return sorted((r.topic_id, tuple(r.s)) for r in rows.collect())
 
 
-@pytest.mark.parametrize("files", [1, 3])
-def test_stateful_equals_batch(spark, folder, tmp_path, files):
-    logs = event_logs(spark, folder)
-    write_in_files(spark, logs, f"{tmp_path}/in", files)
-    stateful.flush_row(spark).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    packed = stateful.pack_stream(stream_of(spark, f"{tmp_path}/in"), OPTS)
+def drained(packed, tmp_path):
     query = (
         packed.writeStream.format("parquet")
         .option("path", f"{tmp_path}/out")
@@ -45,10 +40,19 @@ def test_stateful_equals_batch(spark, folder, tmp_path, files):
         .start()
     )
     query.awaitTermination(240)
-    dropped = sum(
-        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
-    )
-    assert dropped == 0
+    assert query.exception() is None
+    return query
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stateful_equals_batch(spark, folder, tmp_path, files):
+    logs = event_logs(spark, folder)
+    write_in_files(spark, logs, f"{tmp_path}/in", files)
+    packed = stateful.pack_stream(stream_of(spark, f"{tmp_path}/in"), OPTS)
+    query = drained(packed, tmp_path)
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == files
+    stateful.flush_rows(logs).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    drained(packed, tmp_path)
     out = spark.read.parquet(f"{tmp_path}/out")
     assert out.count() == logs.count()
     assert packages(out) == packages(pack_logs(logs, OPTS))
@@ -56,6 +60,21 @@ def test_stateful_equals_batch(spark, folder, tmp_path, files):
     assert same.count() == logs.count()
 
 
+def test_stateful_packs_late_logs_and_logs_after_a_flush(spark, folder, tmp_path):
+    logs = event_logs(spark, folder)
+    late = F.col("seq") % 5 == 0
+    write_in_files(spark, logs.filter(~late), f"{tmp_path}/in", 2)
+    packed = stateful.pack_stream(stream_of(spark, f"{tmp_path}/in"), OPTS, delay_ms=0)
+    drained(packed, tmp_path)
+    for part in (logs.filter(late & (F.col("seq") % 2 == 0)), stateful.flush_rows(logs), logs.filter(late & (F.col("seq") % 2 == 1)), stateful.flush_rows(logs)):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        drained(packed, tmp_path)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == logs.count()
+    assert out.select("seq").distinct().count() == logs.count()
+    assert out.groupBy("package_id").agg(F.sum("n_logs").alias("n")).filter(F.col("n") > OPTS.max_logs).count() == 0
+
+
 @pytest.mark.parametrize("files", [1, 4])
 def test_carried_equals_batch(spark, folder, tmp_path, files):
     logs = event_logs(spark, folder)
