@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logfreight.model import DeliveryOptions
-from logfreight.plans.ordered import range_ordered, running_sums
+from logfreight.plans.ordered import range_ordered, read_once, running_sums
 
 # Answers of the service and what they mean.
 OK = 200
@@ -228,6 +228,8 @@ def in_flight_bytes(
 
     A package counts from its closing until it succeeds or fails for good.
     """
+    # Both branches below use it: sized once.
+    packages, _ = read_once(packages.select(*by, "package_id", "close_ms", "size_bytes"), partitions)
     results = delivery_result(attempts, opts).filter(F.col("state").isin("success", "failed"))
     settled = packages.join(results.select("package_id", "ts_ms"), "package_id")
     rises = packages.select(
@@ -235,7 +237,8 @@ def in_flight_bytes(
     )
     falls = settled.select(*by, "ts_ms", "package_id", (-F.col("size_bytes")).alias("delta"))
     order = ["ts_ms", "package_id", "delta"]
-    ordered = range_ordered(rises.unionByName(falls), list(by), order, partitions)
+    moves, parts = read_once(rises.unionByName(falls), partitions)
+    ordered = range_ordered(moves, list(by), order, parts)
     running = running_sums(ordered, list(by), order, {"in_flight": F.col("delta")})
     return running.select(
         *by, *order, "in_flight", (F.col("in_flight") > opts.total_bytes).alias("over")

@@ -325,7 +325,8 @@ def split_segments(
 
     No package crosses such a gap. Returns the key columns and ``segment``, from 0.
     """
-    ordered = range_ordered(logs.select(*ROW), SEQUENCE, ARRIVAL, partitions)
+    table, parts = read_once(logs.select(*ROW), partitions)
+    ordered = range_ordered(table, SEQUENCE, ARRIVAL, parts)
     gaps = previous_value(ordered, SEQUENCE, ARRIVAL, "arrival_ms", "previous_ms")
     cut = F.when(F.col("arrival_ms") - F.col("previous_ms") >= linger_ms, 1).otherwise(0)
     cuts = gaps.withColumn("_cut", cut.cast("long"))

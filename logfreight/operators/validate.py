@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logfreight.functions.sizes import log_size
 from logfreight.model import MAX_REQUEST_BYTES, MAX_REQUEST_LOGS, MAX_VALUE_BYTES
-from logfreight.plans.ordered import range_ordered, running_sums
+from logfreight.plans.ordered import range_ordered, read_once, running_sums
 
 
 def has_oversize_value(contents: Column, max_value_bytes: int = MAX_VALUE_BYTES) -> Column:
@@ -90,8 +90,8 @@ def check_request_groups(
     many logs or too large a value rejects the whole request and is given as
     ``first_bad``.
     """
-    groups = _measured(logs, [*by, order], max_value_bytes)
-    ordered = range_ordered(groups, by, [order], partitions)
+    groups, parts = read_once(_measured(logs, [*by, order], max_value_bytes), partitions)
+    ordered = range_ordered(groups, by, [order], parts)
     running = running_sums(ordered, by, [order], {"running_bytes": F.col("size_bytes")})
     too_large = (F.col("running_bytes") > max_bytes) | (F.col("n_logs") > max_logs)
     bad = F.when(F.col("oversize") | too_large, F.col(order))

@@ -51,14 +51,15 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
     """
     before = checkpoint_dir(spark)
     context = spark.sparkContext
-    context.setCheckpointDir(scratch(spark))
-    inside = context.getCheckpointDir()
+    outer = scratch(spark)
+    # Spark puts a folder of its own inside the one it is given.
+    context.setCheckpointDir(outer)
     try:
-        yield inside
+        yield outer
     finally:
         context.setCheckpointDir(before)
-        path = context._jvm.org.apache.hadoop.fs.Path(inside)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+        path = context._jvm.org.apache.hadoop.fs.Path(outer)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

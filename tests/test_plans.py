@@ -1,14 +1,17 @@
 """Running values over cut sequences, and what the physical plans look like."""
 
+import pathlib
 import random
+import urllib.parse
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from logfreight.operators.pack import assign_packages, package_summary, sized_logs
-from logfreight.plans.ordered import previous_value, range_ordered, running_sums
+from logfreight.plans.ordered import previous_value, range_ordered, ranges_for, running_sums
 from logfreight.plans.sample_tables import event_logs
+from logfreight.session import work_folder
 
 
 def sequence_rows(seed, n):
@@ -66,6 +69,33 @@ def test_no_pairwise_joins(spark, folder, name):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize(
+    "name", ["check_request_groups", "split_segments", "in_flight_bytes", "pack_logs_grid"]
+)
+def test_running_sums_sort_no_rows_again(spark, folder, name):
+    assert "Sort [part" not in executed(entry.queries()[name](spark, folder))
+
+
+def test_more_rows_make_more_ranges():
+    assert [ranges_for(n, 200) for n in (0, 25_000, 10**8, 10**11)] == [1, 3, 200, 5000]
+
+
+def test_work_folder_leaves_nothing(spark, folder, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    with work_folder(spark) as inside:
+        package_summary(assign_packages(sized_logs(event_logs(spark, folder)))).collect()
+        place = pathlib.Path(urllib.parse.urlparse(inside).path)
+        assert any(place.iterdir())
+    assert not place.exists()
+    assert spark.sparkContext.getCheckpointDir().startswith(before)
+
+
+def test_packages_of_two_runs_differ(spark, folder):
+    logs = event_logs(spark, folder)
+    ids = [assign_packages(sized_logs(logs)).select("package_id").distinct() for _ in range(2)]
+    assert ids[0].intersect(ids[1]).count() == 0 and ids[0].count() == ids[1].count()
+
+
 def test_only_needed_columns_are_read(spark, folder):
     plan = executed(event_logs(spark, folder).select("seq", F.size("contents")))
     schema = plan.split("ReadSchema: ")[1]
