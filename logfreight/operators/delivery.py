@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logfreight.model import DeliveryOptions
@@ -183,15 +183,17 @@ def unsent(outbox: DataFrame, results: DataFrame) -> DataFrame:
     return outbox.join(final, "package_id", "left_anti")
 
 
-def retry_schedule(attempts: DataFrame, opts: DeliveryOptions = DeliveryOptions()) -> DataFrame:
-    """When each package that failed, but not for good, is tried again.
-
-    The wait doubles with every failure up to its maximum.
-    """
-    wait = F.least(
+def retry_wait(opts: DeliveryOptions = DeliveryOptions()) -> Column:
+    """Wait after so many ``failures``: it doubles with each up to its maximum."""
+    return F.least(
         F.pow(F.lit(2.0), F.col("failures") - 1) * F.lit(float(opts.backoff_ms)),
         F.lit(float(opts.max_backoff_ms)),
     ).cast("long")
+
+
+def retry_schedule(attempts: DataFrame, opts: DeliveryOptions = DeliveryOptions()) -> DataFrame:
+    """When each package that failed, but not for good, is tried again."""
+    wait = retry_wait(opts)
     waiting = delivery_result(attempts, opts).filter(F.col("state") == "retrying")
     return waiting.select(
         "package_id",

@@ -3,52 +3,63 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import AbstractContextManager, nullcontext
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logfreight.model import ATTEMPTS, DeliveryOptions
+from logfreight.functions import codecs
+from logfreight.model import ATTEMPTS, MAX_REQUEST_BYTES, MAX_REQUEST_LOGS, DeliveryOptions
+from logfreight.operators.assemble import assemble_requests, encode_requests
 from logfreight.operators.delivery import (
     NO_REQUEST_ID,
     NO_RESPONSE,
     delivery_result,
-    retry_due,
-    retry_schedule,
-    unsent,
+    retry_wait,
 )
 
 # send(topic_id, payload, compress_type) -> (http_code, request_id, body)
 Send = Callable[[str, bytes, str], tuple[int, str, str]]
 
 
+@dataclass(frozen=True)
+class PerTask:
+    """A send function that every task opens for itself: ``open()`` gives a context manager
+    around it, which holds what a client has to keep and close."""
+
+    open: Callable[[], AbstractContextManager[Send]]
+
+
 def _now_ms() -> int:
     return time.time_ns() // 1_000_000
 
 
-def _sender(send: Send, clock: Callable[[], int]):
+def _sender(send: Send | PerTask, clock: Callable[[], int]):
     names = [field.name for field in ATTEMPTS.fields]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            answers = []
-            for row in frame.itertuples(index=False):
-                try:
-                    code, request_id, body = send(row.topic_id, row.payload, row.compress_type)
-                except Exception as error:
-                    code, request_id, body = NO_RESPONSE, NO_REQUEST_ID, str(error)
-                answers.append(
-                    (row.package_id, row.topic_id, row.attempt_no, code, request_id, body, clock())
-                )
-            yield pd.DataFrame(answers, columns=names)
+        with send.open() if isinstance(send, PerTask) else nullcontext(send) as client:
+            for frame in frames:
+                answers = []
+                for row in frame.itertuples(index=False):
+                    try:
+                        code, request_id, body = client(row.topic_id, row.payload, row.compress_type)
+                    except OSError as error:  # connections and time-outs; others are mistakes
+                        code, request_id, body = NO_RESPONSE, NO_REQUEST_ID, str(error)
+                    answers.append(
+                        (row.package_id, row.topic_id, row.attempt_no, code, request_id, body, clock())
+                    )
+                yield pd.DataFrame(answers, columns=names)
 
     return run
 
 
 def deliver(
     due: DataFrame,
-    send: Send,
+    send: Send | PerTask,
     path: str,
     pass_id: int,
     opts: DeliveryOptions = DeliveryOptions(),
@@ -56,7 +67,9 @@ def deliver(
 ) -> DataFrame:
     """Send each due package once and return the recorded answers.
 
-    ``due`` holds outbox columns and the ``attempt_no`` to record (1 if there is none).
+    ``due`` holds outbox columns and the ``attempt_no`` to record (1 if there is none); with
+    ``next_retry_ms``, each task sends the earliest first. An ``OSError`` of the send function
+    (connection, time-out) is recorded as no response; any other error ends the job.
     No more than ``workers`` tasks send at a time. Answers are written to
     ``path/pass_id=<pass_id>`` before anything reads them, so reading again does not send
     again. A lost task is run again and its packages are resent: delivery is at least
@@ -65,7 +78,10 @@ def deliver(
     if "attempt_no" not in due.columns:
         due = due.withColumn("attempt_no", F.lit(1))
     names = ["package_id", "topic_id", "compress_type", "payload", "attempt_no"]
-    spread = due.select(*names).repartition(opts.workers)
+    spread = due.repartition(opts.workers)
+    if "next_retry_ms" in due.columns:
+        spread = spread.sortWithinPartitions(F.col("next_retry_ms").asc_nulls_first(), "package_id")
+    spread = spread.select(*names)
     target = f"{path}/pass_id={pass_id}"
     spread.mapInPandas(_sender(send, clock), ATTEMPTS).write.mode("overwrite").parquet(target)
     return due.sparkSession.read.schema(ATTEMPTS).parquet(target)
@@ -78,19 +94,54 @@ def due_packages(
     closing: bool = False,
     opts: DeliveryOptions = DeliveryOptions(),
 ) -> DataFrame:
-    """Outbox rows to send now, never tried or due again, with their ``attempt_no``."""
-    results = delivery_result(attempts, opts)
-    due = retry_due(retry_schedule(attempts, opts), now_ms, closing)
-    retries = due.select("package_id", (F.col("failures") + 1).cast("int").alias("attempt_no"))
-    fresh = outbox.join(attempts.select("package_id"), "package_id", "left_anti")
-    again = unsent(outbox, results).join(retries, "package_id")
-    return fresh.withColumn("attempt_no", F.lit(1)).unionByName(again)
+    """Outbox rows to send now, never tried or due again, with their ``attempt_no``.
+
+    What is due is decided on ids: attempts are aggregated once, and payloads are read and
+    joined once. ``next_retry_ms`` is null for packages that were never tried.
+    """
+    results = delivery_result(attempts, opts).select("package_id", "state", "failures", "ts_ms")
+    known = outbox.select("package_id").join(results, "package_id", "left")
+    next_ms = F.col("ts_ms") + retry_wait(opts)
+    again = F.col("state") == "retrying"
+    again = again if closing else again & (next_ms < now_ms)
+    due = known.filter(F.col("state").isNull() | again).select(
+        "package_id",
+        (F.coalesce("failures", F.lit(0)) + 1).cast("int").alias("attempt_no"),
+        next_ms.alias("next_retry_ms"),
+    )
+    return outbox.join(due, "package_id")
+
+
+def send_requests(
+    groups: DataFrame,
+    by: Sequence[str],
+    order: str,
+    send: Send | PerTask,
+    path: str,
+    topic: Column | None = None,
+    pass_id: int = 0,
+    compress_type: str = codecs.LZ4,
+    max_bytes: int = MAX_REQUEST_BYTES,
+    max_logs: int = MAX_REQUEST_LOGS,
+    opts: DeliveryOptions = DeliveryOptions(),
+) -> tuple[DataFrame, DataFrame]:
+    """(attempts, rejected): check requests of groups and send each accepted one once.
+
+    The direct way without outbox and retries. ``groups`` are stamped rows as
+    ``assemble_requests`` takes them; a request is named after its ``by`` columns.
+    """
+    requests, rejected = assemble_requests(groups, by, order, max_bytes, max_logs)
+    name = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
+    topic_id = (F.lit("") if topic is None else topic).alias("topic_id")
+    encoded = encode_requests(requests, by, compress_type)
+    due = encoded.select(name.alias("package_id"), topic_id, "compress_type", "payload")
+    return deliver(due, send, path, pass_id, opts), rejected
 
 
 def retry_pass(
     outbox: DataFrame,
     attempts: DataFrame,
-    send: Send,
+    send: Send | PerTask,
     path: str,
     pass_id: int,
     now_ms: int,

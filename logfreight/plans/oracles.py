@@ -312,6 +312,12 @@ ORACLES["assemble_requests"] = f"""WITH {DOCUMENTS}, {GROUPS}
 SELECT request_no, count(*) AS n_groups,
        CASE WHEN max(running) <= {MAX_REQUEST_BYTES} THEN sum({REQUEST_BYTES})::BIGINT ELSE -1 END AS raw_bytes
 FROM t GROUP BY request_no"""
+ORACLES["send_requests"] = f"""WITH {DOCUMENTS}, {GROUPS}, r AS (
+  SELECT request_no, max(running) > {MAX_REQUEST_BYTES} AS over, sum({REQUEST_BYTES})::BIGINT AS raw_bytes
+  FROM t GROUP BY request_no)
+SELECT request_no, CASE WHEN over THEN 0 ELSE 1 END AS sends,
+       CASE WHEN over THEN 0 ELSE [200, 429, 413][raw_bytes % 3 + 1] END AS http_code,
+       CASE WHEN over THEN 'request_too_large' END AS reason FROM r"""
 ORACLES["package_summary"] = event_packing(
     f"""SELECT {package_id("topic_id", "package_seq")} AS package_id, 'main' AS producer, topic_id,
        package_seq, create_ms, close_ms, close_reason, n_logs, size_bytes, wire_bytes FROM packages"""

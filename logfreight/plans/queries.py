@@ -327,14 +327,30 @@ def assemble_groups(spark, folder):
     )
 
 
-@_query
-def assemble_requests(spark, folder):
+def _request_groups(spark, folder):
     groups = sample.request_logs(spark, folder).groupBy("request_no", "group_no").agg(
         F.array_sort(F.collect_list(F.struct("time", "contents", "collect_time"))).alias("logs")
     )
-    groups = assemble.stamp_group(groups, source="10.0.0.1", direct=True).withColumn(
-        "context_flow", F.lit(None).cast("string")
-    )
+    stamped = assemble.stamp_group(groups, source="10.0.0.1", direct=True)
+    return stamped.withColumn("context_flow", F.lit(None).cast("string"))
+
+
+@_query
+def send_requests(spark, folder):
+    groups = _request_groups(spark, folder)
+    sent, rejected = send.send_requests(
+        groups, ["request_no"], "group_no", _answer, scratch(spark),
+        compress_type="none", max_bytes=MAX_REQUEST_BYTES, opts=DeliveryOptions(workers=4),
+    )
+    reason = F.lit(None).cast("string").alias("reason")
+    name = F.col("package_id").cast("long").alias("request_no")
+    answered = sent.select(name, F.lit(1).alias("sends"), "http_code", reason)
+    return answered.union(rejected.select("request_no", F.lit(0), F.lit(0), "reason"))
+
+
+@_query
+def assemble_requests(spark, folder):
+    groups = _request_groups(spark, folder)
     requests, rejected = assemble.assemble_requests(
         groups, ["request_no"], "group_no", MAX_REQUEST_BYTES
     )

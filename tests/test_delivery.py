@@ -208,3 +208,63 @@ def test_options_fall_back():
     assert PackOptions(max_bytes=0, max_logs=0, linger_ms=99) == PackOptions(5242880, 40960, 2000)
     assert PackOptions(max_bytes=5242881, max_logs=40961) == PackOptions(5242880, 40960)
     assert PackOptions(linger_ms=100).linger_ms == 100
+
+
+def test_sender_is_opened_per_task_and_mistakes_end_the_job(spark, tmp_path):
+    from contextlib import contextmanager
+
+    from logfreight.operators.send import PerTask
+
+    rows = [(str(i), "t", "none", b"x" * i) for i in range(6)]
+    due = spark.createDataFrame(rows, "package_id string, topic_id string, compress_type string, payload binary")
+
+    @contextmanager
+    def client():
+        seen = []
+
+        def send(topic_id, payload, compress_type):
+            seen.append(payload)
+            if len(payload) == 3:
+                raise ConnectionError("gone")
+            return 200, f"{len(seen)}", ""
+
+        yield send
+
+    sent = deliver(due, PerTask(client), f"{tmp_path}/a", 0, DeliveryOptions(workers=1))
+    codes = {r.package_id: r.http_code for r in sent.collect()}
+    assert codes == {str(i): -1 if i == 3 else 200 for i in range(6)}
+    assert len({r.request_id for r in sent.collect()}) == 6
+
+    def mistaken(topic_id, payload, compress_type):
+        return topic_id + payload
+
+    with pytest.raises(Exception, match="TypeError"):
+        deliver(due, mistaken, f"{tmp_path}/b", 0)
+
+
+def test_due_packages_read_payloads_once(spark, tmp_path):
+    from logfreight.model import ATTEMPTS, OUTBOX
+
+    spark.createDataFrame([], OUTBOX).write.parquet(f"{tmp_path}/outbox")
+    outbox = spark.read.parquet(f"{tmp_path}/outbox")
+    due = due_packages(outbox, spark.createDataFrame([], ATTEMPTS), 0)
+    scans = due._jdf.queryExecution().executedPlan().toString().split("FileScan")[1:]
+    assert sum("payload#" in scan.split("]")[0] for scan in scans) == 1
+
+
+@pytest.mark.parametrize(
+    ("body", "code", "message"),
+    [
+        ('{"errorcode": 5}', "BadRequest", "bad request"),
+        ('{"errorcode": {"a": 1}, "errormessage": "m"}', "BadRequest", "bad request"),
+        ('{"errorcode": null, "errormessage": "m"}', "", "m"),
+        (' null ', "", ""),
+        ("[1]", "BadRequest", "bad request"),
+        ('{"other": 7, "ErrorCode": "x"}', "x", ""),
+        (None, "BadRequest", "bad request"),
+    ],
+)
+def test_error_bodies(spark, body, code, message):
+    frame = spark.createDataFrame([(body,)], "body string")
+    row = d.parse_error_body(frame).first()
+    assert (row.body_code, row.body_message) == (code, message)
