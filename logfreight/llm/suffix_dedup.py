@@ -9,7 +9,9 @@ lie are brought together first:
    the same place, so a repeat shows up under its anchor. About one byte in sixteen is an
    anchor's begin. An anchor's context is what any such string around it can reach.
 2. Anchors meet by hash. Of equal contexts all but those of the least doc_id are covered whole.
-   Where an anchor has several contexts, the first of each needs a closer look.
+   Where an anchor has several contexts, the first of each needs a closer look, if it has
+   the ``SIDE`` bytes before or behind the anchor in common with another: of a repeat, at
+   least half of what lies around the anchor is on one side.
 3. Those contexts are cut from the texts, brought together by anchor, and a suffix array over
    them with previous and next smaller owners (``suffixes``) gives each start its longest
    previous factor: from ``LENGTH`` on, the string is covered.
@@ -36,24 +38,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logfreight.llm.rolling import BASE, _powers, mixed, window_minima
+from logfreight.llm.rolling import BASE, _powers, gram_hashes, mixed, window_minima
 from logfreight.llm.suffixes import repeats_of_earlier
 from logfreight.llm.texts import batches_of
 from logfreight.session import written_table
 
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM
+SIDE = REACH // 2
 RANGE_BYTES = 16 << 20
 FLUSH = 1_000_000
 HOT = 500
 PLAIN, COVERED, MARK, COPY, SPREAD, LOOK, LOOK_EACH = range(7)
-ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("kind", "u1")])
+# left and right: hashes of the bytes on either side, 0 where the text ends before.
+ENTRY = np.dtype(
+    [("h1", "<u8"), ("h2", "<u4"), ("left", "<u2"), ("right", "<u2"), ("doc", "<i8"), ("kind", "u1")]
+)
 # A context (or one string of it) on its way to the suffix array, at a fixed width.
 WIDTH = LENGTH + REACH
 PIECE = np.dtype(
     [("key", "<u8"), ("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("offset", "u1"), ("size", "u1"), ("bytes", "u1", (WIDTH,))]
 )
-LOT = 40_000
+LOT = 10_000
 SPAN = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("lo", "u1"), ("hi", "u1")])
 
 
@@ -76,6 +82,18 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
     return at, hashes[at], (context >> np.uint64(32)).astype(np.uint32), begin, end
 
 
+def sides(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of ``SIDE`` bytes before and behind each anchor."""
+    hashes = gram_hashes(data, SIDE) >> np.uint64(48)
+    hashes = np.maximum(hashes, np.uint64(1)).astype(np.uint16)
+    left, right = np.zeros((2, len(at)), np.uint16)
+    inside = at >= SIDE
+    left[inside] = hashes[at[inside] - SIDE]
+    inside = at + GRAM + SIDE <= len(data)
+    right[inside] = hashes[at[inside] + GRAM]
+    return left, right
+
+
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode(), np.uint8)
 
@@ -159,12 +177,13 @@ def anchor_table(docs: DataFrame, ranges: int, groups: int, hot: int = HOT) -> D
                     continue
                 digest = _digest(data)
                 if seen.get(digest, doc_id) < doc_id:
-                    copies.append((digest, 0, doc_id, COPY))
+                    copies.append((digest, 0, 0, 0, doc_id, COPY))
                     continue
                 seen[digest] = doc_id
-                _, h1, h2, _, _ = anchors(data)
+                at, h1, h2, _, _ = anchors(data)
                 entries = np.empty(len(h1), ENTRY)
                 entries["h1"], entries["h2"], entries["doc"], entries["kind"] = h1, h2, doc_id, PLAIN
+                entries["left"], entries["right"] = sides(data, at)
                 held.append(entries)
                 many += len(entries)
             if many > FLUSH:
@@ -178,6 +197,24 @@ def anchor_table(docs: DataFrame, ranges: int, groups: int, hot: int = HOT) -> D
     return narrow.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(run, "to int, blob binary")
 
 
+def _alike(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts with a side in common with one of another document, and how many these are."""
+    look, most = np.zeros(len(first), bool), np.zeros(len(first), np.int64)
+    for side in ("left", "right"):
+        have = np.flatnonzero(first[side])
+        order = have[np.lexsort((first[side][have], first["h1"][have]))]
+        if not len(order):
+            continue
+        h1, own, doc = first["h1"][order], first[side][order], first["doc"][order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (h1[1:] != h1[:-1]) | (own[1:] != own[:-1])
+        edges, number = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        several = np.minimum.reduceat(doc, edges) < np.maximum.reduceat(doc, edges)
+        look[order] |= several[number]
+        most[order] = np.maximum(most[order], np.bincount(number)[number])
+    return look, most
+
+
 def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFrame:
     """_grp, blob: what is known of shared anchors, by group of documents."""
 
@@ -197,21 +234,13 @@ def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFra
         entries, begins = _least_first(entries[entries["kind"] != MARK])
         owner = np.maximum.accumulate(np.where(begins, np.arange(len(entries)), 0))
         later = entries["doc"] > entries["doc"][owner]
-        # Several contexts of one anchor, not all of the same document.
-        fresh = np.ones(len(entries), bool)
-        fresh[1:] = entries["h1"][1:] != entries["h1"][:-1]
-        number = np.cumsum(fresh) - 1
-        edges = np.flatnonzero(fresh)
-        doc = np.where(begins, entries["doc"], np.iinfo(np.int64).max)
-        least = np.minimum.reduceat(doc, edges)[number] if len(edges) else doc
-        most = np.maximum.reduceat(np.where(begins, entries["doc"], np.iinfo(np.int64).min), edges)[number] if len(edges) else doc
-        kinds = np.bincount(number, begins, minlength=1)[number] if len(entries) else doc
-        spread = entries["kind"] == SPREAD
-        split = spread | np.isin(entries["h1"], marked) | (kinds > 4 * hot)
-        look = begins & (split | ((kinds > 1) & (least < most)))
-        out = entries.copy()
-        out["kind"] = np.where(later, COVERED, np.where(split, LOOK_EACH, LOOK))
-        out = out[later | look]
+        first = entries[begins]
+        everywhere = (first["kind"] == SPREAD) | np.isin(first["h1"], marked)
+        look, many = _alike(first)
+        first["kind"] = np.where(everywhere | (many > 4 * hot), LOOK_EACH, LOOK)
+        covered = entries[later]
+        covered["kind"] = COVERED
+        out = np.concatenate([covered, first[everywhere | look]])
         for i, row in enumerate(_dealt(out, group_of(out["doc"], groups))):
             yield _blobs([row], "_grp")
 
