@@ -34,16 +34,19 @@ def partitions_of(spark: SparkSession, partitions: int | None = None) -> int:
     return partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def in_parts(df: DataFrame, column: str, parts: int, name: str = "part") -> DataFrame:
-    """Add the number of the range that an integer column falls into; nulls go to range 0.
+def bounds_of(df: DataFrame, column: str, parts: int) -> np.ndarray:
+    """Bounds of ``parts`` ranges of about equal size: quantiles of an integer column alone.
 
-    Bounds are quantiles of that column alone (a narrow scan, one array on the driver). They
-    are literals of the plan, so every use of the result sees the same cut.
+    They are approximate and may differ from call to call: take them once for all uses.
     """
     shares = [i / parts for i in range(1, parts)] or [0.5]
     accuracy = max(10_000, 20 * parts)
     found = df.agg(F.percentile_approx(F.col(column), F.lit(shares), F.lit(accuracy)).alias("b"))
-    bounds = np.unique(np.array(found.first()[0] or [], dtype=np.int64))[: parts - 1]
+    return np.unique(np.array(found.first()[0] or [], dtype=np.int64))[: parts - 1]
+
+
+def in_parts(df: DataFrame, column: str, bounds: np.ndarray, name: str = "part") -> DataFrame:
+    """Add the number of the range that an integer column falls into; nulls go to range 0."""
 
     @F.pandas_udf("int")
     def part(values: pd.Series) -> pd.Series:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logfreight.llm.rolling import code_points, gram_hashes, winnowed
-from logfreight.llm.texts import batches_of, in_parts, partitions_of
+from logfreight.llm.texts import batches_of, bounds_of, in_parts, partitions_of
 
 K, W, SHORT = 12, 45, 16
 
@@ -81,9 +81,10 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> tuple[DataFrame
     spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("bigint"))
     parts = partitions_of(spark, partitions)
-    rows = in_parts(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), "doc_id", parts)
+    bounds = bounds_of(ids, "doc_id", parts)
+    rows = in_parts(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), "doc_id", bounds)
     # Ranges are numbered upwards; nulls are in range 0, behind its ids.
-    firsts = in_parts(ids, "doc_id", parts).groupBy("part").agg(F.max("doc_id").alias("first_id"))
+    firsts = in_parts(ids, "doc_id", bounds).groupBy("part").agg(F.max("doc_id").alias("first_id"))
     known = sorted((r["part"], r["first_id"]) for r in firsts.collect())  # one row per range
     before = {part: known[(i + 1) % len(known)][0] for i, (part, _) in enumerate(known)}
     sends = [(part, first, before[part]) for part, first in known]

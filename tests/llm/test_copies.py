@@ -211,6 +211,22 @@ def test_winnowing_query(spark, cases, place):
             assert marks.setdefault(texts[r["doc_id"]] or "", r["fingerprint"]) == r["fingerprint"]
 
 
+def test_winnowing_loses_no_row_of_many_ranges(spark):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(0, 300_000, 1, 16).select((F.xxhash64("id") % 10**12).alias("doc_id"))
+    docs = ids.withColumn("text", F.concat(F.lit("text "), F.col("doc_id").cast("string")))
+    rows = winnowing.edited_fingerprints(docs, partitions=40).select("doc_id", "edited_sha256", "n_chars")
+    order = sorted((r["doc_id"] for r in docs.select("doc_id").collect()), reverse=True)
+    got = {r["doc_id"]: r["edited_sha256"] for r in rows.collect()}
+    assert len(got) == len(order) == 300_000
+    for i in [0, 299_999, *range(0, 300_000, 97)]:
+        text, following = f"text {order[i]}", f"text {order[(i + 1) % 300_000]}"
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert got[order[i]] == hashlib.sha256(edited.encode()).hexdigest()
+
+
 def test_empty_and_single_tables(spark, tmp_path):
     none = corpus.written(spark, tmp_path / "none", [])
     one = corpus.written(spark, tmp_path / "one", [(5, "alone " * 30, "en")])
