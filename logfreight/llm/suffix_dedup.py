@@ -46,9 +46,10 @@ from logfreight.session import written_table
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM
 SIDE = REACH // 2
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 12 << 20
 FLUSH = 1_000_000
 HOT = 500
+FACT, QUESTION, SPANS = range(3)
 PLAIN, COVERED, MARK, COPY, SPREAD, LOOK, LOOK_EACH = range(7)
 # left and right: hashes of the bytes on either side, 0 where the text ends before.
 ENTRY = np.dtype(
@@ -119,9 +120,13 @@ def _dealt(entries: np.ndarray, to: np.ndarray) -> Iterator[tuple[int, bytes]]:
         yield int(to[a]), entries[a:b].tobytes()
 
 
-def _blobs(rows: list[tuple[int, bytes]], key: str) -> pa.RecordBatch:
+def _blobs(rows: list[tuple[int, bytes]], key: str, what: int | None = None) -> pa.RecordBatch:
     columns = [pa.array([k for k, _ in rows], type=pa.int32()), pa.array([b for _, b in rows], type=pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=[key, "blob"])
+    names = [key, "blob"]
+    if what is not None:
+        columns.append(pa.array([what] * len(rows), type=pa.int32()))
+        names.append("what")
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _least_first(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,14 +221,17 @@ def _alike(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFrame:
-    """_grp, blob: what is known of shared anchors, by group of documents."""
+    """_grp, blob, what: what is known of shared anchors, by group of documents.
+
+    ``what`` is ``FACT`` for covered contexts and copies, ``QUESTION`` for contexts to look at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
             for to, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if to >= ranges:
-                    yield _blobs([(to - ranges, blob)], "_grp")
+                    yield _blobs([(to - ranges, blob)], "_grp", FACT)
                 else:
                     parts.append(np.frombuffer(blob, ENTRY))
         if not parts:
@@ -240,13 +248,13 @@ def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFra
         first["kind"] = np.where(everywhere | (many > 4 * hot), LOOK_EACH, LOOK)
         covered = entries[later]
         covered["kind"] = COVERED
-        out = np.concatenate([covered, first[everywhere | look]])
-        for i, row in enumerate(_dealt(out, group_of(out["doc"], groups))):
-            yield _blobs([row], "_grp")
+        for what, out in ((FACT, covered), (QUESTION, first[everywhere | look])):
+            for row in _dealt(out, group_of(out["doc"], groups)):
+                yield _blobs([row], "_grp", what)
 
     # Groups' own rows go past the ranges, to as many tasks.
     tasks = ranges + groups
-    return sent.repartitionById(tasks, F.col("to")).mapInArrow(run, "_grp int, blob binary")
+    return sent.repartitionById(tasks, F.col("to")).mapInArrow(run, "_grp int, blob binary, what int")
 
 
 def _known(table: pa.Table, kind: np.dtype) -> np.ndarray:
@@ -290,7 +298,7 @@ def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> Dat
 
     def run(rows: pa.Table, entries: pa.Table) -> pa.Table:
         found = _known(entries, ENTRY)
-        lookup = _Lookup(found[found["kind"] >= LOOK])
+        lookup = _Lookup(found)
         made: list[np.ndarray] = []
         for batch in rows.to_batches(500):
             for doc_id, text in zip(batch.column("_doc").to_pylist(), batch.column("_text").to_pylist()):
@@ -407,8 +415,9 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     ranges = groups = int(total // task_bytes) + 1
     known = written_table(judged(anchor_table(docs, ranges, groups, hot), ranges, groups, hot))
-    spans = factors(contexts(docs, known, ranges, groups), ranges, groups)
-    told = known.withColumn("what", F.lit(0)).union(spans.withColumn("what", F.lit(1)))
+    questions = known.filter(F.col("what") == QUESTION).select("_grp", "blob")
+    spans = factors(contexts(docs, questions, ranges, groups), ranges, groups)
+    told = known.filter(F.col("what") == FACT).union(spans.withColumn("what", F.lit(SPANS)))
     names = docs.columns
     removal = T.StructType(
         [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept", T.BinaryType())]
@@ -418,8 +427,8 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
 
     def run(rows: pa.Table, facts: pa.Table) -> pa.Table:
         what = facts["what"].to_numpy() if facts.num_rows else np.empty(0, int)
-        known = _Lookup(_known(facts.filter(pa.array(what == 0)), ENTRY))
-        found = _Lookup(_known(facts.filter(pa.array(what == 1)), SPAN))
+        known = _Lookup(_known(facts.filter(pa.array(what == FACT)), ENTRY))
+        found = _Lookup(_known(facts.filter(pa.array(what == SPANS)), SPAN))
         results = []
         for batch in rows.select(["_doc", "_text"]).to_batches(500):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
