@@ -25,16 +25,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u > v").distinct()
 
 
+def _is_settled(current: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none to a lesser one."""
+    lesser = current.groupBy("u").agg(F.count("*").alias("n"))
+    if lesser.filter("n > 1").limit(1).count():
+        return False
+    return not current.select(F.col("v").alias("u")).distinct().join(lesser, "u", "left_semi").limit(1).count()
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, component (the least node) for every node that has an edge (columns a, b)."""
     made = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    current, before = written_table(made.filter("u > v").distinct()), None
-    mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    current = written_table(made.filter("u > v").distinct())
     for _ in range(rounds):
-        now = current.agg(mark, F.count("*").alias("n")).first()
-        if now == before:
+        if _is_settled(current):
             break
-        before = now
         current = written_table(_star(_star(current, large=True), large=False))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

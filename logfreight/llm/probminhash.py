@@ -34,25 +34,25 @@ from pyspark.sql import functions as F
 
 from logfreight.llm.components import components
 from logfreight.llm.rolling import gram_hashes, mixed
-from logfreight.llm.texts import batches_of
+from logfreight.llm.texts import batches_of, for_worker
 from logfreight.session import written_table
 
 WORDS = 5
 SIZE, BANDS = 64, 16
 THRESHOLD = 0.8
 AGREE = SIZE // 2
-_WORD_HASHES: dict[str, int] = {}
 
 
-def _hash_of(word: str) -> int:
-    found = _WORD_HASHES.get(word)
-    if found is None:
-        if len(_WORD_HASHES) > 400_000:
-            _WORD_HASHES.clear()
+class WordHashes(dict):
+    """Hashes of words met lately."""
+
+    def __missing__(self, word: str) -> int:
         found = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
-            _WORD_HASHES[word] = found
-    return found
+            if len(self) > 200_000:
+                self.clear()
+            self[word] = found
+        return found
 
 
 def shingles(text: str | None, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +60,8 @@ def shingles(text: str | None, words: int = WORDS) -> tuple[np.ndarray, np.ndarr
     split = (text or "").lower().split()
     if not split:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    symbols = np.fromiter(map(_hash_of, split), np.uint64, len(split))
+    known = for_worker("shingles", WordHashes)
+    symbols = np.fromiter(map(known.__getitem__, split), np.uint64, len(split))
     return np.unique(gram_hashes(symbols, min(words, len(split))), return_counts=True)
 
 
@@ -234,7 +235,8 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if more.limit(1).count():
         found = written_table(verified(docs, more, reps))
         if found.limit(1).count():
-            labels = written_table(components(edges.union(found)))
+            stars = labels.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+            labels = written_table(components(stars.union(found)))
     joined = reps.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     first = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "node")
     least = joined.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min_by("node", first).alias("main"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -58,6 +61,25 @@ def in_parts(df: DataFrame, column: str, bounds: np.ndarray, name: str = "part")
     return df.withColumn(name, part(F.col(column)))
 
 
+_HELD: list = []
+
+
+def for_worker(key: object, make: Callable[[], object]) -> object:
+    """What an operator keeps between tasks of a Python worker, made when first asked for.
+
+    Workers live through all stages of a job, so one holds the lookups of one operator only:
+    another key drops them and gives freed memory back to the machine.
+    """
+    if not _HELD or _HELD[0] != key:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+        _HELD[:] = [key, make()]
+    return _HELD[1]
+
+
 class Pieces:
     """Ids of pieces of text as little-endian unsigned 32-bit integers.
 
