@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logfreight.llm.bytelevel import ByteLevelTexts
-from logfreight.llm.texts import batches_of, id_lists
+from logfreight.llm.texts import batches_of, for_worker, id_lists
 
 LONG = 200
 NEVER = 1 << 40
+# Words whose ids are kept until there are so many.
+KNOWN_WORDS = 300_000
 # White space as Unicode's property has it.
 SPACE = r"\t-\r \x85\xa0  -     　"
 # The pre-tokenizer's pattern, with that class written out.
@@ -52,62 +54,64 @@ class Bpe:
             told = json.load(file)
         names = byte_names()
         as_bytes = lambda name: bytes(map(names.__getitem__, name))
-        self.ids = {as_bytes(name): i for name, i in told["model"]["vocab"].items() if all(c in names for c in name)}
-        pairs = (p.split(" ") if isinstance(p, str) else p for p in told["model"]["merges"])
-        self.ranks = {(as_bytes(a), as_bytes(b)): r for r, (a, b) in enumerate(pairs)}
+        vocabulary = told["model"]["vocab"]
+        ids = {as_bytes(name): i for name, i in vocabulary.items() if all(c in names for c in name)}
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in told["model"]["merges"]]
+        # Ranks of pairs of ids, and the id that each rank's pair becomes.
+        self.ranks = {vocabulary[a] << 20 | vocabulary[b]: r for r, (a, b) in enumerate(pairs)}
+        self.merged = [vocabulary[a + b] for a, b in pairs]
+        self.byte_ids = [ids[bytes([b])] for b in range(256)]
         self.added = {t["content"]: t["id"] for t in told["added_tokens"]}
-        size = 1 + max([*self.ids.values(), *self.added.values()])
+        size = 1 + max([*ids.values(), *self.added.values()])
         self.bytes_of = [b""] * size
-        for token, i in self.ids.items():
+        for token, i in ids.items():
             self.bytes_of[i] = token
         for content, i in self.added.items():
             self.bytes_of[i] = content.encode()
+        self.known: dict[str, list[int]] = {}
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
 
     def encode_word(self, word: bytes) -> list[int]:
         if len(word) > LONG:
             return self._encode_long(word)
-        ranks_of = self.ranks.get
-        cuts = list(range(len(word) + 1))
-        ranks = [ranks_of((word[i : i + 1], word[i + 1 : i + 2]), NEVER) for i in range(len(word) - 1)]
+        # A boundary lies between neighbours in ``parts``, and its rank at the same index.
+        parts = [self.byte_ids[b] for b in word]
+        get, merged = self.ranks.get, self.merged
+        ranks = [get(a << 20 | b, NEVER) for a, b in zip(parts, parts[1:])]
         while ranks and (lowest := min(ranks)) != NEVER:
             at = ranks.index(lowest)
-            del cuts[at + 1], ranks[at]
-            part = word[cuts[at] : cuts[at + 1]]
+            part = parts[at] = merged[lowest]
+            del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = ranks_of((word[cuts[at - 1] : cuts[at]], part), NEVER)
+                ranks[at - 1] = get(parts[at - 1] << 20 | part, NEVER)
             if at < len(ranks):
-                ranks[at] = ranks_of((part, word[cuts[at + 1] : cuts[at + 2]]), NEVER)
-        return [self.ids[word[a:b]] for a, b in zip(cuts, cuts[1:])]
+                ranks[at] = get(part << 20 | parts[at + 1], NEVER)
+        return parts
 
     def _encode_long(self, word: bytes) -> list[int]:
         n, get = len(word), self.ranks.get
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        part = [self.byte_ids[b] for b in word]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
-        heap = [(r, i) for i in range(n - 1) if (r := get((word[i : i + 1], word[i + 1 : i + 2]), NEVER)) < NEVER]
-        heapq.heapify(heap)
 
-        def pair(i: int) -> int:
-            middle = end[i]
-            return get((word[i:middle], word[middle : end[middle]]), NEVER) if middle < n else NEVER
+        def rank(i: int) -> int:
+            return get(part[i] << 20 | part[after[i]], NEVER) if after[i] < n else NEVER
 
+        heap = [(r, i) for i in range(n - 1) if (r := rank(i)) < NEVER]
+        heapq.heapify(heap)
         while heap:
-            rank, i = heapq.heappop(heap)
-            if not alive[i] or pair(i) != rank:
+            lowest, i = heapq.heappop(heap)
+            if not alive[i] or rank(i) != lowest:
                 continue
-            gone = end[i]
-            alive[gone], end[i] = False, end[gone]
-            if end[i] < n:
-                before[end[i]] = i
+            gone = after[i]
+            alive[gone], after[i], part[i] = False, after[gone], self.merged[lowest]
+            if after[i] < n:
+                before[after[i]] = i
             for j in (before[i], i):
-                if j >= 0 and (r := pair(j)) < NEVER:
+                if j >= 0 and (r := rank(j)) < NEVER:
                     heapq.heappush(heap, (r, j))
-        parts, i = [], 0
-        while i < n:
-            parts.append(self.ids[word[i : end[i]]])
-            i = end[i]
-        return parts
+        return [part[i] for i in range(n) if alive[i]]
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -116,21 +120,38 @@ class Bpe:
                 out.append(self.added[part])
             else:
                 for word in self.words.findall(part):
-                    out += self.encode_word(word.encode())
+                    out += self.known.get(word) or self._learn(word)
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def _learn(self, word: str) -> list[int]:
+        ids = self.encode_word(word.encode())
+        if len(word) <= 40:
+            if len(self.known) >= KNOWN_WORDS:
+                self.known.clear()
+            self.known[word] = ids
+        return ids
 
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        return [self.encode(text) for text in texts]
 
-_KEPT: dict[str, tuple[Bpe, ByteLevelTexts, list[str]]] = {}
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def _kept(path: str) -> tuple[Bpe, ByteLevelTexts, list[str]]:
-    if path not in _KEPT:
+    def make() -> tuple[Bpe, ByteLevelTexts, list[str]]:
         bpe = Bpe(path)
-        _KEPT[path] = bpe, ByteLevelTexts(bpe.encode, list(bpe.added)), [str(i) for i in range(len(bpe.bytes_of))]
-    return _KEPT[path]
+        texts = ByteLevelTexts(bpe.encode_many, list(bpe.added), 60_000_000)
+        return bpe, texts, [str(i) for i in range(len(bpe.bytes_of))]
+
+    return for_worker(("bpe", path), make)
+
+
+def _lists(column: pa.ListArray) -> list[list[int]]:
+    """A list column as Python lists, by way of one flat list."""
+    flat = column.flatten().to_numpy().tolist()
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy()).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def encode_texts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -138,8 +159,8 @@ def encode_texts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = _kept(tokenizer_path)[1]
-        for batch in batches_of(batches, 2000):
-            ids = [texts.ids(text) for text in batch.column(1).to_pylist()]
+        for batch in batches_of(batches, 500):
+            ids = texts.ids(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(ids)], names=["doc_id", "token_ids"])
 
     narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
@@ -152,8 +173,8 @@ def decode_texts(tokens: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _kept(tokenizer_path)[0]
-        for batch in batches_of(batches, 2000):
-            texts = [bpe.decode(ids) for ids in batch.column(1).to_pylist()]
+        for batch in batches_of(batches, 500):
+            texts = [bpe.decode(ids) for ids in _lists(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, type=pa.string())],
                 names=["doc_id", "token_ids", "decoded"],
@@ -169,8 +190,8 @@ def digests(decoded: DataFrame, tokenizer_path: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decimals = _kept(tokenizer_path)[2].__getitem__
         hexed = lambda text: hashlib.sha256(text.encode()).hexdigest()
-        for batch in batches_of(batches, 2000):
-            lists = batch.column(1).to_pylist()
+        for batch in batches_of(batches, 500):
+            lists = _lists(batch.column(1))
             columns = [
                 batch.column(0),
                 pa.array(np.array([len(ids) for ids in lists], dtype=np.int64)),
