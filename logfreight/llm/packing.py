@@ -23,11 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logfreight.llm.texts import Pieces, batches_of, id_lists, library_tokenizer
+from logfreight.llm.texts import Pieces, batches_of, for_worker, id_lists, library_tokenizer
 from logfreight.session import written_table
 
 CAPACITY = 2048
-_KEPT: dict[str, "WordTexts"] = {}
 
 
 class WordTexts:
@@ -46,9 +45,7 @@ class WordTexts:
 
 
 def _word_texts(path: str) -> WordTexts:
-    if path not in _KEPT:
-        _KEPT[path] = WordTexts(path)
-    return _KEPT[path]
+    return for_worker(("packing", path), lambda: WordTexts(path))
 
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from logfreight.llm.rolling import BASE, _powers, gram_hashes, mixed, window_minima
 from logfreight.llm.suffixes import repeats_of_earlier
-from logfreight.llm.texts import batches_of
+from logfreight.llm.texts import batches_of, for_worker
 from logfreight.session import written_table
 
 LENGTH, GRAM = 50, 20
@@ -163,6 +163,7 @@ def anchor_table(docs: DataFrame, ranges: int, groups: int, hot: int = HOT) -> D
     """to, blob: anchors for the range of their hash (below ``ranges``) or for a group of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for_worker("suffix_dedup", lambda: None)
         held: list[np.ndarray] = []
         copies: list[tuple] = []
         seen: dict[int, int] = {}

@@ -22,21 +22,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logfreight.llm.bytelevel import ByteLevelTexts
-from logfreight.llm.texts import batches_of, id_lists, library_tokenizer, partitions_of
+from logfreight.llm.texts import batches_of, for_worker, id_lists, library_tokenizer, partitions_of
 
 SCHEMA = "part int, doc_id bigint, part_start bigint, n_tokens bigint, token_ids array<int>"
-_KEPT: dict[str, ByteLevelTexts] = {}
 
 
 def _byte_level(path: str) -> ByteLevelTexts:
-    if path not in _KEPT:
+    def make() -> ByteLevelTexts:
         tokenizer = library_tokenizer(path)
         added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+
         def encode_many(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        _KEPT[path] = ByteLevelTexts(encode_many, added)
-    return _KEPT[path]
+        return ByteLevelTexts(encode_many, added)
+
+    return for_worker(("token_files", path), make)
 
 
 def encode_in_order(

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logfreight.llm.sampling import bounded_sample
-from logfreight.llm.texts import batches_of, held_out
+from logfreight.llm.texts import batches_of, for_worker, held_out
 from logfreight.session import written_table
 
 SAMPLE = 16_384
@@ -76,7 +76,7 @@ class Scores(dict):
         lean = model.prefix_share[prefix - (1 << WORD_BITS)]
         odds = math.log((toxic + WORD_PRIOR * lean) / model.rates[0])
         odds -= math.log((clean + WORD_PRIOR * (1 - lean)) / model.rates[1])
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = odds - DRIFT
         return odds - DRIFT
@@ -291,11 +291,6 @@ def _rater(shared):
     return rate
 
 
-_SCORES: list[Scores] = []
-
-
 def _scores_of(model: ToxicityModel) -> Scores:
-    """The scores of the model in use, kept between tasks of a worker."""
-    if not _SCORES or _SCORES[0].model is not model:
-        _SCORES[:] = [Scores(model)]
-    return _SCORES[0]
+    """The scores of the model in use; they hold the model, so its id is no other's."""
+    return for_worker(("toxicity", id(model)), lambda: Scores(model))
