@@ -246,7 +246,9 @@ def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFra
         first = entries[begins]
         everywhere = (first["kind"] == SPREAD) | np.isin(first["h1"], marked)
         look, many = _alike(first)
-        first["kind"] = np.where(everywhere | (many > 4 * hot), LOOK_EACH, LOOK)
+        # All contexts of an anchor go the same way, else they would not meet in step 3.
+        each = everywhere | np.isin(first["h1"], first["h1"][many > 4 * hot])
+        first["kind"] = np.where(each, LOOK_EACH, LOOK)
         covered = entries[later]
         covered["kind"] = COVERED
         for what, out in ((FACT, covered), (QUESTION, first[everywhere | look])):

@@ -138,6 +138,40 @@ def test_suffix_dedup_in_many_ranges_with_hot_anchors(spark, cases, hot):
     assert got == brute_removal(cases)
 
 
+def around_one_anchor(n):
+    """n documents with 15 bytes before an anchor in common, one of which shares what follows with one more."""
+    dice = random.Random(11)
+    letters = lambda k: "".join(dice.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    found = lambda text: suffix_dedup.anchors(np.frombuffer(text.encode(), np.uint8))
+    while found(passage := letters(suffix_dedup.LENGTH))[0][0] != 0:
+        pass
+    anchor, before = passage[: suffix_dedup.GRAM], letters(suffix_dedup.SIDE)
+
+    def text(left, right):
+        """No other anchor's context has all of the passage."""
+        place = 60 + len(left)
+        while True:
+            made = letters(60) + left + right + letters(60)
+            at = found(made)[0] - place
+            if 0 in at and (right == anchor or not ((at > 0) & (at <= suffix_dedup.REACH)).any()):
+                return made
+
+    rows = [(i, text(before, anchor), "en") for i in range(n)]
+    return [*rows, (n, text(before, passage), "en"), (n + 1, text("", passage), "en")]
+
+
+@pytest.mark.parametrize("task_bytes", [50, 120, 400])
+def test_suffix_dedup_of_an_anchor_in_many_flushes(spark, task_bytes):
+    rows = around_one_anchor(20)
+    full = [(i, t, lang, None, None, *corpus.EXTRA) for i, t, lang in rows]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(full, len(full)), corpus.SCHEMA)
+    assert docs.rdd.getNumPartitions() == len(rows)  # one context of the anchor in each flush
+    kept = suffix_dedup.without_repeats(docs, task_bytes=task_bytes, hot=1).select("doc_id", "_removal.*").collect()
+    got = Counter((*r[:4], hashlib.sha256(bytes(r[4])).hexdigest()) for r in map(tuple, kept))
+    assert got == brute_removal(rows)
+    assert sum(r["n_removed"] for r in kept) >= suffix_dedup.LENGTH
+
+
 def test_nearest_smaller_values():
     dice = np.random.default_rng(1)
     for _ in range(100):
