@@ -20,8 +20,10 @@ lie are brought together first:
 Within a task only the least doc_id of each context is sent on; the others are known to be
 covered and go straight to their documents' group, as do whole copies. An anchor with many
 contexts in one task is hot: its contexts are dealt out by their own hash, a mark tells the
-task of that anchor, and step 3 takes them string by string, dealt out by string. So no task
-gathers a common passage or phrase. Work is dealt out in ranges of about ``RANGE_BYTES``.
+task of that anchor, and step 3 takes them string by string, dealt out by string. Each group
+of documents sends a string for its least doc_id only, the others are covered; so a common
+passage or phrase gives a task as many pieces as there are groups, not as many as documents.
+Work is dealt out in ranges of about ``RANGE_BYTES``.
 
 Texts are judged as UTF-8 bytes of the input. Null text is empty. Rows of the same doc_id do not
 cover each other; rows with a null doc_id keep all and cover none. Every row gives one row.
@@ -297,7 +299,10 @@ def _grouped(docs: DataFrame, groups: int) -> DataFrame:
 
 
 def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> DataFrame:
-    """to, blob: contexts that need a closer look, by the hash of their anchor (or string)."""
+    """to, blob: contexts that need a closer look, by the hash of their anchor (or string).
+
+    From ``ranges`` on, spans of strings that an earlier document of the same group has.
+    """
 
     def run(rows: pa.Table, entries: pa.Table) -> pa.Table:
         found = _known(entries, ENTRY)
@@ -316,7 +321,10 @@ def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> Dat
                 entry, first = np.unique(entry, return_index=True)
                 made.append(_cut(data, own[entry], begin[anchor[first]], end[anchor[first]]))
         pieces = np.concatenate(made) if made else np.empty(0, PIECE)
+        made.clear()
+        pieces, spans = _least_strings(pieces)
         sent = list(_dealt(pieces, (pieces["key"] % np.uint64(ranges)).astype(np.int32)))
+        sent += _dealt(spans, ranges + group_of(spans["doc"], groups))
         return pa.Table.from_batches([_blobs(sent, "to")])
 
     grouped = _grouped(docs.select("doc_id", "text"), groups)
@@ -351,6 +359,28 @@ def _cut(data: np.ndarray, own: np.ndarray, begin: np.ndarray, end: np.ndarray)
     return out
 
 
+def _least_strings(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces without strings of which an earlier document has one here, and the spans of these."""
+    strings = np.flatnonzero((pieces["size"] == LENGTH) & (pieces["key"] != pieces["h1"]))
+    order = strings[np.lexsort((pieces["doc"][strings], pieces["key"][strings]))]
+    key = pieces["key"][order]
+    begins = np.ones(len(order), bool)
+    begins[1:] = key[1:] != key[:-1]
+    first = order[np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))]
+    later = pieces["doc"][order] > pieces["doc"][first]
+    order, first = order[later], first[later]
+    # Of equal keys the bytes decide; a string that only has the key of another is sent on.
+    order = order[(pieces["bytes"][order] == pieces["bytes"][first]).all(axis=1)]
+    spans = np.empty(len(order), SPAN)
+    for name in ("h1", "h2", "doc"):
+        spans[name] = pieces[name][order]
+    spans["lo"] = pieces["offset"][order]
+    spans["hi"] = spans["lo"] + LENGTH
+    stay = np.ones(len(pieces), bool)
+    stay[order] = False
+    return pieces[stay], spans
+
+
 def covered_spans(pieces: np.ndarray) -> np.ndarray:
     """Of each piece, what strings of earlier documents cover; the lot of a key must be whole."""
     found = []
@@ -382,13 +412,19 @@ def factors(looks: DataFrame, ranges: int, groups: int) -> DataFrame:
     """_grp, blob: covered spans of contexts, by group of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [blob for batch in batches for blob in batch.column(1).to_pylist()]
+        blobs = []
+        for batch in batches:
+            for to, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if to >= ranges:
+                    yield _blobs([(to - ranges, blob)], "_grp")
+                else:
+                    blobs.append(blob)
         if blobs:
             spans = covered_spans(np.frombuffer(b"".join(blobs), PIECE))
             for row in _dealt(spans, group_of(spans["doc"], groups)):
                 yield _blobs([row], "_grp")
 
-    return looks.repartitionById(ranges, F.col("to")).mapInArrow(run, "_grp int, blob binary")
+    return looks.repartitionById(ranges + groups, F.col("to")).mapInArrow(run, "_grp int, blob binary")
 
 
 def _covered(data: np.ndarray, doc_id: int, known: _Lookup, spans: _Lookup) -> np.ndarray:

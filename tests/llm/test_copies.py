@@ -172,6 +172,25 @@ def test_suffix_dedup_of_an_anchor_in_many_flushes(spark, task_bytes):
     assert sum(r["n_removed"] for r in kept) >= suffix_dedup.LENGTH
 
 
+def test_a_common_line_gives_a_task_one_piece_of_each_group(spark):
+    dice = random.Random(4)
+    letters = lambda k: "".join(dice.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    line = letters(60)
+    rows = [(i, letters(80) + line + letters(80), "en") for i in range(200)]
+    docs, ranges, groups = corpus.frame(spark, rows), 5, 4
+    known = suffix_dedup.judged(suffix_dedup.anchor_table(docs, ranges, groups, 1), ranges, groups, 1)
+    asked = known.filter(known["what"] == suffix_dedup.QUESTION).select("_grp", "blob")
+    sent = suffix_dedup.contexts(docs, asked, ranges, groups).filter(f"to < {ranges}").collect()
+    pieces = np.frombuffer(b"".join(bytes(r["blob"]) for r in sent), suffix_dedup.PIECE)
+    owners = {}
+    for p in pieces:
+        owners.setdefault(p["bytes"].tobytes()[:50], set()).add(p["doc"])
+    assert line[:50].encode() in owners and max(map(len, owners.values())) <= groups
+    kept = suffix_dedup.without_repeats(docs, task_bytes=10_000, hot=1).select("doc_id", "_removal.*").collect()
+    got = Counter((*r[:4], hashlib.sha256(bytes(r[4])).hexdigest()) for r in map(tuple, kept))
+    assert got == brute_removal(rows)
+
+
 def test_nearest_smaller_values():
     dice = np.random.default_rng(1)
     for _ in range(100):
