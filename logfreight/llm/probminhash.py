@@ -171,7 +171,9 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = asked.join(reps, "node").select("node", "doc_id")
-    texts = _nodes(docs).join(wanted, ["node", "doc_id"], "left_semi")
+    rows, w = _nodes(docs).alias("r"), wanted.alias("w")
+    same = (F.col("r.node") == F.col("w.node")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id"))
+    texts = rows.join(w, same, "left_semi")
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, 500):

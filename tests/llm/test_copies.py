@@ -78,6 +78,15 @@ def test_one_of_each(spark, cases):
     assert all(set(r.asDict()) == set(corpus.SCHEMA.names) for r in kept)
 
 
+def test_near_copies_under_null_ids(spark):
+    words = [f"word{i}" for i in range(200)]
+    rows = [(None, " ".join(words), "en"), (7, " ".join(words[:-1]), "en"), (None, " ".join(words[1:]), "en"), (8, "another text", "en")]
+    docs = corpus.frame(spark, rows)
+    found = probminhash.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in found) == Counter((i, c) for (i, _, _), (c, _) in zip(rows, brute_classes(rows)))
+    assert sorted(r["doc_id"] for r in probminhash.one_of_each(docs).collect()) == [7, 8]
+
+
 def test_estimate_of_probability_jaccard():
     dice = np.random.default_rng(3)
     elements = dice.integers(0, 2**63, 300).astype(np.uint64)
