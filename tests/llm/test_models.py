@@ -10,6 +10,7 @@ import pytest
 
 from logfreight.llm import hmm, language, toxicity
 from logfreight.llm.queries import QUERIES
+from logfreight.llm.texts import held_out
 from tests.llm import corpus
 
 
@@ -202,3 +203,12 @@ def test_language_model_query(spark, tmp_path):
 def test_language_model_beats_its_base_on_held_out_texts(spark, folder):
     rows = [r for r in QUERIES["op9_hmm"](spark, folder).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_language_frequencies_count_all_training_documents(spark):
+    rows = [(i, f"text number {'abcdefghij'[i % 10] * 3} of many {'klmnop'[i % 6] * 4}", "en" if i % 9 else "fr") for i in range(300)]
+    docs = corpus.frame(spark, rows)
+    held = {r["doc_id"] for r in docs.filter(held_out(docs["doc_id"], language.FOLDS, 0)).collect()}
+    training = [language.gram_counts(text)[0] > 0 for i, text, _ in rows if i not in held]
+    want = np.log((1 + len(training)) / (1 + np.sum(training, axis=0))) + 1
+    assert np.allclose(language.train(docs, bound=5).weights, want)
