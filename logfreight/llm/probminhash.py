@@ -15,7 +15,8 @@ their slots agree (which a pair at 0.8 misses once in 10^8). So a bucket of near
 costs one comparison a member, and no link between different texts is lost.
 
 Verification is exact: a pair is linked if its probability Jaccard, or the Jaccard index of
-the plain sets (so that repeated lines hide no copy), is ``THRESHOLD`` or more.
+the plain sets (so that repeated lines hide no copy), is ``THRESHOLD`` or more. Texts with a
+repeated run have a second sketch of the plain set for that.
 
 Equal texts are one node, however many there are. Every input row gives one row; its class is
 the least doc_id of the texts linked to it. Null, empty and wordless texts are linked to none:
@@ -137,30 +138,39 @@ def _nodes(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, node, slots (32 bits of each) and bands; nulls for texts without words."""
+    """doc_id, node, slots (32 bits of each), plain slots and bands; nulls for texts without words.
+
+    A text with a repeated run has a second sketch with all weights 1, its plain slots, and the
+    bands of both; of other texts the two are the same and plain is null.
+    """
+    short = lambda owner: (owner & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+
+    def sketch(text: str | None) -> tuple | None:
+        hashes, counts = shingles(text)
+        if not len(hashes):
+            return None
+        owner = prob_min_hash(hashes, weights_of(counts))
+        if counts.max() == 1:
+            return short(owner), None, band_hashes(owner)
+        plain = prob_min_hash(hashes, np.ones(len(hashes)))
+        return short(owner), short(plain), np.union1d(band_hashes(owner), band_hashes(plain))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, 1000):
-            slots, bands, kept, seen = [], [], [], {}
+            made, kept, seen = [], [], {}
             for node, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if node in seen:
-                    found = seen[node]
-                else:
-                    hashes, counts = shingles(text)
-                    owner = prob_min_hash(hashes, weights_of(counts)) if len(hashes) else None
-                    found = seen[node] = (
-                        None if owner is None else ((owner & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), band_hashes(owner))
-                    )
-                kept.append(node if found else None)
-                slots.append(found[0] if found else None)
-                bands.append(found[1] if found else None)
+                if node not in seen:
+                    seen[node] = sketch(text)
+                made.append(seen[node] or (None, None, None))
+                kept.append(node if seen[node] else None)
+            slots, plain, bands = zip(*made) if made else ((), (), ())
             columns = [
-                batch.column(0), pa.array(kept, type=pa.binary()),
-                pa.array(slots, type=pa.list_(pa.int32())), pa.array(bands, type=pa.list_(pa.int64())),
+                batch.column(0), pa.array(kept, type=pa.binary()), pa.array(slots, type=pa.list_(pa.int32())),
+                pa.array(plain, type=pa.list_(pa.int32())), pa.array(bands, type=pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "slots", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "slots", "plain", "bands"])
 
-    return _nodes(docs).mapInArrow(run, "doc_id bigint, node binary, slots array<int>, bands array<bigint>")
+    return _nodes(docs).mapInArrow(run, "doc_id bigint, node binary, slots array<int>, plain array<int>, bands array<bigint>")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -211,10 +221,11 @@ def _across(members: DataFrame, labels: DataFrame, slots: DataFrame, tried: Data
     sizes = labelled.groupBy("band", "c").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("band").agg(F.max_by("c", "n").alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
     mixed_rows = written_table(labelled.join(buckets.select("band", "main"), "band").join(slots, "node"))
-    left = mixed_rows.filter("c <> main").select("band", F.col("node").alias("x"), F.col("c").alias("xc"), F.col("slots").alias("xs"))
-    right = mixed_rows.select("band", F.col("node").alias("y"), F.col("c").alias("yc"), "main", F.col("slots").alias("ys"))
-    agree = F.expr("aggregate(zip_with(xs, ys, (p, q) -> if(p = q, 1, 0)), 0, (s, t) -> s + t)")
-    met = left.join(right, "band").filter("xc <> yc AND (yc = main OR x < y)").filter(agree >= AGREE)
+    left = mixed_rows.filter("c <> main").select("band", F.col("node").alias("x"), F.col("c").alias("xc"), F.col("slots").alias("xs"), F.col("plain").alias("xp"))
+    right = mixed_rows.select("band", F.col("node").alias("y"), F.col("c").alias("yc"), "main", F.col("slots").alias("ys"), F.col("plain").alias("yp"))
+    agree = "aggregate(zip_with({}, {}, (p, q) -> if(p = q, 1, 0)), 0, (s, t) -> s + t) >= {}".format
+    either = f"{agree('xs', 'ys', AGREE)} OR {agree('coalesce(xp, xs)', 'coalesce(yp, ys)', AGREE)}"
+    met = left.join(right, "band").filter("xc <> yc AND (yc = main OR x < y)").filter(either)
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")
 
@@ -232,7 +243,7 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = written_table(verified(docs, pairs, reps))
     labels = written_table(components(edges))
     shared = named.join(members.select("node").distinct(), "node", "left_semi")
-    slots = shared.select("node", "slots").dropDuplicates(["node"])
+    slots = shared.select("node", "slots", "plain").dropDuplicates(["node"])
     more = written_table(_across(members.select("band", "node"), labels, slots, pairs))
     if more.limit(1).count():
         found = written_table(verified(docs, more, reps))

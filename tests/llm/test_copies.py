@@ -87,6 +87,17 @@ def test_near_copies_under_null_ids(spark):
     assert sorted(r["doc_id"] for r in probminhash.one_of_each(docs).collect()) == [7, 8]
 
 
+def test_copies_with_a_run_repeated_often(spark):
+    rows = []
+    for pair in range(60):
+        words = [f"w{pair}x{i}" for i in range(32)]
+        line = [f"line{pair}x{i}" for i in range(5)]
+        rows += [(2 * pair, " ".join(line * 1000 + words), "en"), (2 * pair + 1, " ".join(line + words), "en")]
+    assert all(probminhash.linked(*(probminhash.shingles(t) for _, t, _ in rows[i : i + 2])) for i in range(0, 120, 2))
+    found = probminhash.near_duplicates(corpus.frame(spark, rows)).collect()
+    assert all(r["class_id"] == r["doc_id"] // 2 * 2 for r in found)
+
+
 def test_estimate_of_probability_jaccard():
     dice = np.random.default_rng(3)
     elements = dice.integers(0, 2**63, 300).astype(np.uint64)
