@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from logfreight.llm.components import components
 from logfreight.llm.rolling import gram_hashes, mixed
-from logfreight.llm.texts import batches_of, for_worker
+from logfreight.llm.texts import as_rows, batches_of, for_worker
 from logfreight.session import written_table
 
 WORDS = 5
@@ -271,9 +271,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     _, classes = classes_of(docs)
     kept = classes.filter("node = main").select(F.col("node").alias("_node"), F.col("doc_id").alias("_doc"))
-    text, doc_id = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
-    rows = docs.withColumns({"_node": F.unhex(F.md5(text)), "_doc": doc_id})
-    worded = F.length(F.trim(F.regexp_replace(text, r"(?U)\s+", " "))) > 0
+    rows = as_rows(docs).select("row", "text", F.unhex(F.md5("text")).alias("_node"), F.col("doc_id").alias("_doc"))
+    worded = F.length(F.trim(F.regexp_replace("text", r"(?U)\s+", " "))) > 0
     blank = rows.filter(~F.coalesce(worded, F.lit(False)))
     stay = rows.join(kept.alias("k"), (rows["_node"] == F.col("k._node")) & rows["_doc"].eqNullSafe(F.col("k._doc")), "left_semi")
-    return stay.dropDuplicates(["_node", "_doc"]).union(blank).select(*docs.columns)
+    return stay.dropDuplicates(["_node", "_doc"]).union(blank).select("row.*")

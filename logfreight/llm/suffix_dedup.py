@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from logfreight.llm.rolling import BASE, _powers, gram_hashes, mixed, window_minima
 from logfreight.llm.suffixes import repeats_of_earlier
-from logfreight.llm.texts import batches_of, for_worker
+from logfreight.llm.texts import as_rows, batches_of, for_worker
 from logfreight.session import written_table
 
 LENGTH, GRAM = 50, 20
@@ -294,8 +294,7 @@ def _pick(own: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray,
 
 
 def _grouped(docs: DataFrame, groups: int) -> DataFrame:
-    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
-    return docs.select("*", doc_id.alias("_doc"), text.alias("_text"), _group_column(groups).alias("_grp"))
+    return docs.select("*", _group_column(groups).alias("_grp"))
 
 
 def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> DataFrame:
@@ -309,7 +308,7 @@ def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> Dat
         lookup = _Lookup(found)
         made: list[np.ndarray] = []
         for batch in rows.to_batches(500):
-            for doc_id, text in zip(batch.column("_doc").to_pylist(), batch.column("_text").to_pylist()):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if doc_id is None or not text or not len(own := lookup.of(doc_id)):
                     continue
                 data = _bytes(text)
@@ -327,7 +326,7 @@ def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> Dat
         sent += _dealt(spans, ranges + group_of(spans["doc"], groups))
         return pa.Table.from_batches([_blobs(sent, "to")])
 
-    grouped = _grouped(docs.select("doc_id", "text"), groups)
+    grouped = _grouped(as_rows(docs).drop("row"), groups)
     return grouped.groupBy("_grp").cogroup(known.groupBy("_grp")).applyInArrow(run, "to int, blob binary")
 
 
@@ -445,8 +444,8 @@ def _covered(data: np.ndarray, doc_id: int, known: _Lookup, spans: _Lookup) -> n
     return np.cumsum(change)[: len(data)] > 0
 
 
-def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = HOT) -> DataFrame:
-    """The columns of ``docs`` and ``_removal``: n_bytes, n_removed, n_spans, kept (bytes).
+def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = HOT, name: str = "_removal") -> DataFrame:
+    """The columns of ``docs`` and ``name``: n_bytes, n_removed, n_spans, kept (bytes).
 
     ``task_bytes`` is how much text a task gets (about), ``hot`` how many contexts of an anchor
     in one task make it one to spread.
@@ -457,11 +456,11 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
     questions = known.filter(F.col("what") == QUESTION).select("_grp", "blob")
     spans = factors(contexts(docs, questions, ranges, groups), ranges, groups)
     told = known.filter(F.col("what") == FACT).union(spans.withColumn("what", F.lit(SPANS)))
-    names = docs.columns
+    held = as_rows(docs)
     removal = T.StructType(
         [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept", T.BinaryType())]
     )
-    schema = T.StructType([*docs.schema.fields, T.StructField("_removal", removal)])
+    schema = T.StructType([held.schema["row"], T.StructField("_removal", removal)])
     kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(rows: pa.Table, facts: pa.Table) -> pa.Table:
@@ -469,14 +468,15 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
         known = _Lookup(_known(facts.filter(pa.array(what == FACT)), ENTRY))
         found = _Lookup(_known(facts.filter(pa.array(what == SPANS)), SPAN))
         results = []
-        for batch in rows.select(["_doc", "_text"]).to_batches(500):
+        for batch in rows.select(["doc_id", "text"]).to_batches(500):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = _bytes(text)
                 gone = _covered(data, doc_id, known, found) if doc_id is not None else np.zeros(len(data), bool)
                 runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 results.append((len(data), int(gone.sum()), runs, data[~gone].tobytes()))
         made = pa.array([dict(zip(("n_bytes", "n_removed", "n_spans", "kept"), r)) for r in results], type=kind)
-        return rows.select(names).append_column("_removal", made)
+        return rows.select(["row"]).append_column("_removal", made)
 
-    grouped = _grouped(docs, groups)
-    return grouped.groupBy("_grp").cogroup(told.groupBy("_grp")).applyInArrow(run, schema)
+    grouped = _grouped(held, groups)
+    done = grouped.groupBy("_grp").cogroup(told.groupBy("_grp")).applyInArrow(run, schema)
+    return done.select("row.*", F.col("_removal").alias(name))

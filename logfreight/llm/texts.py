@@ -23,6 +23,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def without(df: DataFrame, *names: str) -> list[str]:
+    """The columns of ``df`` but those that an operator adds itself; it replaces them."""
+    added = {name.lower() for name in names}
+    return [name for name in df.columns if name.lower() not in added]
+
+
+def as_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``row``, which holds all columns, so that inner names clash with none."""
+    return docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+
+
 def fold(column: Column, folds: int) -> Column:
     """crc32 of an id as text, modulo ``folds``; null for a null id."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(folds)

@@ -14,7 +14,7 @@ along the blocks of its stripe. Stripes' best k are merged by Spark. A task hold
 queries and one block of vectors; nothing is broadcast.
 
 Vectors that are null or hold null, NaN or infinite components take no part, as query or
-candidate. Only vectors of the same length are compared. Scores are 64-bit integers; sums must
+candidate. Only vectors of the same length are compared; empty ones score 0 against each other. Scores are 64-bit integers; sums must
 stay within them. Repeated ids are rows of their own, also as queries, and a query skips only
 the rows with its own id. Rows with a null id take no part.
 """
@@ -189,7 +189,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 20, rows: int = ROWS,
         for row in right.select(["ids", "exact", "borders", "cells"]).to_pylist():
             ids = np.frombuffer(row["ids"], "<i8")
             cell = np.frombuffer(row["cells"], np.uint8).reshape(len(ids), dims)
-            low, high = np.frombuffer(row["borders"], "<i8").reshape(2, -1, dims)
+            low, high = np.frombuffer(row["borders"], "<i8").reshape(2, CELLS if dims else len(ids), dims)
             exact = _wide(row["exact"], len(ids), dims)
             _search(asked, query_ids, (ids, exact, low[cell, place], high[cell, place]), scores, names, k)
         many = [len(s) for s in scores]

@@ -8,7 +8,8 @@ import duckdb
 from pyspark.sql import types as T
 
 # Names that operators use for columns of their own.
-EXTRA = ("part", "node", "word", "class_id", "score", "start", "row_id", "grp", "kept", "toxicity")
+EXTRA = ("part", "node", "word", "class_id", "score", "start", "row_id", "grp", "kept", "toxicity", "toxic_passages",
+         "lang_pred", "lang_rejected", "_told", "_rated", "_grp", "_doc", "_text", "_node", "_removal", "row")
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
