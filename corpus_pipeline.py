@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logfreight.llm import language, packing, probminhash, suffix_dedup, toxicity
-from logfreight.llm.texts import documents
+from logfreight.llm.texts import as_rows, documents
 from logfreight.session import prepare, written_table
 
 
@@ -21,15 +21,15 @@ def clean_only(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject (score under 0.5)."""
     prepare(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rated = toxicity.with_toxicity(docs, model)
-    return rated.filter(F.col("toxicity") < 0.5).select(*docs.columns)
+    rated = toxicity.with_toxicity(as_rows(docs), model)
+    return rated.filter(F.col("toxicity") < 0.5).select("row.*")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents near enough to a language; null, empty and letterless texts go."""
     prepare(spark)
-    told = language.with_language(docs, language.train(docs))
-    return told.filter(~F.col("lang_rejected")).select(*docs.columns)
+    told = language.with_language(as_rows(docs), language.train(docs))
+    return told.filter(~F.col("lang_rejected")).select("row.*")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +49,11 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     def as_text(kept: pd.Series) -> pd.Series:
         return kept.map(lambda b: b.decode("utf-8", "ignore"))
 
-    text = as_text(F.col("_removal.kept"))
-    told = suffix_dedup.without_repeats(docs).withColumn("text", text)
-    return told.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    name = "_removal" + "_" * max(map(len, docs.columns))  # longer than any name, so it clashes with none
+    told = suffix_dedup.without_repeats(docs, name=name).withColumn("text", as_text(F.col(f"{name}.kept")))
+    if "n_chars" in docs.columns:
+        told = told.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return told.select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
