@@ -30,8 +30,10 @@ from logfreight.llm.cover_tree import CoverTree, Window, narrow, wide
 from logfreight.session import written_table
 
 ROWS = 2048
-ANCHORS = 1024
-STRIPE = 8
+ANCHORS = 256
+STRIPE = 4
+# Tasks for each full cell of the grid (a block of anchors and a stripe of full trees), and at most.
+SPREAD = 4
 TASKS = 1 << 14
 KEY = ["dims", "label", "row"]
 TREE = ["centre", "radius", "child", "children", "low", "high", "ids", "points"]
@@ -134,7 +136,10 @@ def search(blocks: DataFrame, held: DataFrame, k: int, same: bool) -> DataFrame:
     keys = blocks.select("dims", "block", "first", "last").join(stripes, "dims").filter(wanted)
     keys = written_table(keys.select("dims", "block", "stripe"))
     grid = ["dims", "block", "stripe"]
-    tasks = max(1, min(keys.count(), TASKS))
+    # Where ranges hold few rows there are many small cells, so tasks follow the pairs in them.
+    asked = blocks.agg(F.sum(F.octet_length("id")) / 8).first()[0] or 0
+    candidates = held.agg(F.sum(F.octet_length("ids")) / 8).first()[0] or 0
+    tasks = int(max(1, min(keys.count(), SPREAD * -(-asked * candidates // (ANCHORS * ROWS * STRIPE)), TASKS)))
     left = blocks.join(keys, ["dims", "block"]).repartition(tasks, *grid)
     right = held.join(keys, ["dims", "stripe"]).repartition(tasks, *grid)
     schema = "row bigint, window int, id bigint, score bigint"
