@@ -18,6 +18,7 @@ DEFAULT_LINGER_MS = 2000
 MIN_LINGER_MS = 100
 DEFAULT_TOTAL_BYTES = 104857600
 DEFAULT_SEND_WORKERS = 50
+DEFAULT_TASK_BYTES = 33554432
 DEFAULT_RETRIES = 10
 DEFAULT_BACKOFF_MS = 100
 DEFAULT_MAX_BACKOFF_MS = 50000
@@ -112,7 +113,10 @@ class PackOptions:
 
 @dataclass(frozen=True)
 class DeliveryOptions:
-    """Retry and accounting settings; out-of-range values fall back to the defaults."""
+    """Retry and accounting settings; out-of-range values fall back to the defaults.
+
+    At most ``workers`` tasks send at a time; each takes about ``task_bytes`` of payload.
+    """
 
     retries: int = DEFAULT_RETRIES
     backoff_ms: int = DEFAULT_BACKOFF_MS
@@ -120,6 +124,7 @@ class DeliveryOptions:
     kept_attempts: int = DEFAULT_KEPT_ATTEMPTS
     total_bytes: int = DEFAULT_TOTAL_BYTES
     workers: int = DEFAULT_SEND_WORKERS
+    task_bytes: int = DEFAULT_TASK_BYTES
 
     def __post_init__(self) -> None:
         fallbacks = {
@@ -128,6 +133,7 @@ class DeliveryOptions:
             "kept_attempts": DEFAULT_KEPT_ATTEMPTS,
             "total_bytes": DEFAULT_TOTAL_BYTES,
             "workers": DEFAULT_SEND_WORKERS,
+            "task_bytes": DEFAULT_TASK_BYTES,
         }
         for name, fallback in fallbacks.items():
             if getattr(self, name) <= 0:

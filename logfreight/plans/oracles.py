@@ -405,6 +405,10 @@ SELECT seq::VARCHAR AS package_id, topic_id, arrival_ms AS close_ms, size_bytes
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.package_id = e.seq::VARCHAR AND state IN ('success', 'failed'))"""
 ORACLES["retry_schedule"] = f"""WITH {RESULTS}
 SELECT package_id, failures, ts_ms, wait_ms, ts_ms + wait_ms AS next_retry_ms FROM q"""
+ORACLES["pending_retries"] = ORACLES["retry_schedule"]
+ORACLES["retry_stream"] = f"""WITH {RESULTS}
+SELECT package_id, CAST(failures + 1 AS INTEGER) AS attempt_no, failures, ts_ms, wait_ms,
+       ts_ms + wait_ms AS next_retry_ms FROM q"""
 ORACLES["retry_due"] = f"""WITH {RESULTS}
 SELECT false AS closing, package_id, ts_ms + wait_ms AS next_retry_ms FROM q WHERE ts_ms + wait_ms < {NOW_MS}
 UNION ALL SELECT true, package_id, ts_ms + wait_ms FROM q"""

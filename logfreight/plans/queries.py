@@ -16,7 +16,7 @@ from logfreight.session import prepare, scratch
 from logfreight.sources import logs as log_sources
 from logfreight.sources import outbox as outboxes
 from logfreight.sources import payloads
-from logfreight.streaming import carried, microbatch, stateful
+from logfreight.streaming import carried, microbatch, retries, stateful
 
 HOUR_MS = 3_600_000
 # Limits low enough for every close reason to occur on the sample tables.
@@ -27,6 +27,7 @@ DOCUMENT_PACKS = PackOptions(
 LIST_PACKS = PackOptions(max_bytes=3_500, cap_bytes=4_200, max_logs=7, linger_ms=6_000)
 RETRIES = DeliveryOptions(retries=2, backoff_ms=100, max_backoff_ms=350, total_bytes=2_000)
 STREAM_BATCHES = 4
+STREAM_FILES = 4
 MAX_VALUE_BYTES = 4_000
 MAX_REQUEST_BYTES = 120_000
 MAX_GROUP_LOGS = 9
@@ -146,7 +147,9 @@ def _answer(topic_id: str, payload: bytes, compress_type: str) -> tuple[int, str
 
 @_query
 def deliver(spark, folder):
-    outbox = _encoded(spark, folder, "none")
+    where = scratch(spark)
+    outboxes.write_outbox(_encoded(spark, folder, "none"), where, 0)
+    outbox = outboxes.read_outbox(spark, where)
     sent = send.deliver(outbox, _answer, scratch(spark), 0, DeliveryOptions(workers=4))
     return sent.select("package_id", "topic_id", "attempt_no", "http_code", "request_id", "body")
 
@@ -507,18 +510,22 @@ def _event_stream(spark, folder):
 
 
 def _event_batches(spark, folder, where):
-    """The events as a stream of several micro-batches, in order of time."""
+    """The events as a stream of several micro-batches, in order of time.
+
+    Each is ``files`` files, written by as many tasks and read together.
+    """
     events = sample.table(spark, folder, "events")
     shares = [i / STREAM_BATCHES for i in range(1, STREAM_BATCHES)]
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     bounds = events.agg(F.percentile_approx(micros, F.lit(shares), F.lit(1000))).first()[0]
+    files = STREAM_FILES if events.count() >= STREAM_FILES * 100 else 1
     # Files are read in the order they were written in.
     for low, high in zip([None, *bounds], [*bounds, None]):
         part = events if low is None else events.filter(micros > low)
         part = part if high is None else part.filter(micros <= high)
-        part.coalesce(1).write.mode("append").parquet(f"{where}/in")
-    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    return sample.as_event_logs(files.parquet(f"{where}/in"))
+        part.repartition(files).write.mode("append").parquet(f"{where}/in")
+    batches = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
+    return sample.as_event_logs(batches.parquet(f"{where}/in"))
 
 
 @_query
@@ -534,35 +541,33 @@ def pack_stream_microbatch(spark, folder):
     )
 
 
+def _drain(stream: DataFrame, where: str) -> DataFrame:
+    """Run a stream over all its input and return what it wrote."""
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{where}/out")
+        .option("checkpointLocation", f"{where}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{where}/out")
+
+
 def _drained_stream(spark, folder):
+    """What a stream over the events closed, and what its state has open."""
     where = scratch(spark)
     stream = _event_batches(spark, folder, where)
-    marks = stateful.flush_rows(sample.event_logs(spark, folder))
-    marks.limit(0).write.parquet(f"{where}/marks")
-    # The SQL knows no clock: the last package of a topic ends with the input, so no watermark
-    # may come before the marks. Tests of the stream let it.
-    stream = stateful.with_marks(stream, f"{where}/marks")
-    packed = stateful.pack_stream(stream, EVENT_PACKS, delay_ms=10_000 * HOUR_MS)
-
-    def drain():
-        query = (
-            packed.writeStream.format("parquet")
-            .option("path", f"{where}/out")
-            .option("checkpointLocation", f"{where}/state")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-
-    drain()
-    marks.coalesce(1).write.mode("append").parquet(f"{where}/marks")
-    drain()
-    return spark.read.parquet(f"{where}/out")
+    # The SQL knows no clock: the last package of a topic ends with the input, so the watermark
+    # may close none before. Tests of the stream let it.
+    closed = _drain(stateful.pack_stream(stream, EVENT_PACKS, delay_ms=10_000 * HOUR_MS), where)
+    return closed, stateful.open_packages(spark, f"{where}/state", EVENT_PACKS)
 
 
 @_query
 def pack_stream(spark, folder):
-    return _drained_stream(spark, folder).select(
+    closed, still_open = _drained_stream(spark, folder)
+    return closed.unionByName(still_open).select(
         "topic_id", "seq", "package_seq", "package_id", "create_ms", "close_ms", "close_reason"
     )
 
@@ -580,12 +585,39 @@ def pack_stream_carried(spark, folder):
 
 @_query
 def flush_open(spark, folder):
-    flushed = _drained_stream(spark, folder).filter("close_reason = 'flush'")
+    _, flushed = _drained_stream(spark, folder)
     return flushed.groupBy("topic_id", "package_seq").agg(
         F.count("*").alias("n_logs"), F.max("close_ms").alias("close_ms")
     )
 
 
+@_query
+def retry_stream(spark, folder):
+    """The schedule as a stream makes it: answers in four batches, then the clock moves on."""
+    where = scratch(spark)
+    attempts = sample.event_attempts(spark, folder)
+    for first, last in ((1, 1), (2, 2), (3, 4), (5, 99)):
+        batch = retries.answers_of(attempts.filter(F.col("attempt_no").between(first, last)))
+        batch.repartition(STREAM_FILES).write.mode("append").parquet(f"{where}/in")
+    news = spark.readStream.schema(retries.NEWS).option("maxFilesPerTrigger", STREAM_FILES).parquet(f"{where}/in")
+    # No timer fires before the clock is moved, beyond every retry time.
+    due = retries.retry_stream(news, RETRIES, delay_ms=10_000 * HOUR_MS)
+    _drain(due, where)
+    newest = attempts.agg(F.max("ts_ms")).first()[0] or 0
+    retries.clock_rows(spark, newest + 20_000 * HOUR_MS).write.mode("append").parquet(f"{where}/in")
+    return _drain(due, where).select("package_id", "attempt_no", "failures", "ts_ms", "wait_ms", "next_retry_ms")
+
+
+@_query
+def pending_retries(spark, folder):
+    """The schedule as it stands in the state of a stopped stream."""
+    where = scratch(spark)
+    retries.answers_of(sample.event_attempts(spark, folder)).write.parquet(f"{where}/in")
+    news = spark.readStream.schema(retries.NEWS).parquet(f"{where}/in")
+    _drain(retries.retry_stream(news, RETRIES, delay_ms=10_000 * HOUR_MS), where)
+    return retries.pending_retries(spark, f"{where}/state", RETRIES)
+
+
 @_query
 def retry_pass(spark, folder):
     where = scratch(spark)

@@ -43,6 +43,13 @@ def written_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever storage it is, if it is there."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextlib.contextmanager
 def work_folder(spark: SparkSession) -> Iterator[str]:
     """A folder for all tables and checkpoints made inside, removed at the end.
@@ -58,8 +65,7 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
         yield outer
     finally:
         context.setCheckpointDir(before)
-        path = context._jvm.org.apache.hadoop.fs.Path(outer)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, outer)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

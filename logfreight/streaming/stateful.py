@@ -9,14 +9,20 @@ In event time Spark drops rows behind the watermark. Here none may be lost, so l
 event time at all; beside each goes a tick, a narrow row with the time and nothing else, which
 moves the watermark and may be dropped. A log that comes late is packed as arriving with the
 one before it.
+
+What a stopped stream has open can be read from its state (``open_packages``), without marks
+and without another run.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -48,8 +54,14 @@ _HELD_NAMES = [name for name, _ in _HELD]
 _HELD_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in _HELD)
 _OUT_SCHEMA = (
     f"topic_id string, producer string, {_HELD_SCHEMA}, n_logs long, package_seq long, "
-    "create_ms long, close_ms long, close_reason string"
+    "create_ms long, close_ms long, close_reason string, run long"
 )
+QUERY_ID = "sql.streaming.queryId"
+
+
+def _run_of(query_id: str) -> int:
+    """The run that goes into ids: a query keeps its id, and so its run, over all its restarts."""
+    return zlib.crc32(query_id.encode())
 
 
 def _plain(value):
@@ -57,8 +69,8 @@ def _plain(value):
 
 
 class _Packer(StatefulProcessor):
-    def __init__(self, limits: PackOptions, time_mode: str) -> None:
-        self.limits = limits
+    def __init__(self, limits: PackOptions, time_mode: str, run: int) -> None:
+        self.limits, self.run = limits, run
         self.by_clock = time_mode == PROCESSING_TIME
         self.metadata = opening_metadata_size(limits.source, limits.hostname)
 
@@ -102,6 +114,9 @@ class _Packer(StatefulProcessor):
         out["n_logs"] = 1
         for name in ("package_seq", "create_ms", "close_ms", "close_reason"):
             out[name] = rows[name]
+        query_id = TaskContext.get().getLocalProperty(QUERY_ID)
+        named = self.limits.run_secs is None and query_id
+        out["run"] = _run_of(query_id) if named else self.run
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -211,6 +226,52 @@ def with_marks(stream: DataFrame, folder: str) -> DataFrame:
     return stream.unionByName(marks)
 
 
+def use_state_store(session: SparkSession) -> None:
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if not session.conf.get(provider).endswith("RocksDBStateStoreProvider"):
+        session.conf.set(provider, STATE_STORE)
+
+
+def open_packages(spark: SparkSession, checkpoint: str, opts: PackOptions = PackOptions()) -> DataFrame:
+    """The packages that a stopped ``pack_stream`` has open, closed as ``flush``: rows like its own.
+
+    They come from the state that its last batch committed to ``checkpoint`` (not from its
+    input), so nothing has to be written, waited for or run again. The state itself stays: a stream
+    that goes on from it packs its open logs on and gives them once more.
+    """
+    use_state_store(spark)
+
+    def variable(name: str) -> DataFrame:
+        reader = spark.read.format("statestore").option("stateVarName", name)
+        return reader.load(checkpoint)
+
+    held = variable("held").select("key.producer", "key.topic_id", "list_element.*")
+    counter = variable("counter").select("key.producer", "key.topic_id", "value.opened", "value.due_ms")
+    ends = held.groupBy("producer", "topic_id").agg(
+        F.min("arrival_ms").alias("_first"), F.max("arrival_ms").alias("close_ms")
+    )
+    known = ends.join(counter, ["producer", "topic_id"]).select(
+        "producer",
+        "topic_id",
+        F.lit(1).cast("long").alias("n_logs"),
+        F.col("opened").alias("package_seq"),
+        F.when(F.col("due_ms") >= 0, F.col("due_ms") - opts.linger_ms).otherwise(F.col("_first")).alias("create_ms"),
+        "close_ms",
+        F.lit("flush").alias("close_reason"),
+    )
+    told = spark.read.text(f"{checkpoint}/metadata").first()
+    run = _run_of(json.loads(told[0])["id"]) if opts.run_secs is None else opts.run_secs
+    both = held.join(known, ["producer", "topic_id"]).withColumn("run", F.lit(run).cast("long"))
+    return _named(both)
+
+
+def _named(packed: DataFrame) -> DataFrame:
+    names = ["topic_id", "producer", *_HELD_NAMES, "n_logs", "package_seq", "create_ms", "close_ms", "close_reason"]
+    identity = package_id(F.col("producer"), F.col("topic_id"), number_in_id(F.col("package_seq")), F.col("run"))
+    named = packed.withColumn("package_id", identity).select(*names, "package_id")
+    return named.withColumn("contents", F.from_json("pairs", PAIRS)).drop("pairs")
+
+
 def _with_ticks(sized: DataFrame) -> DataFrame:
     """Every row without its time, and beside it a tick that has nothing but the time."""
     names = [name for name in sized.columns if name != "event_ts"]
@@ -237,14 +298,14 @@ def pack_stream(
     clock since the batch it was opened in, and such a query does not end by itself. All rows of a
     (producer, topic) in a micro-batch go to one task, so let the source bound the batch, deal a
     busy topic out to several producers (``producer_shards`` of the log sources), or use
-    ``pack_stream_carried``. What is open is closed by ``flush_rows``. Also takes a batch
+    ``pack_stream_carried``. What is open is closed by ``flush_rows``, or read by
+    ``open_packages`` once the stream has stopped. Without ``run_secs`` the run in package ids
+    follows from the id that the query keeps in its checkpoint, so a batch that is replayed
+    after a restart gives the same ids. Also takes a batch
     DataFrame. The session's state store has to be the one in ``STATE_STORE``; it is set where
     the session has none of its own.
     """
-    session = stream.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    if not session.conf.get(provider).endswith("RocksDBStateStoreProvider"):
-        session.conf.set(provider, STATE_STORE)
+    use_state_store(stream.sparkSession)
     narrow = ["topic_id", "producer", "seq", "arrival_ms", "time", "collect_time"]
     sized = stream.selectExpr(
         *narrow,
@@ -260,14 +321,9 @@ def pack_stream(
     else:
         sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire)
     packed = sized.groupBy("producer", "topic_id").transformWithStateInPandas(
-        statefulProcessor=_Packer(opts, time_mode),
+        statefulProcessor=_Packer(opts, time_mode, run_number(opts.run_secs)),
         outputStructType=_OUT_SCHEMA,
         outputMode="append",
         timeMode=time_mode,
     )
-    counter = number_in_id(F.col("package_seq"))
-    run = run_number(opts.run_secs)
-    identity = package_id(F.col("producer"), F.col("topic_id"), counter, run)
-    return packed.withColumn("contents", F.from_json("pairs", PAIRS)).drop("pairs").withColumn(
-        "package_id", identity
-    )
+    return _named(packed)

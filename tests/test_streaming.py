@@ -60,6 +60,33 @@ def test_stateful_equals_batch(spark, folder, tmp_path, files):
     assert same.count() == logs.count()
 
 
+@pytest.mark.parametrize("files", [1, 4])
+def test_open_packages_come_from_the_state(spark, folder, tmp_path, files):
+    logs = event_logs(spark, folder)
+    write_in_files(spark, logs, f"{tmp_path}/in", files)
+    packed = stateful.pack_stream(stream_of(spark, f"{tmp_path}/in"), OPTS)
+    drained(packed, tmp_path)
+    closed = spark.read.schema(packed.schema).parquet(f"{tmp_path}/out")
+    still_open = stateful.open_packages(spark, f"{tmp_path}/state", OPTS)
+    assert still_open.schema.fieldNames() == closed.schema.fieldNames()
+    assert still_open.count() > 0 and closed.filter("close_reason = 'flush'").count() == 0
+    every = closed.unionByName(still_open)
+    assert every.count() == logs.count()
+    assert packages(every) == packages(pack_logs(logs, OPTS))
+    same = every.join(logs, ["topic_id", "seq"]).filter(every.contents == logs.contents)
+    assert same.count() == logs.count()
+    # Reading changes nothing: the stream goes on and gives the same packages, under the same ids.
+    before = {(r.seq, r.package_id, r.create_ms) for r in still_open.select("seq", "package_id", "create_ms").collect()}
+    stateful.flush_rows(logs).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    drained(stateful.pack_stream(stream_of(spark, f"{tmp_path}/in"), OPTS), tmp_path)
+    out = spark.read.schema(packed.schema).parquet(f"{tmp_path}/out")
+    flushed = out.filter("close_reason = 'flush'")
+    assert {(r.seq, r.package_id, r.create_ms) for r in flushed.select("seq", "package_id", "create_ms").collect()} == before
+    assert stateful.open_packages(spark, f"{tmp_path}/state", OPTS).count() == 0
+    # One run over two starts of the query.
+    assert out.select(F.substring("package_id", 17, 8)).distinct().count() == 1
+
+
 def test_stateful_packs_late_logs_and_logs_after_a_flush(spark, folder, tmp_path):
     logs = event_logs(spark, folder)
     late = F.col("seq") % 5 == 0
