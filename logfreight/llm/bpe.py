@@ -6,7 +6,8 @@ refreshed. That is the fastest way for short words, where a scan costs less than
 runs without a break would cost the square of their length, so words over ``LONG`` bytes keep
 the same pairs in a heap over linked parts; both take the leftmost of equal ranks.
 
-Null text is an empty text (no ids). Every input row gives one row.
+Null text is an empty text (no ids). Every input row gives one row, repeated rows and rows with
+a null doc_id too; an empty table gives none. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logfreight.llm.bytelevel import ByteLevelTexts
-from logfreight.llm.texts import batches_of, for_worker, id_lists
+from logfreight.llm.texts import batches_of, batches_of_bytes, for_worker, id_lists
 
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+DIGEST_NAMES = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 LONG = 200
 NEVER = 1 << 40
 # Words whose ids are kept until there are so many.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 50_000
 # White space as Unicode's property has it.
 SPACE = r"\t-\r \x85\xa0  -     　"
 # The pre-tokenizer's pattern, with that class written out.
@@ -141,7 +144,7 @@ class Bpe:
 def _kept(path: str) -> tuple[Bpe, ByteLevelTexts, list[str]]:
     def make() -> tuple[Bpe, ByteLevelTexts, list[str]]:
         bpe = Bpe(path)
-        texts = ByteLevelTexts(bpe.encode_many, list(bpe.added), 60_000_000)
+        texts = ByteLevelTexts(bpe.encode_many, list(bpe.added))
         return bpe, texts, [str(i) for i in range(len(bpe.bytes_of))]
 
     return for_worker(("bpe", path), make)
@@ -159,9 +162,9 @@ def encode_texts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = _kept(tokenizer_path)[1]
-        for batch in batches_of(batches, 500):
-            ids = texts.ids(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(ids)], names=["doc_id", "token_ids"])
+        for batch in batches_of_bytes(batches, 1):
+            lists = id_lists(*texts.ids(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "token_ids"])
 
     narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return narrow.mapInArrow(encode, "doc_id bigint, token_ids array<int>")
@@ -183,21 +186,39 @@ def decode_texts(tokens: DataFrame, tokenizer_path: str) -> DataFrame:
     return tokens.select("doc_id", "token_ids").mapInArrow(decode, schema)
 
 
+def _digest_columns(lists: list[list[int]], texts: list[str], decimals: list[str]) -> list[pa.Array]:
+    hexed = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    return [
+        pa.array([len(ids) for ids in lists], type=pa.int64()),
+        pa.array([hexed(",".join(map(decimals.__getitem__, ids))) for ids in lists], type=pa.string()),
+        pa.array(map(hexed, texts), type=pa.string()),
+    ]
+
+
+def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``digests`` of what ``decode_texts`` makes of ``encode_texts``, in one pass over each text.
+
+    Ids and decoded texts stay in the task, so a core runs one Python worker, not three.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, texts, decimals = _kept(tokenizer_path)
+        for batch in batches_of_bytes(batches, 1):
+            lists = _lists(id_lists(*texts.ids(batch.column(1))))
+            columns = _digest_columns(lists, [bpe.decode(ids) for ids in lists], decimals)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=DIGEST_NAMES)
+
+    narrow = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return narrow.mapInArrow(run, DIGESTS)
+
+
 def digests(decoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of decoded rows."""
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimals = _kept(tokenizer_path)[2].__getitem__
-        hexed = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        decimals = _kept(tokenizer_path)[2]
         for batch in batches_of(batches, 500):
-            lists = _lists(batch.column(1))
-            columns = [
-                batch.column(0),
-                pa.array(np.array([len(ids) for ids in lists], dtype=np.int64)),
-                pa.array([hexed(",".join(map(decimals, ids))) for ids in lists], type=pa.string()),
-                pa.array([hexed(text) for text in batch.column(2).to_pylist()], type=pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.select("doc_id", "token_ids", "decoded").mapInArrow(digest, schema)
+            columns = _digest_columns(_lists(batch.column(1)), batch.column(2).to_pylist(), decimals)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=DIGEST_NAMES)
+
+    return decoded.select("doc_id", "token_ids", "decoded").mapInArrow(digest, DIGESTS)

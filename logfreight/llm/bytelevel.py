@@ -2,8 +2,9 @@
 
 The pre-tokenizer's pattern never matches across a non-space followed by white space, so a
 text may be cut before a space or line feed without changing a match, unless that place lies
-inside a run of white space that goes on behind it. Texts with such a run, and texts with the
-string of an added token (at which the library cuts first), are encoded whole.
+inside a run of white space that goes on behind it. Texts with such a run, texts with the
+string of an added token (at which the library cuts first) and texts with the mark that is
+used for cutting are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ import re
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from logfreight.llm.texts import Pieces
+from logfreight.llm.texts import PieceIds
 
 _RUN = re.compile(r"\s\s(?:\s|\Z)")
+_CUT = "\0"
 
 
 class ByteLevelTexts:
@@ -25,28 +29,23 @@ class ByteLevelTexts:
         self,
         encode_many: Callable[[list[str]], list[list[int]]],
         added: list[str],
-        limit: int = 100_000_000,
+        limit: int = 32_000_000,
     ):
-        self.encode_many, self.added = encode_many, added
-        self.first = Pieces(encode_many, "", limit)
-        self.later = Pieces(encode_many, " ", limit)
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; null and empty texts have none."""
-        split: list[list[str]] = []
-        whole: list[tuple[int, str]] = []
-        for i, text in enumerate(texts):
-            if text and (_RUN.search(text) or any(token in text for token in self.added)):
-                whole.append((i, text))
-                split.append([])
-            else:
-                split.append((text or "").replace("\n", " \n").split(" "))
-        heads = [[pieces[0]] if pieces and pieces[0] else [] for pieces in split]
-        first, later = self.first.of(heads), self.later.of([pieces[1:] for pieces in split])
-        out = [
-            b"".join([*map(first, head), *map(later, pieces[1:])])
-            for head, pieces in zip(heads, split)
-        ]
-        for (i, _), ids in zip(whole, self.encode_many([text for _, text in whole])):
-            out[i] = np.array(ids, dtype="<u4").tobytes()
-        return out
+        self.encode_many, self.added = encode_many, [*added, _CUT]
+        self.pieces = PieceIds(encode_many, limit)
+
+    def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has; null texts have none."""
+        whole = {
+            i: text
+            for i, text in enumerate(texts.to_pylist())
+            if text and (_RUN.search(text) or any(token in text for token in self.added))
+        }
+        texts = pc.fill_null(texts, "")
+        if whole:
+            aside = np.zeros(len(texts), dtype=bool)
+            aside[list(whole)] = True
+            texts = pc.if_else(pa.array(aside), "", texts)
+        cut = pc.replace_substring(pc.replace_substring(texts, " ", _CUT + " "), "\n", _CUT + "\n")
+        known = dict(zip(whole, self.encode_many(list(whole.values()))))
+        return self.pieces.of(pc.split_pattern(cut, _CUT), known)

@@ -20,10 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logfreight.llm.texts import Pieces, batches_of, for_worker, id_lists, library_tokenizer
+from logfreight.llm.texts import (
+    PieceIds,
+    batches_of_bytes,
+    for_worker,
+    id_lists,
+    library_tokenizer,
+    with_end,
+)
 from logfreight.session import written_table
 
 CAPACITY = 2048
@@ -34,14 +42,14 @@ class WordTexts:
 
     def __init__(self, path: str):
         tokenizer = library_tokenizer(path)
-        self.pieces = Pieces(
-            lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], ""
+        self.pieces = PieceIds(
+            lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         )
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        known = self.pieces.of(split)
-        return [b"".join(map(known, pieces)) for pieces in split]
+    def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has."""
+        blanks = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        return self.pieces.of(pc.split_pattern(blanks, " "), {})
 
 
 def _word_texts(path: str) -> WordTexts:
@@ -50,7 +58,6 @@ def _word_texts(path: str) -> WordTexts:
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """piece_key, doc_id, piece, start, length and token_ids, written once as a table."""
-    end = np.array([end_id], dtype="<u4").tobytes()
     schema = "piece_key bigint, doc_id bigint, piece int, start bigint, length bigint, token_ids array<int>"
     names = [field.split()[0] for field in schema.split(", ")]
 
@@ -58,21 +65,18 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
         from pyspark import TaskContext
 
         texts, key = _word_texts(tokenizer_path), TaskContext.get().partitionId() << 33
-        for batch in batches_of(batches, 500):
-            owners, pieces, starts, parts = [], [], [], []
-            for row, ids in enumerate(texts.ids(batch.column(1).to_pylist())):
-                ids += end
-                for piece, begin in enumerate(range(0, len(ids), 4 * capacity)):
-                    owners.append(row)
-                    pieces.append(piece)
-                    starts.append(begin // 4)
-                    parts.append(ids[begin : begin + 4 * capacity])
-            keys = key + np.arange(len(parts), dtype=np.int64)
-            key += len(parts)
+        for batch in batches_of_bytes(batches, 1):
+            ids, many = with_end(*texts.ids(batch.column(1)), end_id)
+            cuts = -(-many // capacity)
+            owners = np.repeat(np.arange(len(many)), cuts)
+            pieces = np.arange(len(owners)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+            starts = pieces * capacity
+            lengths = np.minimum(capacity, many[owners] - starts)
+            keys = key + np.arange(len(owners), dtype=np.int64)
+            key += len(owners)
             columns = [
-                pa.array(keys), batch.column(0).take(pa.array(owners, type=pa.int64())),
-                pa.array(pieces, type=pa.int32()), pa.array(starts, type=pa.int64()),
-                pa.array([len(part) // 4 for part in parts], type=pa.int64()), id_lists(parts),
+                pa.array(keys), batch.column(0).take(pa.array(owners)), pa.array(pieces.astype(np.int32)),
+                pa.array(starts), pa.array(lengths), id_lists(ids, lengths),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -44,9 +44,7 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = bpe.encode_texts(documents(spark, sf_dir), path)
-    return bpe.digests(bpe.decode_texts(tokens, path), path)
+    return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

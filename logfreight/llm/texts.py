@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,39 +94,59 @@ def for_worker(key: object, make: Callable[[], object]) -> object:
     return _HELD[1]
 
 
-class Pieces:
-    """Ids of pieces of text as little-endian unsigned 32-bit integers.
+class PieceIds:
+    """Ids of pieces of text, kept from batch to batch.
 
-    Pieces met lately are held in two generations of at most ``limit`` bytes each (about):
-    when the younger is full it becomes the older, and what is still in use comes back.
+    Arrow cuts a batch of texts into pieces and numbers the distinct ones; Python sees only
+    those, and encodes only those not kept. Ids of all kept pieces lie in one pool, from which
+    the ids of the whole batch are taken at once. When about ``limit`` bytes are held, all are
+    dropped before the next batch.
     """
 
-    def __init__(
-        self, encode_many: Callable[[list[str]], list[list[int]]], lead: str, limit: int = 100_000_000
-    ):
-        self.encode_many, self.lead, self.limit = encode_many, lead, limit
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.weight = 0
-
-    def of(self, split: list[list[str]]) -> Callable[[str], bytes]:
-        """A lookup that knows all the given pieces."""
-        pieces = set().union(*split)
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], limit: int = 32_000_000):
+        self.encode_many, self.limit = encode_many, limit
+        self._drop()
+
+    def _drop(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.pool, self.used = np.empty(1 << 16, dtype="<u4"), 0
+        # Where the ids of each slot begin; one more than there are slots.
+        self.begins, self.weight = [0], 0
+
+    def _add(self, ids: list[int]) -> int:
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty(max(len(self.pool), len(ids)), dtype="<u4")])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.begins.append(self.used)
+        return len(self.begins) - 2
+
+    def of(self, split: pa.ListArray, whole: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a batch and how many each text has.
+
+        ``split`` has the pieces of every text; texts in ``whole``, which have one piece there,
+        have the given ids in its place.
+        """
         if self.weight > self.limit:
-            self.young, self.old, self.weight = {}, self.young, 0
-        missing = pieces.difference(self.young)
-        new = []
-        for piece in missing:
-            ids = self.old.get(piece)
-            if ids is None:
-                new.append(piece)
-            else:
-                self.young[piece] = ids
-        texts = [piece if piece[:1] == "\n" else self.lead + piece for piece in new]
-        for piece, ids in zip(new, self.encode_many(texts)):
-            self.young[piece] = np.array(ids, dtype="<u4").tobytes()
-        self.weight += sum(map(len, missing)) * 3 + 160 * len(missing)
-        return self.young.__getitem__
+            self._drop()
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [name for name in names if name not in self.slots]
+        for name, ids in zip(new, self.encode_many(new)):
+            self.slots[name] = self._add(ids)
+            self.weight += 160 + 3 * len(name) + 4 * len(ids)
+        slot_of = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))
+        slots = slot_of[coded.indices.to_numpy()]
+        ends = np.cumsum(split.value_lengths().to_numpy())
+        for row, ids in whole.items():
+            slots[ends[row] - 1] = self._add(ids)
+            self.weight += 4 * len(ids)
+        begins = np.array(self.begins)
+        many = (begins[1:] - begins[:-1])[slots]
+        so_far = np.cumsum(many)
+        at = np.repeat(begins[slots] - so_far + many, many)
+        at += np.arange(len(at))
+        return self.pool[at], np.diff(np.concatenate([[0], so_far])[np.concatenate([[0], ends])])
 
 
 def library_tokenizer(path: str):
@@ -146,9 +167,33 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
             yield batch.slice(begin, rows)
 
 
-def id_lists(ids: list[bytes]) -> pa.ListArray:
-    """A list column of 32-bit ids."""
-    offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-    np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
-    values = np.frombuffer(b"".join(ids), dtype="<i4")
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=pa.int32()))
+def batches_of_bytes(
+    batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20, rows: int = 500
+) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows and ``most`` bytes of text (or of one row)."""
+    for batch in batches_of(batches, rows):
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            before = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, before + most, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def with_end(ids: np.ndarray, many: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts, one after the other, with the end id after each."""
+    places = np.cumsum(many + 1) - 1
+    out = np.full(len(ids) + len(many), end_id, dtype="<u4")
+    others = np.ones(len(out), dtype=bool)
+    others[places] = False
+    out[others] = ids
+    return out, many + 1
+
+
+def id_lists(ids: np.ndarray, many: np.ndarray) -> pa.ListArray:
+    """A list column of 32-bit ids: ``many`` of them in each row."""
+    offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view("<i4"), type=pa.int32()))

@@ -22,7 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logfreight.llm.bytelevel import ByteLevelTexts
-from logfreight.llm.texts import batches_of, for_worker, id_lists, library_tokenizer, partitions_of
+from logfreight.llm.texts import (
+    batches_of_bytes,
+    for_worker,
+    id_lists,
+    library_tokenizer,
+    partitions_of,
+    with_end,
+)
 
 SCHEMA = "part int, doc_id bigint, part_start bigint, n_tokens bigint, token_ids array<int>"
 
@@ -44,20 +51,18 @@ def encode_in_order(
     docs: DataFrame, tokenizer_path: str, end_id: int = 0, partitions: int | None = None
 ) -> DataFrame:
     """Ids of every document (with the end id) in ascending doc_id order within ranges."""
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         texts, part, start = _byte_level(tokenizer_path), TaskContext.get().partitionId(), 0
-        for batch in batches_of(batches, 500):
-            ids = [x + end for x in texts.ids(batch.column(1).to_pylist())]
-            sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        for batch in batches_of_bytes(batches, 1):
+            ids, sizes = with_end(*texts.ids(batch.column(1)), end_id)
             starts = start + np.cumsum(sizes) - sizes
             start += int(sizes.sum())
             columns = [
-                pa.array(np.full(len(ids), part, np.int32)), batch.column(0),
-                pa.array(starts), pa.array(sizes), id_lists(ids),
+                pa.array(np.full(len(sizes), part, np.int32)), batch.column(0),
+                pa.array(starts), pa.array(sizes), id_lists(ids, sizes),
             ]
             yield pa.RecordBatch.from_arrays(
                 columns, names=["part", "doc_id", "part_start", "n_tokens", "token_ids"]

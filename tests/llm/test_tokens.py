@@ -1,5 +1,6 @@
 """ORC token files, byte-level BPE and packing against the tokenizers library."""
 
+import functools
 import hashlib
 import os
 import random
@@ -7,13 +8,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
 from logfreight.llm import packing, token_files
 from logfreight.llm.bpe import LONG, Bpe
 from logfreight.llm.queries import QUERIES
-from logfreight.llm.texts import library_tokenizer
+from logfreight.llm.texts import batches_of_bytes, library_tokenizer
 from tests.llm import corpus
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -21,8 +23,11 @@ PARTS = ["a", " ", " ", "\n", "\n", "\t", "é", "foo", "'s", "1", "23", "\xa0",
          "!", "?!", "\x1c", "́", "日本", "\U0001f600", "the", "\r", "aaaaaaaaaa", "\x00"]
 
 
+tokenizer_of = functools.lru_cache(library_tokenizer)
+
+
 def ids_of(path, text):
-    return library_tokenizer(path).encode(text or "", add_special_tokens=False).ids
+    return tokenizer_of(path).encode(text or "", add_special_tokens=False).ids
 
 
 def crc(ids):
@@ -61,6 +66,37 @@ def test_bpe_decodes_any_ids():
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_kept_pieces_are_dropped_and_met_again():
+    from logfreight.llm.bytelevel import ByteLevelTexts
+
+    library = library_tokenizer(BYTES)
+    texts = ByteLevelTexts(lambda many: [e.ids for e in library.encode_batch_fast(many, add_special_tokens=False)], ["<|endoftext|>"], limit=2000)
+    for seed in range(5):
+        batch = [None, *random_texts(40, 9), "a b c a b c", "  ", "x" * 3000 + " y", ""]
+        random.Random(seed).shuffle(batch)
+        ids, many = texts.ids(pa.array(batch, pa.string()))
+        want = [ids_of(BYTES, text) for text in batch]
+        assert many.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert texts.ids(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_batches_by_bytes_lose_nothing():
+    table = pa.table({"n": list(range(30)), "t": [None, "", "abc" * 9] * 10}).to_batches(max_chunksize=11)
+    for most in (1, 20, 60, 10_000):
+        parts = list(batches_of_bytes(iter(table), 1, most))
+        assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(30))
+        assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= most for p in parts)
+
+
+def test_bpe_steps_equal_one_pass(spark, cases, place):
+    from logfreight.llm import bpe
+
+    docs = spark.read.parquet(f"{place}/documents.parquet")
+    steps = bpe.digests(bpe.decode_texts(bpe.encode_texts(docs, BYTES), BYTES), BYTES)
+    assert sorted(map(tuple, steps.collect()), key=repr) == sorted(map(tuple, bpe.round_trip(docs, BYTES).collect()), key=repr)
+
+
 def test_bpe_query(spark, cases, place):
     hexed = lambda text: hashlib.sha256(text.encode()).hexdigest()
     want = []
