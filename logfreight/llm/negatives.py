@@ -42,7 +42,8 @@ TREE = ["centre", "radius", "child", "children", "low", "high", "ids", "points"]
 def _ordered(rows: DataFrame, per_task: int) -> DataFrame:
     """Rows in ranges of (dims, label, row) of about ``per_task`` rows each, sorted."""
     parts = max(1, -(-rows.count() // per_task))
-    return rows.repartitionByRange(parts, *KEY).sortWithinPartitions(*KEY)
+    # Where the session makes more ranges than that, neighbours are put together again.
+    return rows.repartitionByRange(parts, *KEY).sortWithinPartitions(*KEY).coalesce(parts)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[pa.Table]:
