@@ -238,6 +238,7 @@ def place_pieces(
         def pack(batches: Iterator[pa.RecordBatch], turn: int = turn, last: bool = last) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
+            for_worker("placing", lambda: None)
             given = list(batches)
             if not any(batch.num_rows for batch in given):
                 return

@@ -14,9 +14,13 @@ def bounded_sample(rows: DataFrame, label: str, bound: int, key: str = "doc_id")
     """
     hashed = rows.withColumn("_h", F.xxhash64(F.lit("sample"), key))
     counts = rows.groupBy(label).agg(F.count("*").alias("_n"))
-    share = F.least(F.lit(1.0), F.lit(2.0 * bound) / F.col("_n"))
-    cut = counts.select(label, ((share * 2 - 1) * F.lit(float(2**63))).alias("_cut"))
-    near = hashed.join(cut, label).filter(F.col("_h") <= F.col("_cut"))
+    # Only labels with more rows than that need a cut, so there are few of them: at most one for
+    # every 2 * bound rows, and those that Spark finds small enough it sends to all tasks.
+    large = counts.filter(F.col("_n") > 2 * bound)
+    share = F.lit(2.0 * bound) / F.col("_n")
+    cut = large.select(F.col(label).alias("_label"), ((share * 2 - 1) * F.lit(float(2**63))).alias("_cut"))
+    told = hashed.join(F.broadcast(cut), F.col(label) == F.col("_label"), "left")
+    near = told.filter(F.col("_cut").isNull() | (F.col("_h") <= F.col("_cut"))).drop("_label")
     order = Window.partitionBy(label).orderBy("_h", key)
     ranked = near.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= bound)
     return ranked.drop("_h", "_cut", "_r")

@@ -1,21 +1,24 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
 A token's score is the log ratio of its rates in toxic and in clean documents under Dirichlet
-priors: a word's prior leans as its first letters do, theirs as the corpus does. ``DRIFT`` is
+priors: a word's prior leans as its first letters do, theirs as the corpus does. A drift is
 taken off, so that ordinary text scores below zero. A linear scan (maximal scoring
 subsequences) finds every passage that no extension improves. How high the best passage of a
 clean text of n tokens gets by chance follows an extreme-value law: P(M >= x) = 1 - exp(-K n
 exp(-lambda x)); lambda solves E[exp(lambda s)] = 1 over clean tokens, K is fitted to clean
 documents. Passages with an E-value of at most ``PASSAGE_E`` are significant; a document's
 evidence is the E-value of its significant passages taken together, turned into a probability by a logistic
-curve on the labelled sample, weighted to the true share of labels.
+curve on the labelled sample, weighted to the true share of labels. Drift and priors are chosen
+from ``SETTINGS`` by cross-validation inside the sample: K, the curve and the loss come from
+documents told by counts of the other inner folds, over all their significant passages.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents of each class.
 Word and prefix counts are held by hash in tables of a fixed size. A document with several
 labels is toxic if one says so; null and other labels are not used, nor are null ids.
 
 Null and empty texts have no passage and the score that belongs to none. Every row gives one
-row. Without both classes in the sample the score is the share of toxic labels.
+row, repeated rows too, and keeps the other columns but those of the two names it adds. An empty
+table gives no rows. Without both classes in the sample the score is the share of toxic labels.
 """
 
 from __future__ import annotations
@@ -38,8 +41,9 @@ from logfreight.session import written_table
 
 SAMPLE = 16_384
 WORD_BITS, PREFIX_BITS, PREFIX = 18, 16, 4
-WORD_PRIOR, PREFIX_PRIOR = 10.0, 20.0
-DRIFT = 2.0
+# (drift, word prior, prefix prior): the one that tells unseen training documents best is taken.
+SETTINGS = ((2.0, 10.0, 20.0), (1.0, 10.0, 20.0), (2.0, 2.0, 5.0), (1.0, 2.0, 5.0))
+INNER_FOLDS = 4
 PASSAGE_E = 0.05
 FOLDS = 5
 _WORD = re.compile(r"\w+")
@@ -57,6 +61,8 @@ class ToxicityModel:
     prefix_share: np.ndarray
     share: float
     rates: tuple[float, float]
+    drift: float = SETTINGS[0][0]
+    word_prior: float = SETTINGS[0][1]
     decay: float = 1.0
     scale: float = 1.0
     curve: tuple[float, float] = (0.0, 0.0)
@@ -74,12 +80,12 @@ class Scores(dict):
         model, (slot, prefix) = self.model, _slots(word)
         toxic, clean = model.word_counts[slot]
         lean = model.prefix_share[prefix - (1 << WORD_BITS)]
-        odds = math.log((toxic + WORD_PRIOR * lean) / model.rates[0])
-        odds -= math.log((clean + WORD_PRIOR * (1 - lean)) / model.rates[1])
-        if len(self) > 200_000:
+        odds = math.log((toxic + model.word_prior * lean) / model.rates[0])
+        odds -= math.log((clean + model.word_prior * (1 - lean)) / model.rates[1])
+        if len(self) > 100_000:
             self.clear()
-        self[word] = odds - DRIFT
-        return odds - DRIFT
+        self[word] = odds - model.drift
+        return odds - model.drift
 
 
 def words_of(text: str | None) -> list[str]:
@@ -162,7 +168,6 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, folds: int = FOLDS) -> ToxicityModel:
     """Fit on labelled documents outside the held-out fold."""
-    context = docs.sparkSession.sparkContext
     usable = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), folds, 0))
     marked = usable.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     marked = written_table(marked)
@@ -170,73 +175,110 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, folds: int =
     chosen = bounded_sample(marked, "toxic", bound).select("doc_id", "toxic")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most twice ``bound`` rows of two integers are sent to all tasks.
-    sample = written_table(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
+    inner = F.pmod(F.xxhash64(F.lit("inner"), "doc_id"), F.lit(INNER_FOLDS)).cast("int").alias("inner")
+    sample = written_table(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", inner))
+    slots = (1 << WORD_BITS) + (1 << PREFIX_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, (1 << WORD_BITS) + (1 << PREFIX_BITS)))
-        slots: dict[str, tuple[int, int]] = {}
-        documents = np.zeros(2)
+        for_worker("toxicity counts", lambda: None)
+        table = np.zeros((INNER_FOLDS, 2, slots))
+        slot_of: dict[str, tuple[int, int]] = {}
+        documents = np.zeros((INNER_FOLDS, 2))
         for batch in batches_of(batches, 500):
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                documents[toxic] += 1
+            for text, toxic, part in zip(*(column.to_pylist() for column in batch.columns)):
+                documents[part, toxic] += 1
+                counts = table[part, toxic]
                 for word in words_of(text):
-                    if (at := slots.get(word)) is None:
-                        if len(slots) > 400_000:
-                            slots.clear()
-                        at = slots[word] = _slots(word)
-                    table[toxic, at[0]] += 1
-                    table[toxic, at[1]] += 1
-        used = np.flatnonzero(table.sum(axis=0))
-        keys = np.append(used, -1)
-        rows = np.concatenate([table[:, used], documents[:, None]], axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(rows[1]), pa.array(rows[0])], names=["k", "t", "c"])
-
-    counted = sample.mapInArrow(count, "k bigint, t double, c double").groupBy("k")
-    rows = counted.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toArrow()  # one per slot
-    table = np.zeros(((1 << WORD_BITS) + (1 << PREFIX_BITS), 2))
-    keys = rows["k"].to_numpy()
+                    if (at := slot_of.get(word)) is None:
+                        if len(slot_of) > 200_000:
+                            slot_of.clear()
+                        at = slot_of[word] = _slots(word)
+                    counts[at[0]] += 1
+                    counts[at[1]] += 1
+        for part in range(INNER_FOLDS):
+            used = np.flatnonzero(table[part].sum(axis=0))
+            rows = np.concatenate([table[part][:, used], documents[part][:, None]], axis=1)
+            columns = [np.append(used, -1), np.full(len(used) + 1, part, np.int32), rows[1], rows[0]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["k", "inner", "t", "c"])
+
+    counted = sample.mapInArrow(count, "k bigint, inner int, t double, c double").groupBy("k", "inner")
+    rows = counted.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toArrow()  # one per slot and fold
+    tables, seen = np.zeros((INNER_FOLDS, slots, 2)), np.zeros(2)
+    keys, parts = rows["k"].to_numpy(), rows["inner"].to_numpy()
     values = np.stack([rows["t"].to_numpy(), rows["c"].to_numpy()], axis=1)
-    table[keys[keys >= 0]] = values[keys >= 0]
+    tables[parts[keys >= 0], keys[keys >= 0]] = values[keys >= 0]
     seen = values[keys == -1].sum(axis=0)
     known = sum(totals.values())
-    word_counts, prefix_counts = table[: 1 << WORD_BITS], table[1 << WORD_BITS :]
-    tokens = word_counts.sum(axis=0)
-    if not (seen > 0).all() or not (tokens > 0).all():
+    whole = tables.sum(axis=0)
+    if not (seen > 0).all() or not (whole[: 1 << WORD_BITS].sum(axis=0) > 0).all():
         constant = totals.get(1, 0) / known if known else 0.0
-        return ToxicityModel(word_counts, np.zeros(1 << PREFIX_BITS), 0.0, (1.0, 1.0), constant=constant)
+        return ToxicityModel(whole[: 1 << WORD_BITS], np.zeros(1 << PREFIX_BITS), 0.0, (1.0, 1.0), constant=constant)
+    # For each setting a model per inner fold, from the documents of the other folds.
+    others = [whole - table for table in tables]
+    models = [[_model_of(table, setting) for table in others] for setting in SETTINGS]
+    tops = _over(sample, models, lambda model, n, found: max((s for *_, s in found), default=0.0))
+    clean = [row for row in tops if not row["toxic"]]
+    for at, group in enumerate(models):
+        chances = [max(r["n"], 1) * math.exp(-min(group[r["inner"]].decay * r["x"][at], 700.0)) for r in clean]
+        for model in group:
+            model.scale = float(1.0 / max(np.mean(chances), 1e-12))
+    weighed = _over(sample, models, evidence)
+    x = np.array([r["x"] for r in weighed])
+    y = np.array([float(r["toxic"]) for r in weighed])
+    weight = np.where(y > 0, totals[1] / y.sum(), totals[0] / max((1 - y).sum(), 1)) * len(y) / known
+    curves = [_logistic(x[:, at], y, weight) for at in range(len(SETTINGS))]
+    losses = [_loss(curve, x[:, at], y, weight) for at, curve in enumerate(curves)]
+    best = int(np.argmin(losses))
+    model = _model_of(whole, SETTINGS[best])
+    model.scale, model.curve = models[best][0].scale, curves[best]
+    return model
+
+
+def _model_of(table: np.ndarray, setting: tuple[float, float, float]) -> ToxicityModel:
+    """The scores that counts (slots of words, then of prefixes; toxic and clean) give."""
+    drift, word_prior, prefix_prior = setting
+    word_counts, prefix_counts = table[: 1 << WORD_BITS], table[1 << WORD_BITS :]
+    tokens = np.maximum(word_counts.sum(axis=0), 1.0)
     share = tokens[0] / tokens.sum()
-    prefix_share = (prefix_counts[:, 0] + PREFIX_PRIOR * share) / (prefix_counts.sum(axis=1) + PREFIX_PRIOR)
-    model = ToxicityModel(word_counts, prefix_share, share, (tokens[0], tokens[1]))
+    prefix_share = (prefix_counts[:, 0] + prefix_prior * share) / (prefix_counts.sum(axis=1) + prefix_prior)
+    model = ToxicityModel(word_counts, prefix_share, share, (tokens[0], tokens[1]), drift, word_prior)
     # Clean tokens by slot: scores of words that fall into it, with the corpus prior.
-    rough = np.log((word_counts[:, 0] + WORD_PRIOR * share) / tokens[0])
-    rough -= np.log((word_counts[:, 1] + WORD_PRIOR * (1 - share)) / tokens[1])
-    model.decay = _decay(rough - DRIFT, word_counts[:, 1] + 1e-9)
-    shared = context.broadcast(model)
+    rough = np.log((word_counts[:, 0] + word_prior * share) / tokens[0])
+    rough -= np.log((word_counts[:, 1] + word_prior * (1 - share)) / tokens[1])
+    model.decay = _decay(rough - drift, word_counts[:, 1] + 1e-9)
+    return model
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        scores = Scores(model)
+
+def _over(sample: DataFrame, models: list[list[ToxicityModel]], value) -> list[dict]:
+    """toxic, inner, n and, per setting, ``value`` of the passages that the fold's model finds.
+
+    A row per document of the bounded sample, each told by models that have not seen it.
+    """
+    shared = sample.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for_worker("toxicity fits", lambda: None)
+        scores = [[Scores(model) for model in group] for group in shared.value]
         for batch in batches_of(batches, 500):
-            out = []
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
-                found = segments(np.fromiter(map(scores.__getitem__, words), np.float64, len(words)))
-                tops = sorted((s for *_, s in found), reverse=True)
-                out.append((toxic, len(words), tops[:64]))
-            kinds = pa.int32(), pa.int64(), pa.list_(pa.float64())
-            columns = [pa.array(values, type=kind) for values, kind in zip(zip(*out), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "n", "tops"])
-
-    # A row per document of the bounded sample.
-    fits = sample.mapInArrow(best, "toxic int, n bigint, tops array<double>").toArrow().to_pylist()
-    clean = [(max(r["n"], 1), r["tops"][0] if r["tops"] else 0.0) for r in fits if not r["toxic"]]
-    chances = np.array([n * math.exp(-min(model.decay * top, 700.0)) for n, top in clean])
-    model.scale = float(1.0 / max(chances.mean(), 1e-12))
-    x = np.array([evidence(model, r["n"], [(0, 0, s) for s in r["tops"]]) for r in fits])
-    y = np.array([float(r["toxic"]) for r in fits])
-    weight = np.where(y > 0, totals[1] / y.sum(), totals[0] / max((1 - y).sum(), 1)) * len(y) / known
-    model.curve = _logistic(x, y, weight)
-    return model
+            many, told = [], []
+            for text, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                words, row = words_of(text), []
+                for group in scores:
+                    kept = group[part]
+                    found = segments(np.fromiter(map(kept.__getitem__, words), np.float64, len(words)))
+                    row.append(float(value(kept.model, len(words), found)))
+                many.append(len(words))
+                told.append(row)
+            columns = [batch.column(1), batch.column(2), pa.array(many, pa.int64()), pa.array(told, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "inner", "n", "x"])
+
+    return sample.mapInArrow(run, "toxic int, inner int, n bigint, x array<double>").toArrow().to_pylist()
+
+
+def _loss(curve: tuple[float, float], x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Mean log loss of a curve."""
+    p = 1 / (1 + np.exp(-(curve[0] + curve[1] * np.minimum(x, 50.0))))
+    return float(-(weight * np.log(np.clip(np.where(y > 0, p, 1 - p), 1e-9, 1))).sum() / weight.sum())
 
 
 def passages(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -248,7 +290,7 @@ def passages(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        scores = Scores(model)
+        scores = _scores_of(model)
         for batch in batches_of(batches, 500):
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
