@@ -144,7 +144,7 @@ class Bpe:
 def _kept(path: str) -> tuple[Bpe, ByteLevelTexts, list[str]]:
     def make() -> tuple[Bpe, ByteLevelTexts, list[str]]:
         bpe = Bpe(path)
-        texts = ByteLevelTexts(bpe.encode_many, list(bpe.added))
+        texts = ByteLevelTexts(bpe.encode_many, list(bpe.added), 48_000_000)
         return bpe, texts, [str(i) for i in range(len(bpe.bytes_of))]
 
     return for_worker(("bpe", path), make)

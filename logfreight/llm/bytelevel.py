@@ -2,7 +2,8 @@
 
 The pre-tokenizer's pattern never matches across a non-space followed by white space, so a
 text may be cut before a space or line feed without changing a match, unless that place lies
-inside a run of white space that goes on behind it. Texts with such a run, texts with the
+inside a run of white space that goes on behind it. Nor does a match go on from a letter to
+punctuation, so pieces are cut there too and recur more often. Texts with such a run, texts with the
 string of an added token (at which the library cuts first) and texts with the mark that is
 used for cutting are encoded whole.
 """
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from logfreight.llm.texts import PieceIds
+from logfreight.llm.texts import LETTER_END, PieceIds
 
 _RUN = re.compile(r"\s\s(?:\s|\Z)")
 _CUT = "\0"
@@ -29,7 +30,7 @@ class ByteLevelTexts:
         self,
         encode_many: Callable[[list[str]], list[list[int]]],
         added: list[str],
-        limit: int = 32_000_000,
+        limit: int = 96_000_000,
     ):
         self.encode_many, self.added = encode_many, [*added, _CUT]
         self.pieces = PieceIds(encode_many, limit)
@@ -46,6 +47,7 @@ class ByteLevelTexts:
             aside = np.zeros(len(texts), dtype=bool)
             aside[list(whole)] = True
             texts = pc.if_else(pa.array(aside), "", texts)
+        texts = pc.replace_substring_regex(texts, LETTER_END, rf"\1{_CUT}\2")
         cut = pc.replace_substring(pc.replace_substring(texts, " ", _CUT + " "), "\n", _CUT + "\n")
         known = dict(zip(whole, self.encode_many(list(whole.values()))))
         return self.pieces.of(pc.split_pattern(cut, _CUT), known)

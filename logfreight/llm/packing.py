@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logfreight.llm.texts import (
+    LETTER_END,
     PieceIds,
     batches_of_bytes,
     for_worker,
@@ -42,14 +43,20 @@ class WordTexts:
 
     def __init__(self, path: str):
         tokenizer = library_tokenizer(path)
+        self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.pieces = PieceIds(
             lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         )
 
     def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
-        blanks = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
-        return self.pieces.of(pc.split_pattern(blanks, " "), {})
+        texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        # The tokenizer lowers letters itself and drops blanks; strings of added tokens stay whole.
+        lowered = pc.ascii_lower(texts)
+        apart = pc.replace_substring_regex(lowered, LETTER_END, r"\1 \2")
+        for token in self.added:
+            apart = pc.if_else(pc.match_substring(lowered, token.lower()), texts, apart)
+        return self.pieces.of(pc.split_pattern(apart, " "), {})
 
 
 def _word_texts(path: str) -> WordTexts:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import itertools
 import os
 from collections.abc import Callable, Iterator
 
@@ -98,28 +99,37 @@ class PieceIds:
     """Ids of pieces of text, kept from batch to batch.
 
     Arrow cuts a batch of texts into pieces and numbers the distinct ones; Python sees only
-    those, and encodes only those not kept. Ids of all kept pieces lie in one pool, from which
-    the ids of the whole batch are taken at once. When about ``limit`` bytes are held, all are
-    dropped before the next batch.
+    those, and encodes only those not kept. Ids of pieces lie in one pool, from which the ids of
+    the whole batch are taken at once. Many pieces are met once only, so one is kept when it is
+    met in a second batch (by a table of hashes; a collision keeps one early). When about
+    ``limit`` bytes are kept, all are dropped before the next batch.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], limit: int = 32_000_000):
+    MET = 1 << 22
+
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], limit: int = 96_000_000):
         self.encode_many, self.limit = encode_many, limit
         self._drop()
 
     def _drop(self) -> None:
         self.slots: dict[str, int] = {}
+        self.met = np.zeros(self.MET, dtype=bool)
         self.pool, self.used = np.empty(1 << 16, dtype="<u4"), 0
         # Where the ids of each slot begin; one more than there are slots.
-        self.begins, self.weight = [0], 0
-
-    def _add(self, ids: list[int]) -> int:
-        if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty(max(len(self.pool), len(ids)), dtype="<u4")])
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.begins.append(self.used)
-        return len(self.begins) - 2
+        self.begins, self.many, self.weight = np.zeros(1 << 14, dtype=np.int64), 0, 0
+
+    def _add(self, lists: list[list[int]]) -> np.ndarray:
+        """The slots of new ids."""
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        first, held = self.many, int(sizes.sum())
+        while self.used + held > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while first + len(lists) + 1 > len(self.begins):
+            self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+        self.pool[self.used : self.used + held] = np.fromiter(itertools.chain.from_iterable(lists), "<u4", held)
+        self.begins[first + 1 : first + 1 + len(lists)] = self.used + np.cumsum(sizes)
+        self.many, self.used = first + len(lists), self.used + held
+        return np.arange(first, self.many)
 
     def of(self, split: pa.ListArray, whole: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch and how many each text has.
@@ -131,22 +141,34 @@ class PieceIds:
             self._drop()
         coded = split.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
-        new = [name for name in names if name not in self.slots]
-        for name, ids in zip(new, self.encode_many(new)):
-            self.slots[name] = self._add(ids)
-            self.weight += 160 + 3 * len(name) + 4 * len(ids)
-        slot_of = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))
+        slot_of = np.fromiter(map(self.slots.get, names, itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(slot_of < 0)
+        places = np.fromiter((hash(names[i]) % self.MET for i in new), np.int64, len(new))
+        again = self.met[places]
+        self.met[places] = True
+        new = np.concatenate([new[again], new[~again]])  # those to keep come first in the pool
+        ids = self.encode_many([names[i] for i in new])
+        kept = int(again.sum())
+        slot_of[new[:kept]] = self._add(ids[:kept])
+        self.slots.update((names[i], int(slot_of[i])) for i in new[:kept])
+        self.weight += sum(170 + 4 * len(names[i]) + 4 * len(x) for i, x in zip(new[:kept], ids))
+        mark = self.many, self.used
+        slot_of[new[kept:]] = self._add(ids[kept:])
         slots = slot_of[coded.indices.to_numpy()]
         ends = np.cumsum(split.value_lengths().to_numpy())
-        for row, ids in whole.items():
-            slots[ends[row] - 1] = self._add(ids)
-            self.weight += 4 * len(ids)
-        begins = np.array(self.begins)
-        many = (begins[1:] - begins[:-1])[slots]
+        if whole:
+            slots[ends[list(whole)] - 1] = self._add(list(whole.values()))
+        many = (self.begins[1:] - self.begins[:-1])[slots]
         so_far = np.cumsum(many)
-        at = np.repeat(begins[slots] - so_far + many, many)
+        at = np.repeat(self.begins[slots] - so_far + many, many)
         at += np.arange(len(at))
-        return self.pool[at], np.diff(np.concatenate([[0], so_far])[np.concatenate([[0], ends])])
+        out = self.pool[at], np.diff(np.concatenate([[0], so_far])[np.concatenate([[0], ends])])
+        self.many, self.used = mark  # the others were for this batch
+        return out
+
+
+# An ASCII letter and the ASCII punctuation behind it: no match of a pre-tokenizer goes across.
+LETTER_END = r"([A-Za-z])([!-/:-@\[-`{-~])"
 
 
 def library_tokenizer(path: str):
@@ -168,7 +190,7 @@ def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
 
 
 def batches_of_bytes(
-    batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20, rows: int = 500
+    batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20, rows: int = 2000
 ) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``rows`` rows and ``most`` bytes of text (or of one row)."""
     for batch in batches_of(batches, rows):

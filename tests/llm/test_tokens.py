@@ -20,7 +20,7 @@ from tests.llm import corpus
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 PARTS = ["a", " ", " ", "\n", "\n", "\t", "é", "foo", "'s", "1", "23", "\xa0", "　", "<|endoftext|>",
-         "!", "?!", "\x1c", "́", "日本", "\U0001f600", "the", "\r", "aaaaaaaaaa", "\x00"]
+         "!", "?!", "\x1c", "́", "日本", "\U0001f600", "the", "\r", "aaaaaaaaaa", "\x00", "<|ENDOFTEXT|>", "Foo", "é,", "K,", "ſ.", "İ"]
 
 
 tokenizer_of = functools.lru_cache(library_tokenizer)
