@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,10 @@ from logfreight.functions import codecs, wire
 from logfreight.functions.sizes import field_size, group_wire_size
 from logfreight.model import MAX_REQUEST_BYTES, MAX_REQUEST_LOGS, PAIRS, PackOptions
 from logfreight.operators.validate import check_request_groups
+from logfreight.session import written_table
 
 METADATA = ["source", "hostname", "filename", "tags"]
+PACKAGE = ["package_id", "topic_id"]
 ORDER = ["arrival_ms", "seq", "position"]
 
 
@@ -128,7 +131,21 @@ def _checked_log(df: DataFrame) -> Column:
 def encode_packages(
     packed: DataFrame, compress_type: str = codecs.LZ4, opts: PackOptions = PackOptions()
 ) -> DataFrame:
-    """One payload per package: a request holding that one package, then compressed.
+    """One payload per package: a request holding that one package, then compressed."""
+    return _compressed(raw_packages(packed, opts), PACKAGE, compress_type)
+
+
+def encode_variants(
+    packed: DataFrame, compress_types: Sequence[str], opts: PackOptions = PackOptions()
+) -> DataFrame:
+    """The payloads of ``encode_packages`` in several codecs; packages are put together once."""
+    raw = written_table(raw_packages(packed, opts))
+    kinds = [_compressed(raw, PACKAGE, compress_type) for compress_type in compress_types]
+    return functools.reduce(DataFrame.unionByName, kinds)
+
+
+def raw_packages(packed: DataFrame, opts: PackOptions = PackOptions()) -> DataFrame:
+    """package_id, topic_id and ``_raw``, the request that holds the package, not compressed.
 
     Logs are encoded where they are and shuffled once, by package, as bytes.
     """
@@ -141,11 +158,9 @@ def encode_packages(
         F.expr(f"listagg(_log) WITHIN GROUP (ORDER BY {order})").alias("_logs"),
         *[F.first(name).alias(name) for name in METADATA],
     )
-    keys = ["package_id", "topic_id"]
     metadata = wire.metadata_hex("package_id")
-    groups = collected.selectExpr(*keys, f"concat(_logs, unhex({metadata})) AS _group")
-    raw = groups.selectExpr(*keys, f"{wire.request_of('_group')} AS _raw")
-    return _compressed(raw, keys, compress_type)
+    groups = collected.selectExpr(*PACKAGE, f"concat(_logs, unhex({metadata})) AS _group")
+    return groups.selectExpr(*PACKAGE, f"{wire.request_of('_group')} AS _raw")
 
 
 def encode_requests(requests: DataFrame, by: Sequence[str], compress_type: str = codecs.LZ4):

@@ -26,6 +26,9 @@ BAD_REQUEST_TEXT = "bad request"
 WRITE_QUOTA_TEXT = "write quota exceed"
 INTERNAL_ERROR_TEXT = "server internal error"
 UNKNOWN_ERROR_TEXT = "unknown error"
+# An object of an error code and, maybe, a message, both texts without escapes.
+_TEXT = r'"([^"\\\x00-\x1f]*)"'
+_PLAIN_BODY = rf'^ *\{{ *"errorcode" *: *{_TEXT} *(?:, *"errormessage" *: *{_TEXT} *)?\}} *$'
 
 
 def _codes(codes: Sequence[int]) -> str:
@@ -50,18 +53,21 @@ def parse_error_body(attempts: DataFrame, only: str = "true") -> DataFrame:
         found = f"coalesce(try_element_at({texts}, -1), '')"
         return f"CASE WHEN _null THEN '' WHEN _fields IS NULL THEN '{otherwise}' ELSE {found} END"
 
-    # Parsed in a projection of its own, or every use below would parse it again.
-    fields = f"from_json(CASE WHEN {only} THEN body END, 'map<string,variant>') AS _all"
+    # A plain object of these two texts is taken apart by its pattern; other objects are parsed,
+    # in a projection of their own, or every use below would parse them again.
+    simple = f"coalesce(({only}) AND body RLIKE r'{_PLAIN_BODY}', false) AS _simple"
+    fields = f"from_json(CASE WHEN ({only}) AND NOT _simple AND ltrim(body) LIKE '{{%' THEN body END, 'map<string,variant>') AS _all"
     texts_only = f"forall(map_entries(map_filter(_all, (k, v) -> {known})), e -> {is_text.replace('(v)', '(e.value)')})"
     return (
-        attempts.selectExpr("*", fields, f"coalesce(({only}) AND trim(body) = 'null', false) AS _null")
+        attempts.selectExpr("*", simple)
+        .selectExpr("*", fields, f"coalesce(({only}) AND trim(body) = 'null', false) AS _null")
         .selectExpr("*", f"CASE WHEN {texts_only} THEN _all END AS _fields")
         .selectExpr(
             "*",
-            f"{field('errorcode', BAD_REQUEST)} AS body_code",
-            f"{field('errormessage', BAD_REQUEST_TEXT)} AS body_message",
+            f"CASE WHEN _simple THEN regexp_extract(body, r'{_PLAIN_BODY}', 1) ELSE {field('errorcode', BAD_REQUEST)} END AS body_code",
+            f"CASE WHEN _simple THEN regexp_extract(body, r'{_PLAIN_BODY}', 2) ELSE {field('errormessage', BAD_REQUEST_TEXT)} END AS body_message",
         )
-        .drop("_fields", "_all", "_null")
+        .drop("_fields", "_all", "_null", "_simple")
     )
 
 

@@ -12,10 +12,11 @@ from logfreight.functions import codecs, ids, sizes
 from logfreight.model import ATTEMPTS, PAIRS, DeliveryOptions, PackOptions
 from logfreight.operators import assemble, contents, delivery, pack, send, validate
 from logfreight.plans import sample_tables as sample
-from logfreight.session import prepare, scratch
+from logfreight.session import prepare, scratch, written_table
 from logfreight.sources import logs as log_sources
 from logfreight.sources import outbox as outboxes
 from logfreight.sources import payloads
+from logfreight.sources.outbox_source import register_outbox
 from logfreight.streaming import carried, microbatch, retries, stateful
 
 HOUR_MS = 3_600_000
@@ -125,10 +126,23 @@ def _read_back(outbox, *more):
 @_query
 def encode_packages(spark, folder):
     packed = pack.pack_logs(sample.document_logs(spark, folder), DOCUMENT_PACKS)
-    kinds = [_read_back(assemble.encode_packages(packed, c, DOCUMENT_PACKS)) for c in codecs.CODECS]
+    encoded = written_table(assemble.encode_variants(packed, list(codecs.CODECS), DOCUMENT_PACKS))
+    kinds = [_read_back(encoded.filter(F.col("compress_type") == c)) for c in codecs.CODECS]
     return functools.reduce(DataFrame.unionByName, kinds)
 
 
+@_query
+def outbox_source(spark, folder):
+    """Written twice under one number through the data source, read back with a filter."""
+    where = scratch(spark)
+    register_outbox(spark)
+    encoded = written_table(_encoded(spark, folder, "deflate"))
+    for _ in range(2):
+        encoded.write.format("outbox").mode("append").option("batch", 7).save(where)
+    read = spark.read.format("outbox").load(where).filter("batch_id >= 7")
+    return _read_back(read, "batch_id")
+
+
 @_query
 def write_outbox(spark, folder):
     where = scratch(spark)
@@ -157,8 +171,7 @@ def deliver(spark, folder):
 @_query
 def payload_stats(spark, folder):
     packed = pack.pack_logs(sample.document_logs(spark, folder), DOCUMENT_PACKS)
-    kinds = [assemble.encode_packages(packed, c, DOCUMENT_PACKS) for c in ("zstd", "none")]
-    stats = assemble.payload_stats(kinds[0].unionByName(kinds[1]))
+    stats = assemble.payload_stats(assemble.encode_variants(packed, ["zstd", "none"], DOCUMENT_PACKS))
     smaller = (F.col("ratio") > 1.0).alias("smaller")
     return stats.select("topic_id", "compress_type", "packages", "raw_bytes", smaller)
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logfreight.functions.ids import name_in_id, package_id
 from logfreight.model import LOGS, PACKED, PackOptions
 from logfreight.operators.pack import SEQUENCE, assign_packages, attach, sized_logs
+from logfreight.session import written_table
 
 
 def _opener_id(opts: PackOptions, path: str) -> Column:
@@ -88,7 +89,7 @@ def pack_stream_carried(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        packed = _pack_with_carry(batch, batch_id, path, opts).select(*PACKED.fieldNames(), "is_open")
+        packed = _pack_with_carry(written_table(batch), batch_id, path, opts).select(*PACKED.fieldNames(), "is_open")
         target = f"{path}/batch_id={batch_id}"
         packed.write.mode("overwrite").partitionBy("is_open").parquet(target)
 
