@@ -226,6 +226,7 @@ ORACLES["encode_packages"] = document_packing(
 ORACLES["write_outbox"] = document_packing(
     _read_back.format(codec="'deflate'", more=", 7::BIGINT AS batch_id")
 )
+ORACLES["without_resent"] = ORACLES["read_payloads"]
 ORACLES["outbox_source"] = ORACLES["write_outbox"]
 SENT = f"""sent AS (
   SELECT {package_id("topic_id", "package_seq")} AS package_id, topic_id, {REQUEST_BYTES} AS raw_bytes,

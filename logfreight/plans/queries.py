@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logfreight.functions import codecs, ids, sizes
-from logfreight.model import ATTEMPTS, PAIRS, DeliveryOptions, PackOptions
+from logfreight.model import ATTEMPTS, OUTBOX, PAIRS, DeliveryOptions, PackOptions
 from logfreight.operators import assemble, contents, delivery, pack, send, validate
 from logfreight.plans import sample_tables as sample
 from logfreight.session import prepare, scratch, written_table
@@ -81,7 +81,10 @@ def read_payloads(spark, folder):
     where = scratch(spark)
     packed = pack.pack_logs(sample.document_logs(spark, folder), DOCUMENT_PACKS)
     outboxes.write_outbox(assemble.encode_packages(packed, "zstd", DOCUMENT_PACKS), where, 0)
-    logs = payloads.read_payloads(spark, where)
+    return _plain_logs(payloads.read_payloads(spark, where))
+
+
+def _plain_logs(logs):
     wide = contents.contents_wide(logs, ["text", "source"], "log_")
     return wide.select(
         F.col("time").alias("doc_id"),
@@ -93,6 +96,20 @@ def read_payloads(spark, folder):
     )
 
 
+@_query
+def without_resent(spark, folder):
+    """An outbox that was delivered twice, received as a stream: each log once."""
+    where = scratch(spark)
+    encoded = written_table(_encoded(spark, folder, "zstd"))
+    for delivery_no in range(2):
+        outboxes.write_outbox(encoded, f"{where}/in", delivery_no)
+    files = spark.readStream.schema(OUTBOX).option("maxFilesPerTrigger", 4)
+    received = files.parquet(f"{where}/in").withColumn("received_at", F.current_timestamp())
+    once = payloads.without_resent(received).withColumnRenamed("package_id", "payload_id")
+    _drain(once.select("payload_id", "compress_type", "payload"), where)
+    return _plain_logs(payloads.decode_payloads(spark.read.parquet(f"{where}/out")))
+
+
 @_query
 def contents_long(spark, folder):
     long = contents.contents_long(sample.event_logs(spark, folder))
