@@ -31,6 +31,11 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [name for name in df.columns if name.lower() not in added]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` has not: longer than any of its names."""
+    return name + "_" * max(map(len, df.columns), default=0)
+
+
 def as_rows(docs: DataFrame) -> DataFrame:
     """doc_id, text and ``row``, which holds all columns, so that inner names clash with none."""
     return docs.select(

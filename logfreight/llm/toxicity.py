@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logfreight.llm.sampling import bounded_sample
-from logfreight.llm.texts import batches_of, for_worker, held_out, without
+from logfreight.llm.texts import batches_of, for_worker, fresh, held_out, without
 from logfreight.session import written_table
 
 SAMPLE = 16_384
@@ -314,9 +314,9 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The columns of ``docs`` (which has text) with toxicity and toxic_passages added or replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rated = F.pandas_udf(_rater(shared), "toxicity double, toxic_passages int")
-    kept = without(docs, "toxicity", "toxic_passages", "_rated")
-    both = docs.withColumn("_rated", rated(F.col("text").cast("string")))
-    return both.select(*kept, F.col("_rated.toxicity"), F.col("_rated.toxic_passages"))
+    added, name = ("toxicity", "toxic_passages"), fresh(docs, "_rated")
+    both = docs.withColumn(name, rated(F.col("text").cast("string")))
+    return both.select(*without(docs, *added), *[F.col(f"{name}.{n}") for n in added])
 
 
 def _rater(shared):
