@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logfreight.llm import language, packing, probminhash, suffix_dedup, toxicity
-from logfreight.llm.texts import as_rows, documents
+from logfreight.llm.texts import as_rows, documents, fresh
 from logfreight.session import prepare, written_table
 
 
@@ -49,7 +49,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     def as_text(kept: pd.Series) -> pd.Series:
         return kept.map(lambda b: b.decode("utf-8", "ignore"))
 
-    name = "_removal" + "_" * max(map(len, docs.columns))  # longer than any name, so it clashes with none
+    name = fresh(docs, "_removal")
     told = suffix_dedup.without_repeats(docs, name=name).withColumn("text", as_text(F.col(f"{name}.kept")))
     if "n_chars" in docs.columns:
         told = told.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
