@@ -26,6 +26,8 @@ BAD_REQUEST_TEXT = "bad request"
 WRITE_QUOTA_TEXT = "write quota exceed"
 INTERNAL_ERROR_TEXT = "server internal error"
 UNKNOWN_ERROR_TEXT = "unknown error"
+# What is kept of the last attempt of a package.
+LAST = ["success", "error_code", "error_message", "request_id", "ts_ms"]
 # An object of an error code and, maybe, a message, both texts without escapes.
 _TEXT = r'"([^"\\\x00-\x1f]*)"'
 _PLAIN_BODY = rf'^ *\{{ *"errorcode" *: *{_TEXT} *(?:, *"errormessage" *: *{_TEXT} *)?\}} *$'
@@ -134,25 +136,49 @@ def delivery_result(
     ``state`` is success, failed (a terminal answer, or more failures than ``retries``)
     or retrying. With ``packages``, those without attempts are there as pending.
     """
+    return results_of(tallies(attempts), opts, packages)
+
+
+def tallies(attempts: DataFrame) -> DataFrame:
+    """Per package: its last attempt (``attempt_no`` and what it said), failures, terminal."""
     classified = classify_response(attempts)
-    last = F.struct("success", "error_code", "error_message", "request_id", "ts_ms")
-    results = classified.groupBy("package_id").agg(
-        F.max_by(last, "attempt_no").alias("_last"),
+    return classified.groupBy("package_id").agg(
+        F.max("attempt_no").alias("attempt_no"),
+        F.max_by(F.struct(*LAST), "attempt_no").alias("last"),
         F.count_if(~F.col("success")).alias("failures"),
-        F.max(F.col("outcome") == "terminal").alias("_terminal"),
+        F.max(F.col("outcome") == "terminal").alias("terminal"),
+    )
+
+
+def merge_tallies(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Tallies of all attempts from those of the passes before and those of a new one.
+
+    So a pass classifies and reads its own attempts only, however many there were before.
+    """
+    return known.unionByName(new).groupBy("package_id").agg(
+        F.max("attempt_no").alias("attempt_no"),
+        F.max_by("last", "attempt_no").alias("last"),
+        F.sum("failures").alias("failures"),
+        F.max("terminal").alias("terminal"),
     )
-    success = F.col("_last.success")
+
+
+def results_of(
+    tallied: DataFrame, opts: DeliveryOptions = DeliveryOptions(), packages: DataFrame | None = None
+) -> DataFrame:
+    """``delivery_result`` from tallies."""
+    success = F.col("last.success")
     state = (
         F.when(success, "success")
-        .when(F.col("_terminal") | (F.col("failures") > opts.retries), "failed")
+        .when(F.col("terminal") | (F.col("failures") > opts.retries), "failed")
         .otherwise("retrying")
     )
-    results = results.select(
+    results = tallied.select(
         "package_id",
         success.alias("successful"),
-        *[F.col(f"_last.{n}").alias(n) for n in ("error_code", "error_message", "request_id", "ts_ms")],
+        *[F.col(f"last.{n}").alias(n) for n in LAST[1:]],
         "failures",
-        F.col("_terminal").alias("terminal"),
+        "terminal",
         state.alias("state"),
     )
     if packages is None:

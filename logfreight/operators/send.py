@@ -28,7 +28,10 @@ from logfreight.operators.delivery import (
     NO_REQUEST_ID,
     NO_RESPONSE,
     delivery_result,
+    merge_tallies,
+    results_of,
     retry_wait,
+    tallies,
     unsent,
 )
 from logfreight.session import remove_folder, scratch, written_table
@@ -166,7 +169,14 @@ def due_packages(
 
     What is due is decided on ids, which are written once; payloads are joined to them. ``next_retry_ms`` is null for packages that were never tried.
     """
-    results = delivery_result(attempts, opts).select("package_id", "state", "failures", "ts_ms")
+    return due_by(outbox, delivery_result(attempts, opts), now_ms, closing, opts)
+
+
+def due_by(
+    outbox: DataFrame, results: DataFrame, now_ms: int, closing: bool = False, opts: DeliveryOptions = DeliveryOptions()
+) -> DataFrame:
+    """``due_packages`` from results."""
+    results = results.select("package_id", "state", "failures", "ts_ms")
     known = outbox.select("package_id").join(results, "package_id", "left")
     next_ms = F.col("ts_ms") + retry_wait(opts)
     again = F.col("state") == "retrying"
@@ -222,6 +232,34 @@ def retry_pass(
     return attempts.select(*sent.columns).unionByName(sent)
 
 
+def tallied_pass(
+    outbox: DataFrame,
+    send: Send | PerTask,
+    path: str,
+    tally_path: str,
+    pass_id: int,
+    now_ms: int,
+    closing: bool = False,
+    opts: DeliveryOptions = DeliveryOptions(),
+    clock: Callable[[], int] = _now_ms,
+) -> DataFrame:
+    """``retry_pass`` that reads no earlier attempts: results of all passes so far.
+
+    It reads the tallies that pass ``pass_id - 1`` left (none for pass 0), one row per package,
+    and leaves its own, so a pass costs its own attempts and the number of packages.
+    """
+    spark = outbox.sparkSession
+    if pass_id:
+        known = spark.read.parquet(f"{tally_path}/pass_id={pass_id - 1}")
+    else:
+        known = tallies(spark.createDataFrame([], ATTEMPTS))
+    due = due_by(outbox, results_of(known, opts), now_ms, closing, opts)
+    sent = deliver(due, send, path, pass_id, opts, clock)
+    target = f"{tally_path}/pass_id={pass_id}"
+    merge_tallies(known, tallies(sent)).write.mode("overwrite").parquet(target)
+    return results_of(spark.read.parquet(target), opts)
+
+
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
     """The attempts recorded by all passes under ``path``."""
     return spark.read.schema(ATTEMPTS).parquet(path)

@@ -337,6 +337,8 @@ SELECT p.package_id, coalesce(successful, false) AS successful,
        coalesce(state, 'pending') AS state
 FROM (SELECT event_id::VARCHAR AS package_id FROM events
       UNION ALL SELECT 'doc-' || doc_id FROM documents) p LEFT JOIN s USING (package_id)"""
+ORACLES["merge_tallies"] = f"""WITH {RESULTS}
+SELECT package_id, successful, error_code, error_message, request_id, ts_ms, failures, terminal, state FROM s"""
 ORACLES["check_request_groups"] = f"""WITH {DOCUMENTS}, {GROUPS}, b AS (
   SELECT *, oversize OR running > {MAX_REQUEST_BYTES} OR n_logs > {MAX_GROUP_LOGS + 1} AS bad FROM t),
 f AS (

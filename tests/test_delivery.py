@@ -268,3 +268,23 @@ def test_error_bodies(spark, body, code, message):
     frame = spark.createDataFrame([(body,)], "body string")
     row = d.parse_error_body(frame).first()
     assert (row.body_code, row.body_message) == (code, message)
+
+
+def test_passes_by_tallies_read_their_own_attempts(spark, tmp_path):
+    from logfreight.operators.send import tallied_pass
+
+    opts = DeliveryOptions(retries=2, workers=2)
+    box, clock, counts = outbox(spark), 0, []
+    for number in range(5):
+        now = clock
+        found = tallied_pass(
+            box, by_first_byte, f"{tmp_path}/a", f"{tmp_path}/t", number, now, opts=opts, clock=lambda: now
+        )
+        attempts = read_attempts(spark, f"{tmp_path}/a")
+        counts.append(attempts.count())
+        wanted = d.delivery_result(attempts, opts)
+        assert sorted(found.collect()) == sorted(wanted.collect())
+        clock += 100_000
+    assert counts == [6, 10, 14, 14, 14]
+    # What a pass starts from is one row per package, not one per attempt.
+    assert spark.read.parquet(f"{tmp_path}/t/pass_id=4").count() == 6
