@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from logfreight.llm.rolling import BASE, _powers, gram_hashes, mixed, window_minima
 from logfreight.llm.suffixes import repeats_of_earlier
-from logfreight.llm.texts import as_rows, batches_of, for_worker
+from logfreight.llm.texts import as_rows, batches_of, for_worker, without
 from logfreight.session import written_table
 
 LENGTH, GRAM = 50, 20
@@ -445,7 +445,7 @@ def _covered(data: np.ndarray, doc_id: int, known: _Lookup, spans: _Lookup) -> n
 
 
 def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = HOT, name: str = "_removal") -> DataFrame:
-    """The columns of ``docs`` and ``name``: n_bytes, n_removed, n_spans, kept (bytes).
+    """The columns of ``docs`` and ``name`` (added or replaced): n_bytes, n_removed, n_spans, kept (bytes).
 
     ``task_bytes`` is how much text a task gets (about), ``hot`` how many contexts of an anchor
     in one task make it one to spread.
@@ -479,4 +479,5 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
 
     grouped = _grouped(held, groups)
     done = grouped.groupBy("_grp").cogroup(told.groupBy("_grp")).applyInArrow(run, schema)
-    return done.select("row.*", F.col("_removal").alias(name))
+    kept = [F.col(f"row.`{column}`") for column in without(docs, name)]
+    return done.select(*kept, F.col("_removal").alias(name))

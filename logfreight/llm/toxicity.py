@@ -214,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, folds: int =
         constant = totals.get(1, 0) / known if known else 0.0
         return ToxicityModel(whole[: 1 << WORD_BITS], np.zeros(1 << PREFIX_BITS), 0.0, (1.0, 1.0), constant=constant)
     # For each setting a model per inner fold, from the documents of the other folds.
-    others = [whole - table for table in tables]
+    others = [_counts_of(whole - table) for table in tables]
     models = [[_model_of(table, setting) for table in others] for setting in SETTINGS]
     tops = _over(sample, models, lambda model, n, found: max((s for *_, s in found), default=0.0))
     clean = [row for row in tops if not row["toxic"]]
@@ -229,19 +229,24 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, folds: int =
     curves = [_logistic(x[:, at], y, weight) for at in range(len(SETTINGS))]
     losses = [_loss(curve, x[:, at], y, weight) for at, curve in enumerate(curves)]
     best = int(np.argmin(losses))
-    model = _model_of(whole, SETTINGS[best])
+    model = _model_of(_counts_of(whole), SETTINGS[best])
     model.scale, model.curve = models[best][0].scale, curves[best]
     return model
 
 
-def _model_of(table: np.ndarray, setting: tuple[float, float, float]) -> ToxicityModel:
-    """The scores that counts (slots of words, then of prefixes; toxic and clean) give."""
+def _counts_of(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of word slots and of prefix slots (toxic, clean); models of one fold share them."""
+    return table[: 1 << WORD_BITS].astype(np.float32), table[1 << WORD_BITS :]
+
+
+def _model_of(counts: tuple[np.ndarray, np.ndarray], setting: tuple[float, float, float]) -> ToxicityModel:
+    """The scores that counts give under a setting."""
     drift, word_prior, prefix_prior = setting
-    word_counts, prefix_counts = table[: 1 << WORD_BITS], table[1 << WORD_BITS :]
-    tokens = np.maximum(word_counts.sum(axis=0), 1.0)
+    word_counts, prefix_counts = counts
+    tokens = np.maximum(word_counts.sum(axis=0, dtype=float), 1.0)
     share = tokens[0] / tokens.sum()
     prefix_share = (prefix_counts[:, 0] + prefix_prior * share) / (prefix_counts.sum(axis=1) + prefix_prior)
-    model = ToxicityModel(word_counts, prefix_share, share, (tokens[0], tokens[1]), drift, word_prior)
+    model = ToxicityModel(word_counts, prefix_share.astype(np.float32), share, (tokens[0], tokens[1]), drift, word_prior)
     # Clean tokens by slot: scores of words that fall into it, with the corpus prior.
     rough = np.log((word_counts[:, 0] + word_prior * share) / tokens[0])
     rough -= np.log((word_counts[:, 1] + word_prior * (1 - share)) / tokens[1])
@@ -272,7 +277,9 @@ def _over(sample: DataFrame, models: list[list[ToxicityModel]], value) -> list[d
             columns = [batch.column(1), batch.column(2), pa.array(many, pa.int64()), pa.array(told, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["toxic", "inner", "n", "x"])
 
-    return sample.mapInArrow(run, "toxic int, inner int, n bigint, x array<double>").toArrow().to_pylist()
+    found = sample.mapInArrow(run, "toxic int, inner int, n bigint, x array<double>").toArrow().to_pylist()
+    shared.destroy()
+    return found
 
 
 def _loss(curve: tuple[float, float], x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
