@@ -10,7 +10,8 @@ documents. Passages with an E-value of at most ``PASSAGE_E`` are significant; a
 evidence is the E-value of its significant passages taken together, turned into a probability by a logistic
 curve on the labelled sample, weighted to the true share of labels. Drift and priors are chosen
 from ``SETTINGS`` by cross-validation inside the sample: K, the curve and the loss come from
-documents told by counts of the other inner folds, over all their significant passages.
+about ``FITS`` documents of each class, told by counts of the other inner folds, over all their
+significant passages.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents of each class.
 Word and prefix counts are held by hash in tables of a fixed size. A document with several
@@ -44,6 +45,7 @@ WORD_BITS, PREFIX_BITS, PREFIX = 18, 16, 4
 # (drift, word prior, prefix prior): the one that tells unseen training documents best is taken.
 SETTINGS = ((2.0, 10.0, 20.0), (1.0, 10.0, 20.0), (2.0, 2.0, 5.0), (1.0, 2.0, 5.0))
 INNER_FOLDS = 4
+FITS = 2048
 PASSAGE_E = 0.05
 FOLDS = 5
 _WORD = re.compile(r"\w+")
@@ -216,13 +218,17 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, folds: int =
     # For each setting a model per inner fold, from the documents of the other folds.
     others = [_counts_of(whole - table) for table in tables]
     models = [[_model_of(table, setting) for table in others] for setting in SETTINGS]
-    tops = _over(sample, models, lambda model, n, found: max((s for *_, s in found), default=0.0))
+    # Fitting scores each document under every setting, so it takes about ``FITS`` of each class.
+    shares = [min(1.0, FITS / n) for n in seen]
+    part = F.pmod(F.xxhash64(F.lit("fits"), "text"), F.lit(1_000_000))
+    fits = written_table(sample.filter(part < F.when(F.col("toxic") == 1, shares[0] * 1e6).otherwise(shares[1] * 1e6)))
+    tops = _over(fits, models, lambda model, n, found: max((s for *_, s in found), default=0.0))
     clean = [row for row in tops if not row["toxic"]]
     for at, group in enumerate(models):
         chances = [max(r["n"], 1) * math.exp(-min(group[r["inner"]].decay * r["x"][at], 700.0)) for r in clean]
         for model in group:
             model.scale = float(1.0 / max(np.mean(chances), 1e-12))
-    weighed = _over(sample, models, evidence)
+    weighed = _over(fits, models, evidence)
     x = np.array([r["x"] for r in weighed])
     y = np.array([float(r["toxic"]) for r in weighed])
     weight = np.where(y > 0, totals[1] / y.sum(), totals[0] / max((1 - y).sum(), 1)) * len(y) / known
