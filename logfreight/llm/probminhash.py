@@ -7,12 +7,18 @@ slot keeps its earliest run. Arrivals are made in rounds, and a run stops as soo
 arrival comes after the latest of the slots' earliest times: nothing it does later can count.
 Two documents agree in a slot with the probability Jaccard similarity of their weights.
 
-``BANDS`` bands of slots give buckets; at similarity 0.8 a pair shares one with probability
-above 0.9997. Within a bucket all members are compared with one of them, and what that links
-becomes components. Only members of different components in the same bucket are then compared
-with each other, those outside the bucket's largest component with all others, if half of
-their slots agree (which a pair at 0.8 misses once in 10^8). So a bucket of near copies
-costs one comparison a member, and no link between different texts is lost.
+``BANDS`` bands of seven slots give buckets; at similarity 0.8 a pair shares one with probability
+0.9998, at 0.5 with 0.25. Within a bucket all members are compared with one of them, and what
+that links becomes components. Then come ``ROUNDS`` rounds: in each bucket that holds several
+components, members outside the largest one are compared with one member of it and with one
+from outside it, by a hash that changes with the round. What is still apart after that is
+compared with all other components of the bucket, if ``AGREE`` slots agree (which a pair at 0.8
+misses once in 10^5) and if a bound allows it: runs that occur in
+one component only cannot be common to members of two, so with n runs, r of them in several
+components, two such documents have a Jaccard index of at most m / (n + n' - m), m the lesser r;
+and the probability Jaccard is at most the share of weight of these runs in either. So a bucket of near copies costs a few comparisons a
+member, variants that are all a little too far from each other cost next to none, and no link
+between different texts is lost.
 
 Verification is exact: a pair is linked if its probability Jaccard, or the Jaccard index of
 the plain sets (so that repeated lines hide no copy), is ``THRESHOLD`` or more. Texts with a
@@ -39,9 +45,10 @@ from logfreight.llm.texts import as_rows, batches_of, for_worker
 from logfreight.session import written_table
 
 WORDS = 5
-SIZE, BANDS = 64, 16
+SIZE, BANDS = 252, 36
 THRESHOLD = 0.8
-AGREE = SIZE // 2
+AGREE = 172
+ROUNDS = 2
 
 
 class WordHashes(dict):
@@ -67,7 +74,7 @@ def shingles(text: str | None, words: int = WORDS) -> tuple[np.ndarray, np.ndarr
 
 
 def weights_of(counts: np.ndarray) -> np.ndarray:
-    return 1.0 + np.log(counts)
+    return 1.0 + np.log(counts, dtype=float)
 
 
 def prob_min_hash(elements: np.ndarray, weights: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -82,12 +89,10 @@ def prob_min_hash(elements: np.ndarray, weights: np.ndarray, size: int = SIZE) -
         slots = (mixed(draws ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(size)).astype(np.int64).ravel()
         gaps = -np.log1p(-((draws >> np.uint64(11)).astype(float) * 2.0**-53)) / rates[:, None]
         times = clock[:, None] + np.cumsum(gaps, axis=1)
-        flat, made = times.ravel(), np.repeat(active, many)
-        order = np.lexsort((made, flat))
-        found, at = np.unique(slots[order], return_index=True)
-        earlier = flat[order][at] < first[found]
-        first[found[earlier]] = flat[order][at][earlier]
-        owner[found[earlier]] = made[order][at][earlier]
+        flat, before = times.ravel(), first.copy()
+        np.minimum.at(first, slots, flat)
+        won = np.flatnonzero((flat == first[slots]) & (flat < before[slots]))[::-1]
+        owner[slots[won]] = active[won // many]
         clock, turn = times[:, -1], turn + many
         going = clock < first.max()
         active, rates, clock = active[going], rates[going], clock[going]
@@ -138,12 +143,12 @@ def _nodes(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, node, slots (32 bits of each), plain slots and bands; nulls for texts without words.
+    """doc_id, node, slots (8 bits of each), plain slots and bands; nulls for texts without words.
 
     A text with a repeated run has a second sketch with all weights 1, its plain slots, and the
     bands of both; of other texts the two are the same and plain is null.
     """
-    short = lambda owner: (owner & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+    short = lambda owner: (owner & np.uint64(0xFF)).astype(np.uint8).view(np.int8)
 
     def sketch(text: str | None) -> tuple | None:
         hashes, counts = shingles(text)
@@ -165,22 +170,19 @@ def sketches(docs: DataFrame) -> DataFrame:
                 kept.append(node if seen[node] else None)
             slots, plain, bands = zip(*made) if made else ((), (), ())
             columns = [
-                batch.column(0), pa.array(kept, type=pa.binary()), pa.array(slots, type=pa.list_(pa.int32())),
-                pa.array(plain, type=pa.list_(pa.int32())), pa.array(bands, type=pa.list_(pa.int64())),
+                batch.column(0), pa.array(kept, type=pa.binary()), pa.array(slots, type=pa.list_(pa.int8())),
+                pa.array(plain, type=pa.list_(pa.int8())), pa.array(bands, type=pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "slots", "plain", "bands"])
 
-    return _nodes(docs).mapInArrow(run, "doc_id bigint, node binary, slots array<int>, plain array<int>, bands array<bigint>")
+    return _nodes(docs).mapInArrow(run, "doc_id bigint, node binary, slots array<tinyint>, plain array<tinyint>, bands array<bigint>")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Those pairs (a, b) of nodes that are near copies.
+def _hashed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and blob, hashes of 32 bits with counts, of the nodes in ``wanted`` (node, doc_id).
 
-    Only the texts of nodes in pairs are fetched, each from the row of its least doc_id, and
-    become hashes of 32 bits with counts; these are joined to both ends of the pairs.
+    Only their texts are read on, each from the row of its least doc_id.
     """
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = asked.join(reps, "node").select("node", "doc_id")
     rows, w = _nodes(docs).alias("r"), wanted.alias("w")
     same = (F.col("r.node") == F.col("w.node")) & F.col("r.doc_id").eqNullSafe(F.col("w.doc_id"))
     texts = rows.join(w, same, "left_semi")
@@ -196,13 +198,53 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
                 blobs.append(bytes([1 if small else 4]) + low.tobytes() + total.astype("<u1" if small else "<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, type=pa.binary())], names=["node", "blob"])
 
-    hashed = texts.select("node", "text").mapInArrow(hash_all, "node binary, blob binary").dropDuplicates(["node"])
-    hashed = written_table(hashed)
+    return texts.select("node", "text").mapInArrow(hash_all, "node binary, blob binary").dropDuplicates(["node"])
 
-    def parsed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-        wide = blob[0]
-        n = (len(blob) - 1) // (4 + wide)
-        return np.frombuffer(blob, "<u4", n, 1), np.frombuffer(blob, f"<u{wide}", n, 1 + 4 * n)
+
+def parsed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of 32 bits and counts."""
+    wide = blob[0]
+    n = (len(blob) - 1) // (4 + wide)
+    return np.frombuffer(blob, "<u4", n, 1), np.frombuffer(blob, f"<u{wide}", n, 1 + 4 * n)
+
+
+def _bounds(hashed: DataFrame, of: DataFrame) -> DataFrame:
+    """node, n, r (runs that other components have too), share (of weight) and even.
+
+    ``of`` has node and c, its component. Rows are (run, node); the components of a run are
+    told by the least and the greatest, combined below the shuffle.
+    """
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, 200):
+            for node, blob, c in zip(*(column.to_pylist() for column in batch.columns)):
+                hashes, counts = parsed(blob)
+                same = pa.array(np.zeros(len(hashes), np.int32))
+                ends = [pa.array([value], type=pa.binary()).take(same) for value in (node, c)]
+                columns = [pa.array(hashes.view(np.int32)), ends[0], pa.array(weights_of(counts)), ends[1]]
+                yield pa.RecordBatch.from_arrays(columns, names=["run", "node", "weight", "c"])
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, 1000):
+            counts = [parsed(blob)[1] for blob in batch.column(1).to_pylist()]
+            columns = [
+                batch.column(0), pa.array([len(c) for c in counts], type=pa.int64()),
+                pa.array([weights_of(c).sum() for c in counts], type=pa.float64()),
+                pa.array([int(c.max(initial=1)) == 1 for c in counts], type=pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "total", "even"])
+
+    table = hashed.join(of, "node").select("node", "blob", "c")
+    each = written_table(table.mapInArrow(runs, "run int, node binary, weight double, c binary"))
+    inside = each.groupBy("run").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least = most").select("run")
+    alone = each.join(inside, "run", "left_semi").groupBy("node").agg(F.count("*").alias("alone"), F.sum("weight").alias("lost"))
+    sums = table.select("node", "blob").mapInArrow(totals, "node binary, n bigint, total double, even boolean")
+    r, share = F.expr("n - coalesce(alone, 0)"), F.expr("1 - coalesce(lost, 0) / total")
+    return sums.join(alone, "node", "left").select("node", "n", r.alias("r"), share.alias("share"), "even")
+
+
+def verified(pairs: DataFrame, hashed: DataFrame) -> DataFrame:
+    """Those pairs (a, b) of nodes that are near copies, by their hashes."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, 1000):
@@ -215,19 +257,56 @@ def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("a", "b", "blob_a", "blob_b").mapInArrow(verify, "a binary, b binary")
 
 
-def _across(members: DataFrame, labels: DataFrame, slots: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of one bucket but different components that were not compared and agree enough."""
+def _agree(x: str, y: str) -> str:
+    """Whether enough of the slots of two documents (columns such as xs, xp and ys, yp) agree."""
+    test = "aggregate(zip_with({}, {}, (p, q) -> if(p = q, 1, 0)), 0, (s, t) -> s + t) >= {}".format
+    return f"{test(f'{x}s', f'{y}s', AGREE)} OR {test(f'coalesce({x}p, {x}s)', f'coalesce({y}p, {y}s)', AGREE)}"
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, node, component c and main of the buckets with members of several components.
+
+    ``main`` is the bucket's largest component; nodes without links are components of their own.
+    """
     labelled = members.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("c"))
     sizes = labelled.groupBy("band", "c").agg(F.count("*").alias("n"))
-    buckets = sizes.groupBy("band").agg(F.max_by("c", "n").alias("main"), F.count("*").alias("kinds")).filter("kinds > 1")
-    mixed_rows = written_table(labelled.join(buckets.select("band", "main"), "band").join(slots, "node"))
-    left = mixed_rows.filter("c <> main").select("band", F.col("node").alias("x"), F.col("c").alias("xc"), F.col("slots").alias("xs"), F.col("plain").alias("xp"))
-    right = mixed_rows.select("band", F.col("node").alias("y"), F.col("c").alias("yc"), "main", F.col("slots").alias("ys"), F.col("plain").alias("yp"))
-    agree = "aggregate(zip_with({}, {}, (p, q) -> if(p = q, 1, 0)), 0, (s, t) -> s + t) >= {}".format
-    either = f"{agree('xs', 'ys', AGREE)} OR {agree('coalesce(xp, xs)', 'coalesce(yp, ys)', AGREE)}"
-    met = left.join(right, "band").filter("xc <> yc AND (yc = main OR x < y)").filter(either)
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    buckets = sizes.groupBy("band").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("kinds"))
+    return labelled.join(buckets.filter("kinds > 1").select("band", "main"), "band")
+
+
+LEAST = THRESHOLD - 1e-6
+# What one document's own runs allow, and what those of two allow.
+ALLOWED_ALONE = f"r >= {LEAST} * n OR (NOT even AND share >= {LEAST})"
+ALLOWED = f"least(xr, yr) >= {LEAST} * (xn + yn - least(xr, yr)) OR NOT (xe AND ye)"
+
+
+def _pivots(rows: DataFrame, slots: DataFrame, turn: int) -> DataFrame:
+    """Pairs of members outside a bucket's main component with one inside and one outside it."""
+    order = F.xxhash64("node", F.lit(turn))
+    chosen = rows.groupBy("band", (F.col("c") == F.col("main")).alias("inside")).agg(F.min_by(F.struct("node", "c"), order).alias("p"))
+    met = rows.filter("c <> main").join(chosen.select("band", "p"), "band").filter("c <> p.c")
+    pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+    for end in ("a", "b"):
+        sides = slots.select(F.col("node").alias(end), F.col("slots").alias(f"{end}s"), F.col("plain").alias(f"{end}p"))
+        pairs = pairs.join(sides, end)
+    return pairs.filter(_agree("a", "b")).select("a", "b")
+
+
+def _across(rows: DataFrame, slots: DataFrame, hashed: DataFrame) -> DataFrame:
+    """Pairs of one bucket but different components that may be near copies by bounds and slots."""
+    bounds = _bounds(hashed, rows.select("node", "c").distinct()).filter(ALLOWED_ALONE)
+    full = written_table(rows.join(slots.join(bounds, "node"), "node"))
+    kept = {"node": "", "c": "c", "slots": "s", "plain": "p", "n": "n", "r": "r", "even": "e"}
+    side = lambda table, name: table.select("band", "main", *[F.col(c).alias(name + short) for c, short in kept.items()])
+    met = side(full.filter("c <> main"), "x").join(side(full, "y").drop("main"), "band")
+    met = met.filter("xc <> yc AND (yc = main OR x < y)").filter(ALLOWED).filter(_agree("x", "y"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Components after further links."""
+    stars = labels.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return written_table(components(stars.union(found)))
 
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -238,18 +317,18 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bands = named.select("node", F.explode("bands").alias("band")).groupBy("band", "node").agg(F.lit(1).alias("one"))
     leaders = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     members = written_table(bands.select("band", "node").join(leaders.select("band", "leader"), "band"))
+    met = members.select("node").distinct()
+    hashed = written_table(_hashed(docs, met.join(reps, "node")))
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    pairs = written_table(stars.distinct())
-    edges = written_table(verified(docs, pairs, reps))
-    labels = written_table(components(edges))
-    shared = named.join(members.select("node").distinct(), "node", "left_semi")
-    slots = shared.select("node", "slots", "plain").dropDuplicates(["node"])
-    more = written_table(_across(members.select("band", "node"), labels, slots, pairs))
-    if more.limit(1).count():
-        found = written_table(verified(docs, more, reps))
+    labels = written_table(components(written_table(verified(stars.distinct(), hashed))))
+    slots = named.join(met, "node", "left_semi").select("node", "slots", "plain").dropDuplicates(["node"])
+    rows = written_table(_mixed(members.select("band", "node"), labels))
+    for turn in range(ROUNDS + 1):
+        found = written_table(verified(_pivots(rows, slots, turn) if turn < ROUNDS else _across(rows, slots, hashed), hashed))
         if found.limit(1).count():
-            stars = labels.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-            labels = written_table(components(stars.union(found)))
+            labels = _joined(labels, found)
+            if turn < ROUNDS:
+                rows = written_table(_mixed(rows.select("band", "node"), labels))
     joined = reps.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     first = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "node")
     least = joined.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min_by("node", first).alias("main"))
