@@ -111,6 +111,24 @@ def test_waits_equal_the_schedule(spark):
     assert processor._wait(4000) == 50_000
 
 
+def test_packages_of_a_slot_keep_their_own_times(spark, tmp_path):
+    stream = Stream(spark, tmp_path, slots=1)
+    rows, _ = stream.give(stream.known("a", "b", "c", "d"))
+    assert [r.package_id for r in rows] == ["a", "b", "c", "d"]
+    told = [attempt(p, 1, code, ts) for p, code, ts in (("a", 500, 1000), ("b", 429, 1020), ("c", 500, 1060), ("d", 200, 1060))]
+    _, new = stream.give(stream.answers(*told))
+    assert new == 0
+    rows, new = stream.give(retries.clock_rows(spark, 1130))
+    assert new == 2 and [(r.package_id, r.next_retry_ms) for r in rows if r.attempt_no == 2] == [("a", 1100), ("b", 1120)]
+    state = spark.read.format("statestore").option("stateVarName", "told").load(f"{tmp_path}/state")
+    assert state.count() == 4 and state.select("key").distinct().count() == 1
+    # An earlier time replaces the timer of the slot; a later one of another package stays.
+    rows, new = stream.give(stream.answers(attempt("a", 2, 500, 940)), retries.clock_rows(spark, 1145))
+    assert new == 1 and [(r.attempt_no, r.next_retry_ms) for r in rows if r.package_id == "a"][-1] == (3, 1140)
+    rows, new = stream.give(retries.clock_rows(spark, 1161))
+    assert new == 1 and [r.next_retry_ms for r in rows if r.package_id == "c"] == [0, 1160]
+
+
 def by_first_byte(topic_id, payload, compress_type):
     if payload[0] == 5:
         raise ConnectionError("unreachable")
