@@ -20,10 +20,14 @@ def log_size(contents: str = "contents") -> str:
     return f"coalesce({total}, {LOG_OVERHEAD}L)"
 
 
-def varint_size(number: str) -> str:
-    """Bytes a number takes in base 128; negative numbers take ten."""
-    widths = " ".join(f"WHEN {number} < {1 << 7 * w}L THEN {w}L" for w in range(1, 9))
-    return f"(CASE WHEN {number} < 0 THEN 10L {widths} ELSE 9L END)"
+def varint_size(number: str, bits: int = 63) -> str:
+    """Bytes a number takes in base 128; negative numbers take ten.
+
+    ``bits`` is how many a number may have: 63 for a bigint, up to 126 for a decimal.
+    """
+    most = -(-bits // 7)
+    widths = " ".join(f"WHEN {number} < {1 << 7 * w}{'L' if w < 9 else ''} THEN {w}L" for w in range(1, most))
+    return f"(CASE WHEN {number} < 0 THEN 10L {widths} ELSE {most}L END)"
 
 
 def field_size(length: str) -> str:

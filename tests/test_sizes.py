@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from logfreight.functions import sizes, wire
 from logfreight.model import LOG, PAIRS
+from logfreight.plans.queries import QUERIES
 
 VARINTS = {
     0: 1,
@@ -47,6 +48,14 @@ def test_varint_size(spark):
         assert all(b > 127 for b in data[:-1]) and data[-1] < 128
 
 
+def test_varint_size_beyond_63_bits(spark, tmp_path):
+    events = [4, 3_036_000, 3_100_000, 6_000_000, 36_000_000, 36_000_001]
+    spark.createDataFrame([(i,) for i in events], "event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    got = dict(QUERIES["varint_size"](spark, str(tmp_path)).collect())
+    assert got == {i: 10 if i % 2 else -(-(i * i * 1000003).bit_length() // 7) for i in events}
+    assert (got[3_036_000], got[6_000_000], got[36_000_000]) == (9, 10, 11)
+
+
 @pytest.fixture(scope="module")
 def logs(spark):
     return spark.createDataFrame(LOG_ROWS, LOG)
