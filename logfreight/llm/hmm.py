@@ -8,9 +8,10 @@ its class over the whole corpus; what is left is that of any unknown word. So th
 probability to every text, the counts it needs grow with the corpus, and only tables of a fixed
 size (head, classes, states) are sent to tasks. Counts of rarer words are joined.
 
-Training starts from a few iterations over a sample of ``start_docs`` documents (chosen by a
-hash of their id), which only decides where the search begins; ``passes`` iterations over every
-training document follow. Each task sends the expected counts of its own documents. Training
+Training begins with every document in a state by chance, and every iteration (``start_passes``
+and ``passes``, one after the other) reads all training documents: their symbols are written once
+as a table. Training ends earlier where an iteration gains less than ``tolerance`` of the log
+likelihood. Each task sends the expected counts of its own documents. Training
 cuts sequences after ``longest`` tokens and lets the next piece begin from the mean state;
 scoring never cuts: its scaled forward recursion runs over the whole text.
 
@@ -42,10 +43,11 @@ class HmmOptions:
     states: int = 8
     head: int = 65_536
     classes: int = 1024
+    # Without effect: no iteration reads a sample.
     start_docs: int = 1024
-    start_share: float = 1 / 32
     start_passes: int = 8
     passes: int = 2
+    tolerance: float = 0.01
     prior: float = 500.0
     longest: int = 2048
     chunk_tokens: int = 2_000_000
@@ -191,37 +193,39 @@ def expected_counts(hmm: Hmm, sequences: list[np.ndarray], first: np.ndarray) ->
     order, flat, begins, reach = _sorted(sequences)
     steps, states = len(reach), len(hmm.start)
     ends = np.concatenate([[0], np.cumsum(reach)])
-    kept = np.empty((len(flat), states), np.float32)
-    scales = np.empty(len(flat))
-    symbols = np.empty(len(flat), np.int64)
-    state = np.where(first[order][:, None], hmm.start, hmm.middle)
+    # Symbols in the order of steps, and how likely each is in each state.
+    step = np.repeat(np.arange(steps), reach)
+    symbols = flat[begins[np.arange(len(flat)) - ends[step]] + step]
+    weights = hmm.emit.astype(np.float32)[symbols]
+    move = hmm.move.astype(np.float32)
+    kept = np.empty_like(weights)
+    scales = np.empty(len(flat), np.float32)
+    state = np.where(first[order][:, None], hmm.start, hmm.middle).astype(np.float32)
     for t, n in enumerate(reach):
         now = slice(ends[t], ends[t + 1])
-        symbols[now] = flat[begins[:n] + t]
-        state = state if t == 0 else state[:n] @ hmm.move
-        state = state * hmm.emit[symbols[now]]
+        state = state if t == 0 else state[:n] @ move
+        state = np.multiply(state, weights[now], out=kept[now])
         scales[now] = scale = state.sum(axis=1)
         state /= scale[:, None]
-        kept[now] = state
+    weights /= scales[:, None]
     moves = np.zeros((states, states))
-    after = np.ones((reach[-1], states))
+    after = np.ones((reach[-1], states), np.float32)
     for t in range(steps - 1, -1, -1):
-        now = slice(ends[t], ends[t + 1])
-        alpha = kept[now].astype(float)
+        alpha = kept[ends[t] : ends[t + 1]]
         if t + 1 < steps:
-            coming = slice(ends[t + 1], ends[t + 2])
-            inward = hmm.emit[symbols[coming]] * after / scales[coming, None]
+            inward = weights[ends[t + 1] : ends[t + 2]]
+            inward *= after
             moves += alpha[: reach[t + 1]].T @ inward
-            after = np.ones((reach[t], states))
-            after[: reach[t + 1]] = inward @ hmm.move.T
-        kept[now] = alpha * after
+            after = np.ones((reach[t], states), np.float32)
+            after[: reach[t + 1]] = inward @ move.T
+        alpha *= after
     moves *= hmm.move
     opening = kept[: reach[0]].astype(float)
     begin = opening[first[order]].sum(axis=0)
     emitted = np.stack(
         [np.bincount(symbols, kept[:, s], minlength=len(hmm.emit)) for s in range(states)], axis=1
     )
-    return begin, moves, emitted, np.log10(scales).sum()
+    return begin, moves, emitted, np.log10(scales, dtype=float).sum()
 
 
 def maximised(alphabet: Alphabet, begin, moves, emitted, options: HmmOptions) -> Hmm:
@@ -244,16 +248,37 @@ def _cut(symbols: np.ndarray, longest: int) -> list[np.ndarray]:
     return [symbols[i : i + longest] for i in range(0, len(symbols), longest)]
 
 
-def baum_welch(texts: DataFrame, alphabet, hmm: Hmm | None, options: HmmOptions) -> tuple[Hmm, float]:
-    """One iteration over all ``texts``; without a model, every document gets a state by chance."""
-    shared = texts.sparkSession.sparkContext.broadcast((alphabet, hmm))
+def symbols_of(texts: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """The symbols of every text, with the end, as little-endian 32-bit numbers: a table."""
+    shared = texts.sparkSession.sparkContext.broadcast(alphabet)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols, end = Symbols(shared.value), shared.value.symbols - 1
+        for batch in batches_of(batches, 500):
+            out = []
+            for text in batch.column(0).to_pylist():
+                words = words_of(text)
+                known = np.empty(len(words) + 1, "<i4")
+                known[:-1] = np.fromiter(map(symbols.__getitem__, words), "<i4", len(words))
+                known[-1] = end
+                out.append(known.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["symbols"])
+
+    told = written_table(texts.select(F.col("text").cast("string")).mapInArrow(run, "symbols binary"))
+    shared.unpersist()
+    return told
+
+
+def baum_welch(told: DataFrame, alphabet, hmm: Hmm | None, options: HmmOptions) -> tuple[Hmm, float]:
+    """One iteration over all of ``symbols_of``; without a model, every document gets a state by chance."""
+    many = alphabet.symbols
+    shared = told.sparkSession.sparkContext.broadcast(hmm)
     names = [f"s{i}" for i in range(options.states)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alphabet, hmm = shared.value
-        symbols, end = Symbols(alphabet), alphabet.symbols - 1
+        hmm = shared.value
         begin, moves = np.zeros(options.states), np.zeros((options.states, options.states))
-        emitted, log_likelihood = np.zeros((alphabet.symbols, options.states)), 0.0
+        emitted, log_likelihood = np.zeros((many, options.states)), 0.0
         chunk: list[np.ndarray] = []
         first: list[bool] = []
 
@@ -267,13 +292,11 @@ def baum_welch(texts: DataFrame, alphabet, hmm: Hmm | None, options: HmmOptions)
 
         held = 0
         for batch in batches_of(batches, 500):
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                known = np.fromiter(map(symbols.__getitem__, words), np.int64, len(words))
-                known = np.append(known, end)
+            for symbols in batch.column(0).to_pylist():
+                known = np.frombuffer(symbols, "<i4")
                 if hmm is None:
-                    state = zlib.crc32(b" ".join(words[:50])) % options.states
-                    emitted[:, state] += np.bincount(known, minlength=alphabet.symbols)
+                    state = zlib.crc32(symbols[:200]) % options.states
+                    np.add.at(emitted[:, state], known, 1.0)
                     begin[state] += 1
                     moves[state, state] += len(known) - 1
                     continue
@@ -296,7 +319,7 @@ def baum_welch(texts: DataFrame, alphabet, hmm: Hmm | None, options: HmmOptions)
         )
 
     schema = "k bigint, " + ", ".join(f"{n} double" for n in names)
-    counted = texts.select(F.col("text").cast("string")).mapInArrow(count, schema)
+    counted = told.mapInArrow(count, schema)
     rows = counted.groupBy("k").agg(*[F.sum(n).alias(n) for n in names]).collect()  # one per symbol
     shared.unpersist()
     keys = np.array([r["k"] for r in rows], dtype=np.int64)
@@ -324,14 +347,15 @@ def train(docs: DataFrame, options: HmmOptions = HmmOptions()) -> LanguageModel:
     counts = written_table(word_counts(kept))
     documents = kept.count()
     alphabet, rest = alphabet_of(counts, documents, options)
-    share = min(1.0, max(options.start_docs / max(documents, 1), options.start_share))
-    bits = F.conv(F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 8), 16, 10).cast("bigint")
-    sample = written_table(kept.filter(bits < int(share * 2**32)))
-    hmm, _ = baum_welch(sample, alphabet, None, options)
+    told = symbols_of(kept, alphabet)
+    hmm, _ = baum_welch(told, alphabet, None, options)
     likelihoods = []
-    for i in range(options.start_passes + options.passes):
-        hmm, likelihood = baum_welch(sample if i < options.start_passes else kept, alphabet, hmm, options)
+    for _ in range(options.start_passes + options.passes):
+        hmm, likelihood = baum_welch(told, alphabet, hmm, options)
         likelihoods.append(likelihood)
+        gained = likelihood - likelihoods[-2] if len(likelihoods) > options.passes else math.inf
+        if gained < options.tolerance * abs(likelihood):
+            break
     return LanguageModel(alphabet, hmm, rest, likelihoods)
 
 

@@ -200,6 +200,15 @@ def test_language_model_query(spark, tmp_path):
     assert sorted((repr(r["doc_id"]), round(r["score"], 5)) for r in got) == sorted(expected)
 
 
+def test_every_iteration_of_training_reads_all_documents(spark):
+    rows = [(i, f"text number {'abcdefghij'[i % 10] * 3} of many {'klmnop'[i % 6] * 4} " * (1 + i % 5), "en") for i in range(300)]
+    options = hmm.HmmOptions(states=2, head=20, classes=4, start_docs=8, start_passes=2, passes=2, tolerance=0)
+    told = hmm.train(corpus.frame(spark, rows), options).likelihoods
+    assert len(told) == 4 and told == sorted(told)
+    kept = [r for r in rows if remainder(r[0], 7) != 2]
+    assert told[0] < -0.3 * sum(len(hmm.words_of(text)) for _, text, _ in kept)
+
+
 def test_language_model_beats_its_base_on_held_out_texts(spark, folder):
     rows = [r for r in QUERIES["op9_hmm"](spark, folder).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
