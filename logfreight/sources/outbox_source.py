@@ -44,7 +44,7 @@ from logfreight.model import OUTBOX
 FORMAT = "outbox"
 BATCHES = "_batches"
 # Payload bytes that a task holds before it writes the largest topic out.
-HELD_BYTES = 64 << 20
+HELD_BYTES = 16 << 20
 SCHEMA = T.StructType([*OUTBOX.fields, T.StructField("batch_id", T.LongType())])
 _STORED = pa.schema(
     [

@@ -1,5 +1,6 @@
 """Log rows from tables, contents, validation and the outbox."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,8 @@ from logfreight.operators import assemble, validate
 from logfreight.operators.contents import contents_long, contents_wide
 from logfreight.sources.logs import logs_from_columns, logs_from_map, with_defaults
 from logfreight.sources.outbox import read_outbox, write_outbox
+from logfreight.sources import payloads
+from logfreight.session import prepare
 
 
 def test_columns_become_pairs_in_order(spark):
@@ -161,3 +164,32 @@ def test_assembled_requests_are_bounded(spark):
     )
     assert [(r.r, [g.g for g in r.groups]) for r in requests.collect()] == [(0, [0, 1, 2])]
     assert [(r.r, r.first_bad) for r in rejected.collect()] == [(1, 11)]
+
+
+def _field(tag, body):
+    size, n = b"", len(body)
+    while n > 127:
+        size, n = size + bytes([n & 127 | 128]), n >> 7
+    return bytes([tag]) + size + bytes([n]) + body
+
+
+def test_decoded_batches_are_bounded_by_bytes():
+    pair = _field(0x0A, b"k") + _field(0x12, b"v" * 200_000)
+    body = _field(0x0A, _field(0x0A, b"\x08\x05" + _field(0x12, pair)))
+    columns = [pa.array([str(i) for i in range(60)]), pa.array(["none"] * 60), pa.array([body] * 60, pa.binary())]
+    given = pa.RecordBatch.from_arrays(columns, names=["payload_id", "compress_type", "payload"])
+    batches = list(payloads._decode(iter([given])))
+    assert sum(b.num_rows for b in batches) == 60 and all(b["_corrupt"].null_count == b.num_rows for b in batches)
+    assert max(b.nbytes for b in batches) < 5 << 20
+
+
+def test_large_rows_reach_python_in_bounded_batches(spark):
+    prepare(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    rows = spark.range(0, 1600, 1, 1).selectExpr("CAST(repeat('x', 20000) AS binary) AS payload")
+    told = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(told) >= 32_000_000 and max(told) < 10 << 20
