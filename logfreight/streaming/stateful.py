@@ -317,7 +317,8 @@ def pack_stream(
     wire = f"{field_size('_wire')} AS logs_wire_bytes"
     if time_mode == EVENT_TIME:
         sized = _with_ticks(sized.selectExpr(*narrow, "pairs", "size_bytes", wire, "event_ts"))
-        sized = sized.withWatermark("event_ts", f"{delay_ms} milliseconds")
+        # Ticks have done their part once the watermark has seen them.
+        sized = sized.withWatermark("event_ts", f"{delay_ms} milliseconds").filter("event_ts IS NULL")
     else:
         sized = sized.selectExpr(*narrow, "pairs", "size_bytes", wire)
     packed = sized.groupBy("producer", "topic_id").transformWithStateInPandas(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from logfreight.model import LOGS, PackOptions
 from logfreight.operators.pack import pack_logs
-from logfreight.plans.sample_tables import event_logs
+from logfreight.plans.sample_tables import as_event_logs, event_logs, table
 from logfreight.streaming import carried, microbatch, stateful
 
 OPTS = PackOptions(max_bytes=200, cap_bytes=230, max_logs=6, linger_ms=10_800_000)
@@ -189,3 +189,12 @@ def test_processing_time_closes_by_the_clock(spark, folder, tmp_path):
     assert out.count() == 100 and out.select("seq").distinct().count() == 100
     reasons = {r.close_reason for r in out.select("close_reason").distinct().collect()}
     assert "linger" in reasons and "flush" not in reasons
+
+
+def test_ticks_end_behind_the_watermark(spark, folder):
+    """They move the watermark and are neither shuffled nor handed to Python."""
+    events = spark.readStream.schema(table(spark, folder, "events").schema).parquet(f"{folder}/event[s].parquet")
+    packed = stateful.pack_stream(as_event_logs(events))
+    plan = packed._jdf.queryExecution().analyzed().toString()
+    lines = [line for line in plan.splitlines() if "Filter isnull(event_ts" in line or "EventTimeWatermark" in line]
+    assert "Filter isnull(event_ts" in lines[0] and "EventTimeWatermark" in lines[1]
