@@ -16,9 +16,16 @@ compared with all other components of the bucket, if ``AGREE`` slots agree (whic
 misses once in 10^5) and if a bound allows it: runs that occur in
 one component only cannot be common to members of two, so with n runs, r of them in several
 components, two such documents have a Jaccard index of at most m / (n + n' - m), m the lesser r;
-and the probability Jaccard is at most the share of weight of these runs in either. So a bucket of near copies costs a few comparisons a
-member, variants that are all a little too far from each other cost next to none, and no link
-between different texts is lost.
+and the probability Jaccard is at most the share of weight of these runs in either. A second bound
+tells pairs apart that have most such runs in common: ``odd_classes`` deals the runs of a document into
+``CLASSES`` classes and keeps a bit per class, whether it has an odd number. A class whose bits differ
+holds a run of one document only, so the bits that differ are at most the runs that only one has: at
+a Jaccard index of t at most (n + n') (1 - t) / (1 + t). At a probability Jaccard of t the shares of
+weight a and b that only one has fulfil a + b <= 2 (1 - t) / (1 + t) (below), and a run weighs 1 or
+more, so they are at most the greater of both weights times that. So a bucket of near copies costs a few comparisons a
+member, variants that are all a little too far from each other are told by their bits inside the
+join (which still looks at each two of them in a bucket), and no link between different texts is
+lost. Beyond some 4,000 runs a document the bits tell little, and the slots have to.
 
 Verification is exact: a pair is linked if its probability Jaccard, or the Jaccard index of
 the plain sets (so that repeated lines hide no copy), is ``THRESHOLD`` or more. Texts with a
@@ -49,6 +56,7 @@ SIZE, BANDS = 252, 36
 THRESHOLD = 0.8
 AGREE = 172
 ROUNDS = 2
+CLASSES = 2048
 
 
 class WordHashes(dict):
@@ -208,8 +216,14 @@ def parsed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(blob, "<u4", n, 1), np.frombuffer(blob, f"<u{wide}", n, 1 + 4 * n)
 
 
+def odd_classes(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each class of hashes, whether an odd number of them is in it, as 64-bit integers."""
+    many = np.bincount((hashes % CLASSES).astype(np.int64), minlength=CLASSES)
+    return np.packbits((many & 1).astype(bool)).view(np.int64)
+
+
 def _bounds(hashed: DataFrame, of: DataFrame) -> DataFrame:
-    """node, n, r (runs that other components have too), share (of weight) and even.
+    """node, n, total (weight), r (runs that other components have too), share (of weight), even and odd.
 
     ``of`` has node and c, its component. Rows are (run, node); the components of a run are
     told by the least and the greatest, combined below the shuffle.
@@ -226,21 +240,22 @@ def _bounds(hashed: DataFrame, of: DataFrame) -> DataFrame:
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, 1000):
-            counts = [parsed(blob)[1] for blob in batch.column(1).to_pylist()]
+            hashes, counts = zip(*map(parsed, batch.column(1).to_pylist())) if batch.num_rows else ((), ())
             columns = [
                 batch.column(0), pa.array([len(c) for c in counts], type=pa.int64()),
                 pa.array([weights_of(c).sum() for c in counts], type=pa.float64()),
                 pa.array([int(c.max(initial=1)) == 1 for c in counts], type=pa.bool_()),
+                pa.array([odd_classes(h) for h in hashes], type=pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "total", "even"])
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "total", "even", "odd"])
 
     table = hashed.join(of, "node").select("node", "blob", "c")
     each = written_table(table.mapInArrow(runs, "run int, node binary, weight double, c binary"))
     inside = each.groupBy("run").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least = most").select("run")
     alone = each.join(inside, "run", "left_semi").groupBy("node").agg(F.count("*").alias("alone"), F.sum("weight").alias("lost"))
-    sums = table.select("node", "blob").mapInArrow(totals, "node binary, n bigint, total double, even boolean")
+    sums = table.select("node", "blob").mapInArrow(totals, "node binary, n bigint, total double, even boolean, odd array<bigint>")
     r, share = F.expr("n - coalesce(alone, 0)"), F.expr("1 - coalesce(lost, 0) / total")
-    return sums.join(alone, "node", "left").select("node", "n", r.alias("r"), share.alias("share"), "even")
+    return sums.join(alone, "node", "left").select("node", "n", "total", r.alias("r"), share.alias("share"), "even", "odd")
 
 
 def verified(pairs: DataFrame, hashed: DataFrame) -> DataFrame:
@@ -276,8 +291,13 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 LEAST = THRESHOLD - 1e-6
 # What one document's own runs allow, and what those of two allow.
-ALLOWED_ALONE = f"r >= {LEAST} * n OR (NOT even AND share >= {LEAST})"
-ALLOWED = f"least(xr, yr) >= {LEAST} * (xn + yn - least(xr, yr)) OR NOT (xe AND ye)"
+ALLOWED_ALONE = f"r >= {LEAST}D * n OR (NOT even AND share >= {LEAST}D)"
+ALLOWED = f"least(xr, yr) >= {LEAST}D * (xn + yn - least(xr, yr)) OR NOT (xe AND ye)"
+# What the runs that only one of them has allow. Probability Jaccard: a common run's term is at most
+# 1 / (u / x + v / y), u the mean of x's weight and of that x has alone, v the same of y. That is concave, so
+# their sum is at most that of the sums of x and y, 2 / ((1 + a) / (1 - a) + (1 + b) / (1 - b)).
+APART = "aggregate(zip_with(xo, yo, (p, q) -> bit_count(p ^ q)), 0, (s, t) -> s + t)"
+ALLOWED_APART = f"{APART} <= {(1 - LEAST) / (1 + LEAST)}D * if(xe AND ye, xn + yn, 2 * greatest(xw, yw))"
 
 
 def _pivots(rows: DataFrame, slots: DataFrame, turn: int) -> DataFrame:
@@ -293,13 +313,13 @@ def _pivots(rows: DataFrame, slots: DataFrame, turn: int) -> DataFrame:
 
 
 def _across(rows: DataFrame, slots: DataFrame, hashed: DataFrame) -> DataFrame:
-    """Pairs of one bucket but different components that may be near copies by bounds and slots."""
+    """Pairs of one bucket but different components that may be near copies by both bounds and slots."""
     bounds = _bounds(hashed, rows.select("node", "c").distinct()).filter(ALLOWED_ALONE)
     full = written_table(rows.join(slots.join(bounds, "node"), "node"))
-    kept = {"node": "", "c": "c", "slots": "s", "plain": "p", "n": "n", "r": "r", "even": "e"}
+    kept = {"node": "", "c": "c", "slots": "s", "plain": "p", "n": "n", "total": "w", "r": "r", "even": "e", "odd": "o"}
     side = lambda table, name: table.select("band", "main", *[F.col(c).alias(name + short) for c, short in kept.items()])
     met = side(full.filter("c <> main"), "x").join(side(full, "y").drop("main"), "band")
-    met = met.filter("xc <> yc AND (yc = main OR x < y)").filter(ALLOWED).filter(_agree("x", "y"))
+    met = met.filter("xc <> yc AND (yc = main OR x < y)").filter(ALLOWED).filter(ALLOWED_APART).filter(_agree("x", "y"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

@@ -118,6 +118,51 @@ def test_sketches_of_few_elements_fill_all_slots():
         assert set(owner.tolist()) <= set(range(1, n + 1))
 
 
+def test_odd_classes_bound_what_only_one_document_has():
+    dice = np.random.default_rng(8)
+    for _ in range(300):
+        base = np.unique(dice.integers(0, 2**32, dice.integers(1, 6000)).astype(np.uint32))
+        a, b = (np.unique(base[dice.random(len(base)) < dice.uniform(0.5, 1)]) for _ in range(2))
+        bits = [np.unpackbits(probminhash.odd_classes(h).view(np.uint8)) for h in (a, b)]
+        apart = int((bits[0] != bits[1]).sum())
+        assert apart <= len(np.setxor1d(a, b)) and len(bits[0]) == probminhash.CLASSES
+        if len(a) and len(b):
+            most = int(dice.choice([2, 3, 1000]))
+            wa, wb = (probminhash.weights_of(np.where(dice.random(len(h)) < 0.2, dice.integers(1, most, len(h)), 1)) for h in (a, b))
+            alike = probminhash.probability_jaccard(a, wa, b, wb)
+            shares = wa[~np.isin(a, b)].sum() / wa.sum() + wb[~np.isin(b, a)].sum() / wb.sum()
+            assert apart <= shares * max(wa.sum(), wb.sum()) + 1e-9
+            assert shares <= 2 * (1 - alike) / (1 + alike) + 1e-9
+
+
+def variants_of_one_text(n, often):
+    """n texts with some words of one text changed, some near copies of each other, most a little too far."""
+    dice = random.Random(12)
+    word = lambda: "".join(dice.choices("abcdefgh", k=6))
+    base, line, rows = [word() for _ in range(150)], [word() for _ in range(6)], []
+    for i in range(n):
+        words = list(base)
+        for place in dice.sample(range(150), 3):
+            words[place] = word()
+        rows.append((i, " ".join(words + line * often), "en"))
+    return rows
+
+
+@pytest.mark.parametrize("often", [0, 3])
+def test_variants_a_little_too_far_leave_few_pairs_to_verify(spark, monkeypatch, often):
+    rows, left, across = variants_of_one_text(150, often), [], probminhash._across
+
+    def counted(*tables):
+        left.append(across(*tables).count())
+        return across(*tables)
+
+    monkeypatch.setattr(probminhash, "_across", counted)
+    found = probminhash.near_duplicates(corpus.frame(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in found) == Counter((i, c) for (i, _, _), (c, _) in zip(rows, brute_classes(rows)))
+    assert len({r["class_id"] for r in found}) > len(rows) / 2
+    assert left[0] < len(rows)
+
+
 def test_components_of_a_long_path(spark):
     edges = [(bytes([i // 256, i % 256]), bytes([(i + 1) // 256, (i + 1) % 256])) for i in range(300) if i != 150]
     found = components.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
