@@ -42,7 +42,7 @@ def _byte_level(path: str) -> ByteLevelTexts:
         def encode_many(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-        return ByteLevelTexts(encode_many, added)
+        return ByteLevelTexts(encode_many, added, vocabulary=tokenizer.get_vocab(with_added_tokens=False))
 
     return for_worker(("token_files", path), make)
 

@@ -81,6 +81,38 @@ def test_kept_pieces_are_dropped_and_met_again():
         assert texts.ids(pa.array([], pa.string()))[0].tolist() == []
 
 
+def test_pieces_encoded_many_in_one_string():
+    from logfreight.llm.bytelevel import ByteLevelTexts, JoinedPieces
+
+    library, strings = library_tokenizer(BYTES), []
+
+    def encode_many(many):
+        strings.extend(many)
+        return [e.ids for e in library.encode_batch_fast(many, add_special_tokens=False)]
+
+    vocabulary = library.get_vocab(with_added_tokens=False)
+    joined = JoinedPieces(encode_many, vocabulary, ["<|endoftext|>"])
+    dice, odd = random.Random(6), [c for c in map(chr, range(0x3100)) if c.isspace()]
+    ends = [*PARTS, *odd, "", "x", "'", "'s", "12", "\x00"]
+    pieces = [dice.choice(["", " ", "\n", " ", "\n"]) + dice.choice(ends) + dice.choice(ends) for _ in range(30_000)]
+    pieces = [p for p in pieces if "<|endoftext|>" not in p]
+    ids, many = joined(pieces)
+    want = [e.ids for e in library.encode_batch_fast(pieces, add_special_tokens=False)]
+    assert many.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert len(strings) < len(pieces)
+    assert [x.tolist() for x in joined([])] == [[], []]
+
+    del strings[:]
+    text = " ".join(f"word{i} of a text" for i in range(5000))
+    for words in (vocabulary, {**vocabulary, "a": 50_000}):  # the second has lengths that do not fit
+        ids, many = ByteLevelTexts(encode_many, ["<|endoftext|>"], vocabulary=words).ids(pa.array([text, None]))
+        assert ids.tolist() == ids_of(BYTES, text) and many.tolist() == [len(ids), 0]
+        if words is vocabulary:
+            assert len(strings) < 50  # 5,003 pieces
+    wrong = JoinedPieces(encode_many, {t: i for i, t in enumerate(["ab", "c"])}, [])
+    assert wrong([" one", " two"])[0].tolist() == ids_of(BYTES, " one two")
+
+
 def test_batches_by_bytes_lose_nothing():
     table = pa.table({"n": list(range(30)), "t": [None, "", "abc" * 9] * 10}).to_batches(max_chunksize=11)
     for most in (1, 20, 60, 10_000):
