@@ -1,7 +1,7 @@
 """Longest previous factors over many short byte strings, by a suffix array.
 
-Suffixes are ordered by their first ``length`` bytes through ranks of doubling width (8, 16, 32
-bytes, then the whole). In that order the previous and the next suffix of a smaller owner are
+Suffixes are ordered by their first ``length`` bytes through ranks of doubling width (4, 8, 16,
+32 bytes, then the whole). In that order the previous and the next suffix of a smaller owner are
 where a suffix has its longest match with an earlier owner; the lesser of the common prefixes
 on the way tells its length, which reaches ``length`` where both lie in one run of equal ranks.
 """
@@ -33,21 +33,32 @@ def next_smaller(values: np.ndarray, runs: np.ndarray) -> np.ndarray:
     return np.where(back >= 0, len(values) - 1 - back, -1)
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    return np.unique(keys, return_inverse=True)[1].astype(np.int64)
+def _ranks(keys: np.ndarray, below: int) -> np.ndarray:
+    """Dense ranks of integers ``below`` a bound; key and place are sorted as one integer if they fit."""
+    bits = len(keys).bit_length()
+    if below << bits > 1 << 64:
+        return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+    packed = (keys << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    packed >>= np.uint64(bits)
+    rank = np.zeros(len(keys), np.uint64)
+    rank[order[1:]] = np.cumsum(packed[1:] != packed[:-1])
+    return rank
 
 
 def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Rank of the ``length`` (32 to 64) bytes at each start; equal strings, equal ranks."""
     pad = np.concatenate([data, np.zeros(64, np.uint8)]).astype(np.uint64)
     word, width = pad, 1
-    while width < 8:
+    while width < 4:
         word = (word[:-width] << np.uint64(8 * width)) | word[width:]
         width *= 2
-    rank = _ranks(word)
-    for width in (8, 16):
-        rank = _ranks(rank[:-width] * np.int64(len(rank) + 1) + rank[width:])
-    return _ranks(rank[starts] * np.int64(len(rank) + 1) + rank[starts + length - 32])
+    rank = _ranks(word, 1 << 32)
+    pair = lambda first, second: _ranks(first * np.uint64(len(rank) + 1) + second, (len(rank) + 1) ** 2)
+    for width in (4, 8, 16):
+        rank = pair(rank[:-width], rank[width:])
+    return pair(rank[starts], rank[starts + length - 32])
 
 
 def repeats_of_earlier(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int) -> np.ndarray:

@@ -3,9 +3,11 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logfreight.llm import components, probminhash, rolling, suffix_dedup, suffixes, winnowing
@@ -256,6 +258,53 @@ def test_a_common_line_gives_a_task_one_piece_of_each_group(spark):
     assert got == brute_removal(rows)
 
 
+def test_anchors_of_a_lot_are_those_of_each_text():
+    dice = np.random.default_rng(21)
+    texts = [dice.integers(97, 97 + span, n).astype(np.uint8) for span, n in zip([1, 2, 26, 26, 3] * 8, dice.integers(50, 400, 40))]
+    edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    which, at, h1, h2, begin, end, left, right = suffix_dedup.anchors_of(np.concatenate(texts), edges)
+    for i, text in enumerate(texts):
+        own = which == i
+        got = at[own] - edges[i], h1[own], h2[own], begin[own] - edges[i], end[own] - edges[i]
+        for a, b in zip(got, suffix_dedup.anchors(text)):
+            assert a.tolist() == b.tolist()
+        assert (left[own] > 0).tolist() == (got[0] >= suffix_dedup.SIDE).tolist()
+        assert (right[own] > 0).tolist() == (got[0] + suffix_dedup.GRAM + suffix_dedup.SIDE <= len(text)).tolist()
+
+
+def test_repeats_are_found_without_ranking_strings_that_one_owner_has(monkeypatch):
+    dice, ranked = np.random.default_rng(22), []
+    pieces = np.zeros(300, suffix_dedup.PIECE)
+    pieces["bytes"] = dice.integers(97, 123, (300, suffix_dedup.WIDTH))
+    pieces["doc"], pieces["key"], pieces["size"] = np.arange(300), 7, suffix_dedup.WIDTH
+    pieces["bytes"][200, 10:65] = pieces["bytes"][100, 5:60]
+    found = suffix_dedup.repeats_of_earlier
+    monkeypatch.setattr(suffix_dedup, "repeats_of_earlier", lambda data, *rest: ranked.append(len(data)) or found(data, *rest))
+    spans = suffix_dedup.covered_spans(pieces)
+    assert spans[["doc", "lo", "hi"]].tolist() == [(200, 10, 65)]
+    assert ranked == [2 * suffix_dedup.WIDTH]
+
+
+def test_a_flush_of_anchors_and_a_batch_of_texts_take_little_memory():
+    dice = np.random.default_rng(23)
+    entries = np.zeros(suffix_dedup.FLUSH, suffix_dedup.ENTRY)
+    entries["h1"] = dice.integers(0, 1 << 63, len(entries))
+    none = suffix_dedup._Lookup(entries[:0])
+    table = pa.table({"doc_id": np.arange(1000), "text": [chr(97 + i % 26) * 4000 for i in range(1000)]})
+    tracemalloc.start()
+    try:
+        most = max(b.nbytes for b in suffix_dedup._batches(suffix_dedup._sent(entries, 40, 40, 500), "to"))
+        sent = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        made = suffix_dedup._removed(table.to_batches()[0], none, none)
+        removed = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most <= 2 * suffix_dedup.BLOB_BYTES and sent <= 60 << 20
+    assert removed <= 24 << 20
+    assert made.field("kept").to_pylist() == [t.encode() for t in table["text"].to_pylist()]
+
+
 def test_nearest_smaller_values():
     dice = np.random.default_rng(1)
     for _ in range(100):
