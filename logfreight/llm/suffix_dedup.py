@@ -25,6 +25,9 @@ of documents sends a string for its least doc_id only, the others are covered; s
 passage or phrase gives a task as many pieces as there are groups, not as many as documents.
 Work is dealt out in ranges of about ``RANGE_BYTES``.
 
+Anchors, facts and spans travel packed. What steps 2 and 3 find is written as tables, after which
+their shuffle files go; the texts are in one shuffle at a time.
+
 Texts are judged as UTF-8 bytes of the input. Null text is empty. Rows of the same doc_id do not
 cover each other; rows with a null doc_id keep all and cover none. Every row gives one row.
 """
@@ -45,7 +48,7 @@ from pyspark.sql import types as T
 from logfreight.llm.rolling import BASE, _powers, mixed, window_minima
 from logfreight.llm.suffixes import repeats_of_earlier
 from logfreight.llm.texts import as_rows, for_worker, give_back, without
-from logfreight.session import written_table
+from logfreight.session import shuffles_freed, written_table
 
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM
@@ -157,12 +160,35 @@ def _group_column(groups: int) -> Column:
     return F.coalesce(hashed, F.lit(0)).cast("int")
 
 
-def _dealt(entries: np.ndarray, to: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def _packed(entries: np.ndarray) -> bytes:
+    """Entries by columns of bytes, compressed; of a column in ascending order, the differences."""
+    entries, ascending = entries.copy(), []
+    for name in ("h1", "doc"):
+        own = entries[name].copy()
+        ascending.append(bool((own[1:] >= own[:-1]).all()))
+        if ascending[-1]:
+            entries[name][1:] = own[1:] - own[:-1]
+    columns = np.ascontiguousarray(entries.view(np.uint8).reshape(len(entries), -1).T)
+    return np.array([len(entries), *ascending], "<u4").tobytes() + pa.compress(columns, "zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, kind: np.dtype) -> np.ndarray:
+    many, *ascending = np.frombuffer(blob, "<u4", 3).tolist()
+    columns = pa.decompress(memoryview(blob)[12:], many * kind.itemsize, "zstd")
+    entries = np.frombuffer(columns, np.uint8).reshape(-1, many).T.copy().view(kind).ravel()
+    for name, differences in zip(("h1", "doc"), ascending):
+        if differences:
+            entries[name] = np.cumsum(entries[name], dtype=entries[name].dtype)
+    return entries
+
+
+def _dealt(entries: np.ndarray, to: np.ndarray, pack: bool = True) -> Iterator[tuple[int, bytes]]:
     order = _order(to.astype(np.uint64) << np.uint64(32))
     to = to[order]
     edges = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else [0]
     for a, b in zip(edges, edges[1:]):
-        yield int(to[a]), entries[order[a:b]].tobytes()
+        own = entries[order[a:b]]
+        yield int(to[a]), _packed(own) if pack else own.tobytes()
 
 
 def _batches(rows: Iterable[tuple[int, bytes]], key: str, what: int | None = None) -> Iterator[pa.RecordBatch]:
@@ -218,13 +244,26 @@ def _least_first(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entries, begins
 
 
+def _named(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """One integer for a context, enough to find it in its text."""
+    return mixed(h1 + h2.astype(np.uint64) * BASE)
+
+
+def _facts(covered: np.ndarray) -> np.ndarray:
+    """Covered contexts by doc, each under one integer, without what is not asked of them any more."""
+    covered = covered[np.argsort(covered["doc"], kind="stable")]
+    covered["h1"], covered["kind"] = _named(covered["h1"], covered["h2"]), COVERED
+    for name in ("h2", "left", "right"):
+        covered[name] = 0
+    return covered
+
+
 def _sent(entries: np.ndarray, ranges: int, groups: int, many: int) -> Iterator[tuple[int, bytes]]:
     """What a task sends on of its anchors: the first of each context, marks, covered ones."""
     entries, begins = _least_first(entries)
     owner = np.maximum.accumulate(np.where(begins, np.arange(len(entries)), 0))
     later = entries["doc"] > entries["doc"][owner]
-    covered = entries[later].copy()
-    covered["kind"] = COVERED
+    covered = _facts(entries[later])
     first = entries[begins].copy()
     fresh = np.ones(len(first), bool)
     fresh[1:] = first["h1"][1:] != first["h1"][:-1]
@@ -233,8 +272,7 @@ def _sent(entries: np.ndarray, ranges: int, groups: int, many: int) -> Iterator[
     first["kind"][hot] = SPREAD
     marks = first[hot & fresh].copy()
     marks["kind"] = MARK
-    spread = mixed(first["h1"] + first["h2"].astype(np.uint64) * BASE)
-    to = np.where(hot, spread, first["h1"]) % np.uint64(ranges)
+    to = np.where(hot, _named(first["h1"], first["h2"]), first["h1"]) % np.uint64(ranges)
     yield from _dealt(first, to.astype(np.int32))
     yield from _dealt(marks, (marks["h1"] % np.uint64(ranges)).astype(np.int32))
     yield from _dealt(covered, ranges + group_of(covered["doc"], groups))
@@ -326,7 +364,7 @@ def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFra
                 if to >= ranges:
                     yield _blobs([(to - ranges, blob)], "_grp", FACT)
                 else:
-                    parts.append(np.frombuffer(blob, ENTRY))
+                    parts.append(_unpacked(blob, ENTRY))
         if not parts:
             return
         entries = np.concatenate(parts)
@@ -342,9 +380,11 @@ def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFra
         # All contexts of an anchor go the same way, else they would not meet in step 3.
         each = everywhere | np.isin(first["h1"], first["h1"][many > 4 * hot])
         first["kind"] = np.where(each, LOOK_EACH, LOOK)
-        covered = entries[later]
-        covered["kind"] = COVERED
-        for what, out in ((FACT, covered), (QUESTION, first[everywhere | look])):
+        covered = _facts(entries[later])
+        first = first[everywhere | look]
+        first = first[np.argsort(first["doc"], kind="stable")]
+        first["left"] = first["right"] = 0
+        for what, out in ((FACT, covered), (QUESTION, first)):
             yield from _batches(_dealt(out, group_of(out["doc"], groups)), "_grp", what)
 
     # Groups' own rows go past the ranges, to as many tasks.
@@ -353,8 +393,7 @@ def judged(sent: DataFrame, ranges: int, groups: int, hot: int = HOT) -> DataFra
 
 
 def _known(table: pa.Table, kind: np.dtype) -> np.ndarray:
-    blobs = [b.as_py() for b in table["blob"]] if table.num_rows else []
-    return np.frombuffer(b"".join(blobs), kind)
+    return np.concatenate([np.empty(0, kind), *(_unpacked(b.as_py(), kind) for b in table["blob"])])
 
 
 class _Lookup:
@@ -420,7 +459,7 @@ def contexts(docs: DataFrame, known: DataFrame, ranges: int, groups: int) -> Dat
         made.clear()
         pieces, spans = _least_strings(pieces)
         sent = itertools.chain(
-            _dealt(pieces, (pieces["key"] % np.uint64(ranges)).astype(np.int32)),
+            _dealt(pieces, (pieces["key"] % np.uint64(ranges)).astype(np.int32), pack=False),
             _dealt(spans, ranges + group_of(spans["doc"], groups)),
         )
         return pa.Table.from_batches([*_batches(sent, "to"), _blobs([], "to")])
@@ -567,7 +606,7 @@ def _covered(texts: np.ndarray, edges: np.ndarray, docs: np.ndarray, known: _Loo
     (own, place), (own_spans, span_place) = known.of(docs), spans.of(docs)
     which, _, h1, h2, begin, end, _, _ = anchors_of(texts, edges)
     facts = own["kind"] == COVERED
-    anchor, _ = _pick(own[facts], place[facts], which, h1, h2)
+    anchor, _ = _pick(own[facts], place[facts], which, _named(h1, h2), np.zeros_like(h2))
     span_anchor, entry = _pick(own_spans, span_place, which, h1, h2)
     lows = np.concatenate([begin[anchor], begin[span_anchor] + own_spans["lo"][entry]])
     highs = np.concatenate([end[anchor], begin[span_anchor] + own_spans["hi"][entry]])
@@ -615,17 +654,24 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
     ``task_bytes`` is how much text a task gets (about), ``hot`` how many contexts of an anchor
     in one task make it one to spread.
     """
-    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    ranges = groups = int(total // task_bytes) + 1
-    known = written_table(judged(anchor_table(docs, ranges, groups, hot), ranges, groups, hot))
-    questions = known.filter(F.col("what") == QUESTION).select("_grp", "blob")
-    spans = factors(contexts(docs, questions, ranges, groups), ranges, groups)
+    with shuffles_freed(docs.sparkSession):
+        total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+        ranges = groups = int(total // task_bytes) + 1
+        known = written_table(judged(anchor_table(docs, ranges, groups, hot), ranges, groups, hot))
+        questions = known.filter(F.col("what") == QUESTION).select("_grp", "blob")
+        spans = written_table(factors(contexts(docs, questions, ranges, groups), ranges, groups))
     told = known.filter(F.col("what") == FACT).union(spans.withColumn("what", F.lit(SPANS)))
     held = as_rows(docs)
+    # A text that is a string goes beside the row, not in it too.
+    texts = [f.name for f in docs.schema if f.name.lower() == "text"]
+    if len(texts) == 1 and docs.schema[texts[0]].dataType == T.StringType():
+        held = held.withColumn("row", F.col("row").dropFields(texts[0]))
+    else:
+        texts = []
     removal = T.StructType(
         [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept", T.BinaryType())]
     )
-    schema = T.StructType([held.schema["row"], T.StructField("_removal", removal)])
+    schema = T.StructType([held.schema["row"], held.schema["text"], T.StructField("_removal", removal)])
     kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def run(rows: pa.Table, facts: pa.Table) -> pa.Table:
@@ -634,9 +680,9 @@ def without_repeats(docs: DataFrame, task_bytes: int = RANGE_BYTES, hot: int = H
         known = _Lookup(_known(facts.filter(pa.array(what == FACT)), ENTRY))
         found = _Lookup(_known(facts.filter(pa.array(what == SPANS)), SPAN))
         made = [_removed(batch, known, found) for batch in rows.select(["doc_id", "text"]).to_batches()]
-        return rows.select(["row"]).append_column("_removal", pa.chunked_array(made, type=kind))
+        return rows.select(["row", "text"]).append_column("_removal", pa.chunked_array(made, type=kind))
 
     grouped = _grouped(held, groups)
     done = grouped.groupBy("_grp").cogroup(told.groupBy("_grp")).applyInArrow(run, schema)
-    kept = [F.col(f"row.`{column}`") for column in without(docs, name)]
+    kept = [F.col("text").alias(c) if c in texts else F.col(f"row.`{c}`") for c in without(docs, name)]
     return done.select(*kept, F.col("_removal").alias(name))

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import pathlib
 import random
+import time
 import tracemalloc
 from collections import Counter
 
@@ -10,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from logfreight import session
 from logfreight.llm import components, probminhash, rolling, suffix_dedup, suffixes, winnowing
 from logfreight.llm.queries import QUERIES
 from tests.llm import corpus
@@ -258,6 +261,52 @@ def test_a_common_line_gives_a_task_one_piece_of_each_group(spark):
     assert got == brute_removal(rows)
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for folder in folders for f in pathlib.Path(str(folder)).rglob("shuffle_*.data")}
+
+
+def test_suffix_dedup_frees_the_shuffles_of_its_steps(spark, cases):
+    docs, before = corpus.frame(spark, cases), shuffle_files(spark)
+    kept = suffix_dedup.without_repeats(docs, task_bytes=60_000)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(session.FREED) == "false"
+    rows = kept.select("doc_id", "_removal.*").collect()
+    assert Counter((*r[:4], hashlib.sha256(bytes(r[4])).hexdigest()) for r in map(tuple, rows)) == brute_removal(cases)
+
+
+def test_suffix_dedup_keeps_texts_of_any_name_and_type(spark, cases):
+    docs = corpus.frame(spark, cases)
+    for given in (docs.withColumnRenamed("text", "Text"), docs.withColumn("text", docs["text"].cast("binary"))):
+        kept, given = suffix_dedup.without_repeats(given), given.drop("_removal")
+        assert kept.schema.fields[:-1] == given.schema.fields and kept.columns[-1] == "_removal"
+        same = lambda rows: Counter(tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in rows)
+        assert same(kept.drop("_removal").collect()) == same(given.collect())
+
+
+def test_packed_entries_are_small_and_come_back():
+    dice = np.random.default_rng(31)
+    for kind in (suffix_dedup.ENTRY, suffix_dedup.SPAN):
+        for n in (1, 2, 300, 5000):
+            entries = np.frombuffer(dice.bytes(n * kind.itemsize), kind).copy()
+            for order in (["h1"], ["doc"], ["lo" if "lo" in kind.names else "kind"]):
+                own = np.sort(entries, order=order)
+                assert suffix_dedup._unpacked(suffix_dedup._packed(own), kind).tobytes() == own.tobytes()
+    entries = np.zeros(100_000, suffix_dedup.ENTRY)
+    for name, most in (("h1", 1 << 64), ("h2", 1 << 32), ("left", 1 << 16), ("right", 1 << 16)):
+        entries[name] = dice.integers(0, most, len(entries), entries[name].dtype)
+    entries["doc"] = np.arange(len(entries)) // 200
+    sent = [blob for _, blob in suffix_dedup._sent(entries, 40, 40, 500)]
+    assert sum(map(len, sent)) <= 19 * len(entries)
+    # Covered contexts need not be told apart but in their texts.
+    copies = np.concatenate([entries, entries])
+    copies["doc"][len(entries) :] += 1000
+    assert sum(len(blob) for _, blob in suffix_dedup._sent(copies, 40, 40, 500)) - sum(map(len, sent)) <= 11 * len(entries)
+
+
 def test_anchors_of_a_lot_are_those_of_each_text():
     dice = np.random.default_rng(21)
     texts = [dice.integers(97, 97 + span, n).astype(np.uint8) for span, n in zip([1, 2, 26, 26, 3] * 8, dice.integers(50, 400, 40))]
